@@ -1,0 +1,44 @@
+"""Runs a query and its SQL twin and compares the results as multisets of rows."""
+
+from __future__ import annotations
+
+import datetime
+import math
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+from pyspark.sql import DataFrame
+
+
+def sql_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for file in sorted(Path(sf_dir).glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    return connection
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else round(value, 6) + 0.0
+    if isinstance(value, datetime.datetime):
+        return value.isoformat()
+    return value
+
+
+def _bag(columns, rows) -> Counter:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
+
+
+def compare(df: DataFrame, sql: str, connection: duckdb.DuckDBPyConnection) -> int:
+    cursor = connection.execute(sql)
+    names = [d[0] for d in cursor.description]
+    expected = _bag(names, cursor.fetchall())
+    assert sorted(df.columns) == sorted(names)
+    found = _bag(df.columns, df.collect())
+    assert found == expected, (
+        f"only in Spark: {list((found - expected).items())[:3]}; "
+        f"only in SQL: {list((expected - found).items())[:3]}"
+    )
+    return sum(found.values())
