@@ -1,0 +1,110 @@
+import os
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions import last_path_part, month_of_path
+from tidemark.model import Layout, RunKey
+from tidemark.plans.raw import load_raw
+from tidemark.sources.facts import read_table
+from tidemark.streaming import catch_up, landed_files, pick_up_new_files
+from trips import KEY, at, frame, land, totals, trip
+
+FEBRUARY = RunKey(2024, 2)
+
+
+def february(total):
+    return trip(total, tpep_pickup_datetime=at("2024-02-02 00:00:00"))
+
+
+def checkpoint(layout):
+    return f"{layout.base}/_stream"
+
+
+def test_each_month_is_loaded_once(spark, layout):
+    land(frame(spark, [trip(1)]), layout)
+    seen = []
+    assert pick_up_new_files(spark, layout, checkpoint(layout), seen.append) == [KEY]
+    assert pick_up_new_files(spark, layout, checkpoint(layout), seen.append) == []
+    land(frame(spark, [february(2)]), layout, FEBRUARY)
+    assert pick_up_new_files(spark, layout, checkpoint(layout), seen.append) == [FEBRUARY]
+    assert seen == [KEY, FEBRUARY]
+
+
+def test_a_new_stream_still_respects_the_ledger(spark, layout):
+    land(frame(spark, [trip(1)]), layout)
+    pick_up_new_files(spark, layout, checkpoint(layout), lambda key: None)
+    other = checkpoint(layout) + "2"
+    assert pick_up_new_files(spark, layout, other, lambda key: None) == []
+    assert pick_up_new_files(spark, layout, other + "3", lambda key: None, force=True) == [KEY]
+
+
+def test_one_batch_may_hold_several_months(spark, layout):
+    land(frame(spark, [trip(1)]), layout)
+    land(frame(spark, [february(2)]), layout, FEBRUARY)
+    loaded = pick_up_new_files(spark, layout, checkpoint(layout),
+                               lambda key: load_raw(spark, layout, key))
+    assert loaded == [KEY, FEBRUARY]
+    assert totals(read_table(spark, layout.raw_facts)) == [1.0, 2.0]
+
+
+def test_corrected_file_is_loaded_again(spark, layout):
+    land(frame(spark, [trip(1)]), layout)
+    load = lambda key: load_raw(spark, layout, key)
+    assert catch_up(spark, layout, load) == [KEY]
+    assert catch_up(spark, layout, load) == []
+    land(frame(spark, [trip(7)]), layout)
+    later = datetime(2030, 1, 1).timestamp()
+    os.utime(layout.landing_file(KEY), (later, later))
+    assert catch_up(spark, layout, load) == [KEY]
+    assert totals(read_table(spark, layout.raw_facts)) == [7.0]
+    assert catch_up(spark, layout, load) == []
+    assert catch_up(spark, layout, load, force=True) == [KEY]
+
+
+def test_file_without_month_is_quarantined(spark, layout):
+    land(frame(spark, [trip(1)]), layout)
+    source = Path(layout.landing_file(KEY))
+    (source.parent / "notes.parquet").write_bytes(source.read_bytes())
+    (source.parent / "trips_2024-13.parquet").write_bytes(source.read_bytes())
+    assert pick_up_new_files(spark, layout, checkpoint(layout), lambda key: None) == [KEY]
+    strays = spark.read.parquet(f"{layout.quarantine}/files_without_month")
+    names = {r[0] for r in strays.select(last_path_part(F.col("path"))).collect()}
+    assert names == {"notes.parquet", "trips_2024-13.parquet"}
+
+
+def test_failed_month_is_not_entered(spark, layout):
+    land(frame(spark, [trip(1)]), layout)
+    land(frame(spark, [february(2)]), layout, FEBRUARY)
+
+    def load(key):
+        if key == FEBRUARY:
+            raise RuntimeError("broken")
+
+    with pytest.raises(RuntimeError):
+        catch_up(spark, layout, load)
+    assert catch_up(spark, layout, lambda key: None) == [FEBRUARY]
+
+
+def test_month_in_the_base_path_is_ignored(spark, tmp_path):
+    layout = Layout(str(tmp_path / "run-1999-05"))
+    land(frame(spark, [trip(1)]), layout)
+    row = landed_files(spark, layout).first()
+    assert (row["year"], row["month"]) == (2024, 1)
+
+
+def test_month_of_path(spark):
+    paths = ["landing/x_2024-07.parquet", "2023-12/x_2024-01", "x_202-01", "x_2024-00", "none"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    year, month = month_of_path(F.col("p"))
+    found = [tuple(r) for r in df.select(year, month).collect()]
+    assert found == [(2024, 7), (2023, 12), (None, None), (None, None), (None, None)]
+
+
+def test_run_key():
+    assert RunKey(2024, 12).next() == RunKey(2025, 1)
+    assert (str(KEY), KEY.partition) == ("2024-01", "year=2024/month=01")
+    with pytest.raises(ValueError):
+        RunKey(2024, 13)

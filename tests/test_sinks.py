@@ -1,0 +1,110 @@
+from pathlib import Path
+
+import pytest
+
+from tidemark.model import RunKey
+from tidemark.plans.monthly import publish, run_month
+from tidemark.sinks.tables import (
+    add_month,
+    count_rejects,
+    read_quarantine,
+    register_table,
+    replace_month,
+    replace_quarantine,
+    replace_table,
+)
+from tidemark.sources.facts import read_partition, read_table
+from trips import KEY, frame, land, totals, trip, write_lookup
+
+
+def files_in(path):
+    return list(Path(path).glob("*.parquet"))
+
+
+def test_replace_month_file_count(spark, tmp_path):
+    df = spark.range(1000).repartition(5)
+    replace_month(df, str(tmp_path / "free"), KEY)
+    replace_month(df, str(tmp_path / "one"), KEY, files=1)
+    assert len(files_in(tmp_path / "free" / KEY.partition)) > 1
+    assert len(files_in(tmp_path / "one" / KEY.partition)) == 1
+    assert read_partition(spark, str(tmp_path / "one"), KEY).count() == 1000
+
+
+def test_partition_read_has_no_partition_columns(spark, tmp_path):
+    replace_month(spark.range(3), str(tmp_path), KEY)
+    assert read_partition(spark, str(tmp_path), KEY).columns == ["id"]
+    assert read_table(spark, str(tmp_path)).dtypes == [
+        ("id", "bigint"), ("year", "int"), ("month", "int")]
+
+
+def test_month_one_is_not_month_twelve(spark, tmp_path):
+    replace_month(spark.range(3), str(tmp_path), RunKey(2024, 12))
+    with pytest.raises(FileNotFoundError, match="2024-01"):
+        read_partition(spark, str(tmp_path), KEY)
+
+
+def test_quarantine_of_a_rule_shrinks_to_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    rejects = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "id int, rule string")
+    replace_quarantine(rejects, root, "raw", KEY)
+    replace_quarantine(rejects, root, "raw", RunKey(2024, 2))
+    replace_quarantine(rejects.where("rule = 'a'"), root, "raw", KEY)
+    found = read_quarantine(spark, root, "raw").groupBy("layer", "year", "month", "rule").count()
+    assert {tuple(r) for r in found.collect()} == {
+        ("raw", 2024, 1, "a", 1), ("raw", 2024, 2, "a", 1), ("raw", 2024, 2, "b", 2)}
+    replace_quarantine(rejects.where("rule = 'c'"), root, "raw", KEY)
+    assert count_rejects(spark, root, "raw", KEY) == {}
+
+
+def test_registered_table_sees_new_months_and_columns(spark, tmp_path):
+    root, name = str(tmp_path), "trips_registered"
+    replace_month(spark.range(3), root, KEY)
+    register_table(spark, name, root, ("year", "month"))
+    assert spark.table(name).count() == 3
+    other = RunKey(2024, 2)
+    replace_month(spark.range(2).selectExpr("id", "'n' AS new_col"), root, other)
+    add_month(spark, name, root, other)
+    assert spark.table(name).count() == 5
+    register_table(spark, name, root, ("year", "month"))
+    assert spark.table(name).where("new_col IS NULL").count() == 3
+    spark.sql(f"DROP TABLE {name}")
+    assert read_table(spark, root).count() == 5
+
+
+def test_full_refresh(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(5), path)
+    replace_table(spark.range(2), path, files=1)
+    assert read_table(spark, path).count() == 2 and len(files_in(path)) == 1
+
+
+def test_month_through_all_layers(spark, layout):
+    rows = [trip(1), trip(2, PULocationID=0), trip(3, passenger_count=0), trip(4, DOLocationID=9)]
+    land(frame(spark, rows), layout)
+    write_lookup(spark, layout)
+    report = run_month(spark, layout, KEY, database="lake")
+    assert report.raw.kept == 3 and report.silver.kept == 1
+    assert report.silver.rejected["faulty_passenger_count"] == 1
+    assert totals(spark.table("lake.silver_facts")) == [1.0]
+    assert spark.table("lake.gold_trips_per_month").first()["trips_per_month"] == 1
+    assert spark.table("lake.raw_facts").count() == 3
+    assert len(report.published) == 8
+    again = run_month(spark, layout, KEY, database="lake")
+    assert again == report
+    assert spark.table("lake.raw_facts").count() == 3
+
+
+def test_failing_layer_ends_the_run(spark, layout):
+    land(frame(spark, [trip(1)]).drop("Airport_fee"), layout)
+    write_lookup(spark, layout)
+    with pytest.raises(ValueError, match="Airport_fee"):
+        run_month(spark, layout, KEY)
+    assert Path(layout.raw_facts).exists() and not Path(layout.base, layout.gold).exists()
+
+
+def test_publish_needs_no_rerun(spark, layout):
+    land(frame(spark, [trip(1)]), layout)
+    write_lookup(spark, layout)
+    report = run_month(spark, layout, KEY)
+    assert report.published == ()
+    assert "lake2.gold_full" in publish(spark, layout, "lake2", report.gold)

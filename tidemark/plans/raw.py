@@ -41,7 +41,7 @@ from tidemark.operators.rules import (
     range_rule,
     rejected,
 )
-from tidemark.plans.report import Counting, LoadReport
+from tidemark.plans.report import LoadReport, report_load
 from tidemark.sinks.tables import replace_month, replace_quarantine
 from tidemark.sources.facts import SOURCE_FILE, read_month_file
 from tidemark.sources.scratch import scratch_path, settle
@@ -150,7 +150,6 @@ def load_raw(
         landing_rules(landing, key, location_range, null_subset),
         stage_of(spark, layout, LAYER, key),
     )
-    counting = Counting(RULES)
-    replace_month(counting.kept(with_audit(split.kept)), layout.raw_facts, key)
-    replace_quarantine(counting.rejected(split.rejects), layout.quarantine, LAYER, key)
-    return counting.report()
+    replace_month(with_audit(split.kept), layout.raw_facts, key)
+    replace_quarantine(split.rejects, layout.quarantine, LAYER, key)
+    return report_load(spark, layout.raw_facts, layout.quarantine, LAYER, key, RULES)

@@ -1,12 +1,14 @@
-"""Row counts of a load, observed while its tables are written."""
+"""Row counts of a load."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
+
+from tidemark.model import RunKey
+from tidemark.sinks.tables import count_month, count_rejects
 
 
 @dataclass(frozen=True)
@@ -24,24 +26,21 @@ class LoadReport:
         return left
 
 
-class Counting:
-    """Attaches counts to the frames a load writes, so that no extra count job is needed."""
-
-    def __init__(self, rules: Iterable[str]):
-        self._rules = list(rules)
-        self._kept = Observation()
-        self._rejected = Observation()
-
-    def kept(self, df: DataFrame) -> DataFrame:
-        return df.observe(self._kept, F.count(F.lit(1)).alias("rows"))
-
-    def rejected(self, df: DataFrame) -> DataFrame:
-        return df.observe(
-            self._rejected, *[F.count_if(F.col("rule") == r).alias(r) for r in self._rules]
-        )
-
-    def report(self, drift: Iterable[tuple] = ()) -> LoadReport:
-        counts = self._rejected.get
-        return LoadReport(
-            self._kept.get["rows"], {r: counts[r] for r in self._rules}, tuple(drift)
-        )
+def report_load(
+    spark: SparkSession,
+    facts: str,
+    quarantine: str,
+    layer: str,
+    key: RunKey,
+    rules: Iterable[str],
+    drift: Iterable[tuple] = (),
+) -> LoadReport:
+    """What a load left in its tables.
+
+    Counted from the footers of the files just written, so the load itself is not evaluated again
+    and tasks that ran twice after a lost executor are not counted twice.
+    """
+    rejected = count_rejects(spark, quarantine, layer, key)
+    return LoadReport(
+        count_month(spark, facts, key), {r: rejected.get(r, 0) for r in rules}, tuple(drift)
+    )

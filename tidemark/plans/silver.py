@@ -31,7 +31,7 @@ from tidemark.operators.rules import (
     zero_rule,
 )
 from tidemark.plans.raw import Split
-from tidemark.plans.report import Counting, LoadReport
+from tidemark.plans.report import LoadReport, report_load
 from tidemark.sinks.tables import replace_month, replace_quarantine
 from tidemark.sources.facts import read_partition
 from tidemark.sources.lookup import read_lookup
@@ -82,10 +82,11 @@ def load_silver(spark: SparkSession, layout: Layout, key: RunKey) -> LoadReport:
     check_contract(raw, SILVER_CONTRACT, f"{layout.raw_facts}/{key.partition}")
     drift = drift_rows(raw.schema, SILVER_CONTRACT)
     split = split_raw(conform(raw, SILVER_CONTRACT), read_lookup(spark, layout.lookup))
-    counting = Counting(RULES)
-    replace_month(counting.kept(split.kept), layout.silver_facts, key)
-    replace_quarantine(counting.rejected(split.rejects), layout.quarantine, LAYER, key)
-    return counting.report(drift)
+    replace_month(split.kept, layout.silver_facts, key)
+    replace_quarantine(split.rejects, layout.quarantine, LAYER, key)
+    return report_load(
+        spark, layout.silver_facts, layout.quarantine, LAYER, key, RULES, drift
+    )
 
 
 def classify_raw(raw: DataFrame, lookup: Lookup) -> DataFrame:

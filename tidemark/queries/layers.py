@@ -113,7 +113,7 @@ UNION ALL SELECT 'dropped_locations', count(*) FROM sorted
 UNION ALL SELECT 'dropped_stray_timestamps', count(*) FROM sorted WHERE destination = 'raw'
 UNION ALL SELECT 'input', count(*) FROM sorted""")
 def step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows left after each step of the raw load, observed while its tables were written."""
+    """Rows left after each step of the raw load."""
     layout = fresh_layout(spark)
     land(spark, sf_dir, layout)
     report = raw_plan.load_raw(spark, layout, MONTH, RANGE)

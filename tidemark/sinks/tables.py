@@ -6,9 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.model import RunKey
+from tidemark.model import RunKey, struct_of
 from tidemark.sources.facts import read_table
 
+QUARANTINE_KEYS = T.StructType(
+    [
+        T.StructField("layer", T.StringType()),
+        T.StructField("year", T.IntegerType()),
+        T.StructField("month", T.IntegerType()),
+        T.StructField("rule", T.StringType()),
+    ]
+)
 # Bounds the size of a file without limiting how many tasks write.
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -46,14 +54,25 @@ def read_quarantine(
 ) -> DataFrame:
     """The rejects of one layer with ``layer``, ``year``, ``month`` and ``rule``.
 
-    Pass a schema to read a layer in which nothing was ever rejected.
+    Pass the schema of the data to read a layer in which nothing was ever rejected.
     """
     reader = spark.read.option("basePath", root).option("mergeSchema", schema is None)
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(struct_of(schema, QUARANTINE_KEYS))
     return reader.parquet(f"{root}/layer={layer}")
 
 
+def count_month(spark: SparkSession, root: str, key: RunKey) -> int:
+    """Rows of one month; no column is read."""
+    return spark.read.parquet(f"{root}/{key.partition}").count()
+
+
+def count_rejects(spark: SparkSession, root: str, layer: str, key: RunKey) -> dict[str, int]:
+    """Rejects of one layer and month per rule; no column is read."""
+    rejects = spark.read.schema("rule string").parquet(f"{root}/layer={layer}/{key.partition}")
+    return {row["rule"]: row["count"] for row in rejects.groupBy("rule").count().collect()}
+
+
 def replace_table(df: DataFrame, path: str, files: int | None = None) -> None:
     """Full refresh of a table."""
     _overwrite(df, path, files)
