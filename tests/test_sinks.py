@@ -5,8 +5,8 @@ import pytest
 from tidemark.model import RunKey
 from tidemark.plans.monthly import publish, run_month
 from tidemark.sinks.tables import (
-    add_month,
     count_rejects,
+    publish_month,
     read_quarantine,
     register_table,
     replace_month,
@@ -63,8 +63,6 @@ def test_registered_table_sees_new_months_and_columns(spark, tmp_path):
     assert spark.table(name).count() == 3
     other = RunKey(2024, 2)
     replace_month(spark.range(2).selectExpr("id", "'n' AS new_col"), root, other)
-    add_month(spark, name, root, other)
-    assert spark.table(name).count() == 5
     register_table(spark, name, root, ("year", "month"))
     assert spark.table(name).where("new_col IS NULL").count() == 3
     spark.sql(f"DROP TABLE {name}")
@@ -94,6 +92,24 @@ def test_month_through_all_layers(spark, layout):
     assert spark.table("lake.raw_facts").count() == 3
 
 
+def test_published_month_with_new_files_and_columns(spark, tmp_path):
+    root, name = str(tmp_path), "trips_published"
+    other = RunKey(2024, 2)
+    replace_month(spark.range(3), root, KEY)
+    publish_month(spark, name, root, KEY)
+    assert spark.table(name).count() == 3
+    replace_month(spark.range(7), root, KEY)
+    replace_month(spark.range(2), root, other)
+    publish_month(spark, name, root, KEY)
+    assert spark.table(name).where("month = 1").count() == 7
+    publish_month(spark, name, root, other)
+    assert spark.table(name).where("month = 2").count() == 2
+    replace_month(spark.range(2).selectExpr("id", "'n' AS new_col"), root, other)
+    publish_month(spark, name, root, other)
+    assert spark.table(name).where("new_col = 'n'").count() == 2
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_failing_layer_ends_the_run(spark, layout):
     land(frame(spark, [trip(1)]).drop("Airport_fee"), layout)
     write_lookup(spark, layout)
@@ -107,4 +123,4 @@ def test_publish_needs_no_rerun(spark, layout):
     write_lookup(spark, layout)
     report = run_month(spark, layout, KEY)
     assert report.published == ()
-    assert "lake2.gold_full" in publish(spark, layout, "lake2", report.gold)
+    assert "lake2.gold_full" in publish(spark, layout, "lake2", KEY, report.gold)

@@ -12,9 +12,7 @@ from tidemark.plans.gold import build_gold
 from tidemark.plans.raw import load_raw
 from tidemark.plans.report import LoadReport
 from tidemark.plans.silver import load_silver
-from tidemark.sinks.tables import register_table
-
-MONTHS = ("year", "month")
+from tidemark.sinks.tables import publish_month, register_table
 
 
 @dataclass(frozen=True)
@@ -25,14 +23,19 @@ class MonthReport:
     published: tuple[str, ...]
 
 
-def publish(spark: SparkSession, layout: Layout, database: str, gold: Iterable[str]) -> list[str]:
-    """Register the raw, silver and gold tables in the catalog under ``database``."""
+def publish(
+    spark: SparkSession, layout: Layout, database: str, key: RunKey, gold: Iterable[str]
+) -> list[str]:
+    """Make the month visible in the raw and silver tables of ``database``, and register the
+    refreshed gold tables."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    tables = {"raw_facts": (layout.raw_facts, MONTHS), "silver_facts": (layout.silver_facts, MONTHS)}
-    tables |= {f"gold_{name}": (layout.gold_table(name), ()) for name in gold}
-    for name, (path, partitions) in tables.items():
-        register_table(spark, f"{database}.{name}", path, partitions)
-    return [f"{database}.{name}" for name in tables]
+    months = {"raw_facts": layout.raw_facts, "silver_facts": layout.silver_facts}
+    tables = {f"gold_{name}": layout.gold_table(name) for name in gold}
+    for name, root in months.items():
+        publish_month(spark, f"{database}.{name}", root, key)
+    for name, path in tables.items():
+        register_table(spark, f"{database}.{name}", path)
+    return [f"{database}.{name}" for name in (*months, *tables)]
 
 
 def run_month(
@@ -46,5 +49,5 @@ def run_month(
     raw = load_raw(spark, layout, key, location_range)
     silver = load_silver(spark, layout, key)
     gold = build_gold(spark, layout)
-    published = publish(spark, layout, database, gold) if database else []
+    published = publish(spark, layout, database, key, gold) if database else []
     return MonthReport(raw, silver, tuple(gold), tuple(published))

@@ -48,8 +48,9 @@ from tidemark.sources.scratch import scratch_path, settle
 
 LAYER = "raw"
 RULES = (RULE_DUPLICATES, RULE_NULLS, RULE_LOCATIONS, RULE_STRAY)
-# Fingerprints are one BIGINT each; beyond this many, whole rows are grouped instead.
-BROADCAST_FINGERPRINTS = 4_000_000
+# Fingerprints are one BIGINT each, about 40 bytes in a broadcast hash table. Beyond this many,
+# whole rows are grouped instead.
+BROADCAST_FINGERPRINTS = 1_000_000
 
 
 @dataclass(frozen=True)

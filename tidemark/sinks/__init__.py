@@ -1,6 +1,6 @@
 from tidemark.sinks.tables import (
-    add_month,
     drop_table,
+    publish_month,
     read_quarantine,
     register_table,
     replace_month,
@@ -9,8 +9,8 @@ from tidemark.sinks.tables import (
 )
 
 __all__ = [
-    "add_month",
     "drop_table",
+    "publish_month",
     "read_quarantine",
     "register_table",
     "replace_month",

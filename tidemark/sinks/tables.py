@@ -88,8 +88,10 @@ def register_table(
     """Publish the files under ``path`` as an external table, with all their columns and months.
 
     The definition is replaced, so columns added since the last time appear; the files stay.
+    Months may differ in their columns, so a partitioned table merges their schemas. Any other
+    table was written by one job and has one schema.
     """
-    schema = read_table(spark, path).schema
+    schema = (read_table(spark, path) if partitions else spark.read.parquet(path)).schema
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     by = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
     drop_table(spark, name)
@@ -98,12 +100,20 @@ def register_table(
         spark.sql(f"MSCK REPAIR TABLE {_quoted(name)}")
 
 
-def add_month(spark: SparkSession, name: str, root: str, key: RunKey) -> None:
-    """Make one more month visible in a registered table without listing the others."""
-    spark.sql(
-        f"ALTER TABLE {_quoted(name)} ADD IF NOT EXISTS "
-        f"PARTITION (year={key.year}, month={key.month}) LOCATION '{root}/{key.partition}'"
-    )
+def publish_month(spark: SparkSession, name: str, root: str, key: RunKey) -> None:
+    """Make a month of a (year, month) table visible under ``name``.
+
+    If the table is registered and knows the month's columns, missing months are added to it;
+    otherwise the whole table is registered anew.
+    """
+    if spark.catalog.tableExists(_quoted(name)):
+        month = spark.read.parquet(f"{root}/{key.partition}").schema
+        known = {f.name: f.dataType for f in spark.table(_quoted(name)).schema.fields}
+        if all(known.get(f.name) == f.dataType for f in month.fields):
+            spark.sql(f"MSCK REPAIR TABLE {_quoted(name)}")
+            spark.catalog.refreshTable(_quoted(name))
+            return
+    register_table(spark, name, root, ("year", "month"))
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
