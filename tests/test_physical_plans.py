@@ -91,6 +91,13 @@ def test_copies_shuffle_fingerprints_only(landing):
     assert text.count("HashAggregate") == 2
 
 
+def test_copies_are_counted_by_hash(landing):
+    """Under a sort-based partial aggregate every copy of a hot row would be sorted."""
+    text = plan(copies.count_copies(landing, SOURCE_FILE))
+    lowest = text[text.rindex("Aggregate(") - 4:]
+    assert lowest.startswith("HashAggregate(")
+
+
 def test_surplus_copies_scan_once(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity")
     df = copies.surplus_copies(lines)

@@ -69,7 +69,8 @@ def test_grouping_whole_rows_gives_the_same_split(spark, layout, tmp_path):
     rules = landing_rules(landing, KEY)
     narrow = split_landing(landing, rules, str(tmp_path / "narrow"))
     wide = split_landing(landing, rules, str(tmp_path / "wide"), broadcast_limit=0)
-    for a, b in ((narrow.kept, wide.kept), (narrow.rejects, wide.rejects)):
+    for a, b in ((narrow.kept, wide.kept), (narrow.rejects, wide.rejects),
+                 (narrow.surplus, wide.surplus)):
         a, b = a.select(sorted(a.columns)), b.select(sorted(b.columns))
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
         assert a.count() == b.count()

@@ -83,10 +83,12 @@ def check_raw(landing, key, low, high, stage):
     named = landing.withColumn(SOURCE_FILE, F.lit("f"))
     split = split_landing(named, landing_rules(named, key, (low, high)), stage)
     kept, rejects = step(split.kept.drop(SOURCE_FILE)), step(split.rejects)
+    surplus = Counter() if split.surplus is None else bag(split.surplus)
     assert bag(kept) == bag(slow["raw"])
-    for rule in RAW_RULES:
+    assert surplus == bag(slow["dropped_duplicates"])
+    for rule in RAW_RULES[1:]:
         assert bag(rejects.where(F.col("rule") == rule).drop("rule")) == bag(slow[rule]), rule
-    assert bag(kept) + bag(rejects.drop("rule")) == bag(landing)
+    assert bag(kept) + bag(rejects.drop("rule")) + surplus == bag(landing)
 
 
 def check_silver(raw, lookup):

@@ -24,10 +24,20 @@ def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(f"`{name}`") for name in names]
 
 
-def count_copies(df: DataFrame, columns: Sequence[str] | None = None, *extra: Column) -> DataFrame:
-    """One row per distinct row with its number of copies. NULLs, NaNs and zeros compare equal."""
-    keys = _cols(columns or df.columns)
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES), *extra)
+def count_copies(df: DataFrame, aside: str | None = None) -> DataFrame:
+    """One row per distinct row with its number of copies. NULLs, NaNs and zeros compare equal.
+
+    The column ``aside`` does not tell rows apart; its smallest value is kept. A string minimum
+    would turn the whole aggregation into a sort, of every copy of a hot row, so the copies are
+    first counted per value by hash and the minimum is taken over those few rows.
+    """
+    counted = df.groupBy(*_cols(df.columns)).agg(F.count(F.lit(1)).alias(COPIES))
+    if aside is None:
+        return counted
+    data = [c for c in df.columns if c != aside]
+    return counted.groupBy(*_cols(data)).agg(
+        F.sum(COPIES).alias(COPIES), F.min(f"`{aside}`").alias(aside)
+    )
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ from tidemark.operators.rules import (
     rejected,
 )
 from tidemark.plans.report import LoadReport, report_load
-from tidemark.sinks.tables import replace_month, replace_quarantine
+from tidemark.sinks.tables import replace_month, replace_quarantine, replace_rule
 from tidemark.sources.facts import SOURCE_FILE, read_month_file
 from tidemark.sources.scratch import scratch_path, settle
 
@@ -55,10 +56,14 @@ BROADCAST_FINGERPRINTS = 1_000_000
 
 @dataclass(frozen=True)
 class Split:
-    """The two sides of a load; ``rejects`` has one more column, ``rule``."""
+    """The sides of a load; ``rejects`` has one more column, ``rule``.
+
+    ``surplus`` holds copies beyond the first of a row, if the load looks for them.
+    """
 
     kept: DataFrame
     rejects: DataFrame
+    surplus: DataFrame | None = None
 
 
 def landing_rules(
@@ -78,8 +83,8 @@ def landing_rules(
 
 def count_landing(
     landing: DataFrame, stage: str, broadcast_limit: int = BROADCAST_FINGERPRINTS
-) -> tuple[DataFrame, DataFrame]:
-    """(rows that occur once, rows that may repeat with their number of copies).
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """(rows that occur once, rows that may repeat with their number of copies); None for no rows.
 
     Copies are found by shuffling 8-byte fingerprints. Rows whose fingerprint is unique are
     certainly unique and never take part in a wide shuffle; the others are grouped exactly on all
@@ -87,18 +92,16 @@ def count_landing(
     The file name is not part of the grouping; the first one (by name) is kept.
     """
     data = [c for c in landing.columns if c != SOURCE_FILE]
-    name = F.min(SOURCE_FILE).alias(SOURCE_FILE)
     repeats = settle(repeated_fingerprints(landing, data), f"{stage}/fingerprints")
     many = repeats.count()
-    if many > broadcast_limit:
-        return landing.where(F.lit(False)), settle(
-            count_copies(landing, data, name), f"{stage}/groups")
     if many == 0:
-        return landing, landing.where(F.lit(False)).withColumn(COPIES, F.lit(0).cast("bigint"))
+        return landing, None
+    if many > broadcast_limit:
+        return None, settle(count_copies(landing, SOURCE_FILE), f"{stage}/groups")
     hashed = landing.withColumn("_fp", fingerprint(data))
     once = hashed.join(F.broadcast(repeats), "_fp", "left_anti").drop("_fp")
     again = hashed.join(F.broadcast(repeats), "_fp", "left_semi").drop("_fp")
-    return once, settle(count_copies(again, data, name), f"{stage}/groups")
+    return once, settle(count_copies(again, SOURCE_FILE), f"{stage}/groups")
 
 
 def split_landing(
@@ -109,16 +112,14 @@ def split_landing(
 ) -> Split:
     """Surplus copies go first; of each distinct row, one copy goes through the other rules."""
     once, groups = count_landing(landing, stage, broadcast_limit)
-    data = [c for c in landing.columns if c != SOURCE_FILE]
-    distinct = once.unionByName(groups.drop(COPIES))
-    failing = rejected(classify(distinct, rules)).select(*[f"`{c}`" for c in data], "rule")
-    surplus = replicate(
-        groups.where(F.col(COPIES) > 1)
-        .withColumn(COPIES, F.col(COPIES) - 1)
-        .drop(SOURCE_FILE)
-        .withColumn("rule", F.lit(RULE_DUPLICATES))
-    )
-    return Split(keep_rows(distinct, rules), surplus.unionByName(failing))
+    parts, surplus = [once], None
+    if groups is not None:
+        parts.append(groups.drop(COPIES))
+        more = groups.where(F.col(COPIES) > 1).withColumn(COPIES, F.col(COPIES) - 1)
+        surplus = replicate(more.drop(SOURCE_FILE))
+    distinct = reduce(DataFrame.unionByName, [part for part in parts if part is not None])
+    failing = rejected(classify(distinct, rules)).drop(SOURCE_FILE)
+    return Split(keep_rows(distinct, rules), failing, surplus)
 
 
 def with_audit(kept: DataFrame) -> DataFrame:
@@ -153,4 +154,6 @@ def load_raw(
     )
     replace_month(with_audit(split.kept), layout.raw_facts, key)
     replace_quarantine(split.rejects, layout.quarantine, LAYER, key)
+    if split.surplus is not None:
+        replace_rule(split.surplus, layout.quarantine, LAYER, key, RULE_DUPLICATES)
     return report_load(spark, layout.raw_facts, layout.quarantine, LAYER, key, RULES)

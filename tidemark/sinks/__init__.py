@@ -5,6 +5,7 @@ from tidemark.sinks.tables import (
     register_table,
     replace_month,
     replace_quarantine,
+    replace_rule,
     replace_table,
 )
 
@@ -15,5 +16,6 @@ __all__ = [
     "register_table",
     "replace_month",
     "replace_quarantine",
+    "replace_rule",
     "replace_table",
 ]

@@ -49,6 +49,14 @@ def replace_quarantine(rejects: DataFrame, root: str, layer: str, key: RunKey) -
     _overwrite(rejects.hint("rebalance", F.col("rule")), path, None, "rule")
 
 
+def replace_rule(
+    rejects: DataFrame, root: str, layer: str, key: RunKey, rule: str
+) -> None:
+    """Replace the rejects of one rule. They are written where they are, with no shuffle or sort:
+    meant for rejects that are already spread over the tasks, like replicated copies."""
+    _overwrite(rejects, f"{root}/layer={layer}/{key.partition}/rule={rule}", None)
+
+
 def read_quarantine(
     spark: SparkSession, root: str, layer: str, schema: T.StructType | None = None
 ) -> DataFrame:
