@@ -31,11 +31,16 @@ def _bag(columns, rows) -> Counter:
     return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
+_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+          "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean"}
+
+
 def compare(df: DataFrame, sql: str, connection: duckdb.DuckDBPyConnection) -> int:
     cursor = connection.execute(sql)
     names = [d[0] for d in cursor.description]
     expected = _bag(names, cursor.fetchall())
-    assert sorted(df.columns) == sorted(names)
+    expected_types = {d[0]: _TYPES.get(str(d[1]), str(d[1])) for d in cursor.description}
+    assert dict(df.dtypes) == expected_types
     found = _bag(df.columns, df.collect())
     assert found == expected, (
         f"only in Spark: {list((found - expected).items())[:3]}; "

@@ -1,5 +1,7 @@
 """Silver to gold."""
 
+import shutil
+
 import pytest
 from pyspark.sql import types as T
 
@@ -14,9 +16,10 @@ from tidemark.model import (
     RunKey,
 )
 from tidemark.operators.lookups import DuplicateKeyError, check_lookup, enrich
-from tidemark.plans.gold import build_gold
+from tidemark.plans import gold as gold_plan
+from tidemark.plans.gold import build_gold, stale_months
 from tidemark.sources.facts import read_table
-from trips import ZONES, at, frame, raw_frame, raw_trip, with_column, write_lookup, write_silver
+from trips import KEY, ZONES, at, frame, raw_frame, raw_trip, with_column, write_lookup, write_silver
 
 
 def gold(spark, layout, name, *order):
@@ -63,8 +66,8 @@ def test_full_table_columns_and_roles(spark, layout):
     build(spark, layout, [raw_trip(1, DOLocationID=1), raw_trip(2, DOLocationID=3)])
     full = read_table(spark, layout.gold_table(GOLD_FULL))
     assert full.columns == [
-        *SILVER_CONTRACT.fieldNames(), "year", "month", "PUBorough", "PUZone", "PUservice_zone",
-        "DOBorough", "DOZone", "DOservice_zone"]
+        *SILVER_CONTRACT.fieldNames(), "PUBorough", "PUZone", "PUservice_zone",
+        "DOBorough", "DOZone", "DOservice_zone", "year", "month"]
     rows = {r["total_amount"]: r for r in full.collect()}
     assert rows[1.0]["PUZone"] == rows[1.0]["DOZone"] == "Z1"
     assert (rows[2.0]["DOBorough"], rows[2.0]["DOZone"]) == ("B2", "Z3")
@@ -111,6 +114,50 @@ def test_refresh_replaces_everything(spark, layout):
     assert names == [GOLD_FULL, GOLD_FARE, GOLD_ZONE, GOLD_ZONE_HOUR, GOLD_MONTH, GOLD_PEAK]
 
 
+def test_only_stale_months_are_refreshed(spark, layout, monkeypatch):
+    refreshed = []
+    real = gold_plan.refresh_month
+
+    def counting(spark, layout, key, lookup):
+        refreshed.append(key)
+        real(spark, layout, key, lookup)
+
+    monkeypatch.setattr(gold_plan, "refresh_month", counting)
+    first, second = KEY, RunKey(2024, 2)
+    february = {"tpep_pickup_datetime": at("2024-02-05 09:00:00")}
+    build(spark, layout, [raw_trip(1), raw_trip(2)])
+    assert refreshed == [] and stale_months(spark, layout) == []
+    write_silver(raw_frame(spark, [raw_trip(3, **february)]), layout, second)
+    build_gold(spark, layout)
+    assert refreshed == [second]
+    assert gold(spark, layout, GOLD_MONTH, "pickup_month") == [(1, 2), (2, 1)]
+    write_silver(raw_frame(spark, [raw_trip(4)]), layout, first)
+    build_gold(spark, layout)
+    assert refreshed == [second, first]
+    incremental = {n: gold(spark, layout, n, "PUZone") for n in (GOLD_FULL, GOLD_ZONE, GOLD_PEAK)}
+    build_gold(spark, layout, everything=True)
+    assert incremental == {n: gold(spark, layout, n, "PUZone") for n in incremental}
+    assert gold(spark, layout, GOLD_ZONE, "PUZone") == [("Z1", 2)]
+
+
+def test_new_lookup_refreshes_every_month(spark, layout):
+    build(spark, layout, [raw_trip(1)])
+    write_lookup(spark, layout, [(1, "B1", "Renamed", "s")])
+    assert stale_months(spark, layout) is None
+    build_gold(spark, layout)
+    assert read_table(spark, layout.gold_table(GOLD_FULL)).first()["PUZone"] == "Renamed"
+
+
+def test_month_removed_from_silver_leaves_gold(spark, layout):
+    write_silver(raw_frame(spark, [raw_trip(9)]), layout, RunKey(2023, 1))
+    build(spark, layout, [raw_trip(1)])
+    assert gold(spark, layout, GOLD_ZONE, "PUZone") == [("Z1", 2)]
+    shutil.rmtree(f"{layout.silver_facts}/year=2023")
+    build_gold(spark, layout)
+    assert gold(spark, layout, GOLD_ZONE, "PUZone") == [("Z1", 1)]
+    assert read_table(spark, layout.gold_table(GOLD_FULL)).count() == 1
+
+
 def test_duplicate_lookup_key(spark, layout):
     with pytest.raises(DuplicateKeyError):
         build(spark, layout, [raw_trip(1)], [*ZONES, (1, "B1", "Z1", "s")])

@@ -70,10 +70,13 @@ GOLD_ZONE_HOUR = "trips_per_zone_per_hour"
 GOLD_MONTH = "trips_per_month"
 GOLD_PEAK = "zone_wise_peak_hours"
 
+MONTH_KEYS = ("year", "month")
 MONTH_FILE_FORMAT = "yellow_tripdata_{year:04d}-{month:02d}.parquet"
 MONTH_KEY_PATTERN = r"(\d{4})-(\d{2})"
 # End of fixed values.
 
+GOLD_CUBE = "trip_cube"
+
 
 def struct_of(*parts: T.StructType) -> T.StructType:
     return T.StructType([field for part in parts for field in part.fields])

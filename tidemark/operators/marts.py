@@ -8,6 +8,8 @@ every mart groups again by name.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,18 +24,21 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator, denominator)
 
 
-def trip_cube(facts: DataFrame, by: list[Column] | None = None) -> DataFrame:
+def cube_keys() -> list[Column]:
+    return [
+        F.col(PICKUP_LOCATION),
+        F.hour(PICKUP_TIME).alias("pickup_hour"),
+        F.month(PICKUP_TIME).alias("pickup_month"),
+    ]
+
+
+def trip_cube(facts: DataFrame, by: Sequence[Column | str] | None = None) -> DataFrame:
     """Trips, sum of the fare-per-mile ratios and number of such ratios, per id, hour and month.
 
     A mean cannot be re-aggregated, so it is carried as its sum and its non-null count.
     """
     per_mile = ratio(F.col("fare_amount"), F.col("trip_distance"))
-    by = by or [
-        F.col(PICKUP_LOCATION),
-        F.hour(PICKUP_TIME).alias("pickup_hour"),
-        F.month(PICKUP_TIME).alias("pickup_month"),
-    ]
-    return facts.groupBy(*by).agg(
+    return facts.groupBy(*(by or cube_keys())).agg(
         F.count(F.lit(1)).alias("trips"),
         F.sum(per_mile).alias("ratio_sum"),
         F.count(per_mile).alias("ratio_count"),

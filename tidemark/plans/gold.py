@@ -1,27 +1,50 @@
-"""Silver to gold: the denormalised facts and five aggregate tables, refreshed as a whole."""
+"""Silver to gold: the denormalised facts and five aggregate tables.
+
+The result is always that of a refresh over every silver month. The facts and the cube behind the
+aggregates are kept per month, though, so that only months whose silver files or lookup are newer
+than their cube are computed again; the aggregates themselves are rolled up from the whole cube.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.model import (
+    GOLD_CUBE,
     GOLD_FARE,
     GOLD_FULL,
     GOLD_MONTH,
     GOLD_PEAK,
     GOLD_ZONE,
     GOLD_ZONE_HOUR,
+    MONTH_KEYS,
+    PICKUP_LOCATION,
+    PICKUP_TIME,
     Layout,
+    RunKey,
 )
 from tidemark.operators import marts
 from tidemark.operators.lookups import Lookup, enrich
-from tidemark.plans.raw import stage_of
-from tidemark.sinks.tables import replace_table
-from tidemark.sources.facts import read_table
+from tidemark.sinks.tables import replace_all_months, replace_month, replace_table
+from tidemark.sources.facts import read_partition, read_table
+from tidemark.sources.listing import list_files
 from tidemark.sources.lookup import read_lookup
-from tidemark.sources.scratch import settle
 
 LAYER = "gold"
+_CUBE = T.StructType(
+    [
+        T.StructField(PICKUP_LOCATION, T.IntegerType()),
+        T.StructField("pickup_hour", T.IntegerType()),
+        T.StructField("pickup_month", T.IntegerType()),
+        T.StructField("trips", T.LongType()),
+        T.StructField("ratio_sum", T.DoubleType()),
+        T.StructField("ratio_count", T.LongType()),
+        T.StructField("year", T.IntegerType()),
+        T.StructField("month", T.IntegerType()),
+    ]
+)
 
 
 def mart_frames(named_cube: DataFrame) -> dict[str, DataFrame]:
@@ -36,21 +59,57 @@ def mart_frames(named_cube: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def settled_cube(facts: DataFrame, lookup: Lookup, stage: str) -> DataFrame:
-    """The cube, written once and named. It has at most one row per id, hour and month."""
-    return marts.name_cube(settle(marts.trip_cube(facts), f"{stage}/cube"), lookup)
+def refresh_everything(spark: SparkSession, layout: Layout, lookup: Lookup) -> None:
+    """Facts and cube of every month: two scans of silver, one of them of four columns.
+
+    The cube is written last. A month counts as done once its cube exists.
+    """
+    facts = read_table(spark, layout.silver_facts)
+    replace_all_months(enrich(facts, lookup), layout.gold_table(GOLD_FULL))
+    cube = marts.trip_cube(facts, [*MONTH_KEYS, *marts.cube_keys()])
+    replace_all_months(cube.repartition(*MONTH_KEYS), layout.gold_table(GOLD_CUBE))
+
 
+def refresh_month(spark: SparkSession, layout: Layout, key: RunKey, lookup: Lookup) -> None:
+    facts = read_partition(spark, layout.silver_facts, key)
+    replace_month(enrich(facts, lookup), layout.gold_table(GOLD_FULL), key)
+    replace_month(marts.trip_cube(facts), layout.gold_table(GOLD_CUBE), key, files=1)
 
-def build_gold(spark: SparkSession, layout: Layout) -> list[str]:
-    """Refresh all gold tables from every silver month; returns their names.
 
-    Two scans of silver: all columns for the full table, four for the cube behind the marts.
+def stale_months(spark: SparkSession, layout: Layout) -> list[RunKey] | None:
+    """Months whose silver files are not older than their cube; None if all must be refreshed,
+    because the lookup is not older either or gold holds a month that silver does not.
+
+    Compares file times only, one listing per table; the driver sees calendar months.
     """
-    facts = read_table(spark, layout.silver_facts)
+    def times(path: str, when) -> DataFrame:
+        return list_files(spark, path).groupBy(*MONTH_KEYS).agg(when("modified").alias("at"))
+
+    try:
+        built = times(layout.gold_table(GOLD_CUBE), F.min).withColumnRenamed("at", "built")
+    except FileNotFoundError:
+        return None
+    silver = times(layout.silver_facts, F.max)
+    months = silver.join(built, list(MONTH_KEYS), "full").orderBy(*MONTH_KEYS).collect()
+    looked_up = list_files(spark, layout.lookup).agg(F.max("modified")).first()[0]
+    if any(m["at"] is None or (m["built"] and m["built"] <= looked_up) for m in months):
+        return None
+    return [
+        RunKey(m["year"], m["month"]) for m in months if not m["built"] or m["built"] <= m["at"]
+    ]
+
+
+def build_gold(spark: SparkSession, layout: Layout, everything: bool = False) -> list[str]:
+    """Bring all gold tables up to date with silver and the lookup; returns their names."""
     lookup = read_lookup(spark, layout.lookup)
-    replace_table(enrich(facts, lookup), layout.gold_table(GOLD_FULL))
-    cube = settled_cube(facts, lookup, stage_of(spark, layout, LAYER))
-    frames = mart_frames(cube)
+    stale = None if everything else stale_months(spark, layout)
+    if stale is None:
+        refresh_everything(spark, layout, lookup)
+    else:
+        for key in stale:
+            refresh_month(spark, layout, key, lookup)
+    cube = read_table(spark, layout.gold_table(GOLD_CUBE), _CUBE)
+    frames = mart_frames(marts.name_cube(cube, lookup))
     for name, frame in frames.items():
         replace_table(frame, layout.gold_table(name), files=1)
     return [GOLD_FULL, *frames]

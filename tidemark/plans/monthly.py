@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from tidemark.model import LOCATION_RANGE, Layout, RunKey
+from tidemark.model import GOLD_FULL, LOCATION_RANGE, Layout, RunKey
 from tidemark.plans.gold import build_gold
 from tidemark.plans.raw import load_raw
 from tidemark.plans.report import LoadReport
@@ -26,11 +26,15 @@ class MonthReport:
 def publish(
     spark: SparkSession, layout: Layout, database: str, key: RunKey, gold: Iterable[str]
 ) -> list[str]:
-    """Make the month visible in the raw and silver tables of ``database``, and register the
-    refreshed gold tables."""
+    """Make the month visible in the raw, silver and full tables of ``database``, and register
+    the refreshed aggregates."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    months = {"raw_facts": layout.raw_facts, "silver_facts": layout.silver_facts}
-    tables = {f"gold_{name}": layout.gold_table(name) for name in gold}
+    months = {
+        "raw_facts": layout.raw_facts,
+        "silver_facts": layout.silver_facts,
+        f"gold_{GOLD_FULL}": layout.gold_table(GOLD_FULL),
+    }
+    tables = {f"gold_{name}": layout.gold_table(name) for name in gold if name != GOLD_FULL}
     for name, root in months.items():
         publish_month(spark, f"{database}.{name}", root, key)
     for name, path in tables.items():

@@ -129,10 +129,10 @@ def with_audit(kept: DataFrame) -> DataFrame:
     return kept.select(*data, F.current_timestamp().alias(ingested), F.col(SOURCE_FILE).alias(source))
 
 
-def stage_of(spark: SparkSession, layout: Layout, layer: str, key: RunKey | None = None) -> str:
-    """Where a load keeps intermediate tables: one place per base location, layer and month."""
+def stage_of(spark: SparkSession, layout: Layout, key: RunKey) -> str:
+    """Where the load keeps intermediate tables: one place per base location and month."""
     base = hashlib.sha256(layout.base.encode()).hexdigest()[:16]
-    return scratch_path(spark, f"{base}/{layer}" + (f"/{key}" if key else ""))
+    return scratch_path(spark, f"{base}/{LAYER}/{key}")
 
 
 def load_raw(
@@ -150,7 +150,7 @@ def load_raw(
     split = split_landing(
         landing,
         landing_rules(landing, key, location_range, null_subset),
-        stage_of(spark, layout, LAYER, key),
+        stage_of(spark, layout, key),
     )
     replace_month(with_audit(split.kept), layout.raw_facts, key)
     replace_quarantine(split.rejects, layout.quarantine, LAYER, key)

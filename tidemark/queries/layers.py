@@ -12,20 +12,20 @@ from tidemark.model import (
     GOLD_PEAK,
     GOLD_ZONE,
     GOLD_ZONE_HOUR,
+    MONTH_KEYS,
     PICKUP_TIME,
     SILVER_CONTRACT,
     Layout,
     struct_of,
 )
-from tidemark.operators.lookups import enrich
 from tidemark.plans import raw as raw_plan
 from tidemark.plans import silver as silver_plan
-from tidemark.plans.gold import build_gold
+from tidemark.plans.gold import build_gold, refresh_everything
 from tidemark.plans.monthly import run_month
 from tidemark.queries.registry import query
 from tidemark.queries.rows import SILVER_SQL, trip_id
 from tidemark.queries.views import MONTH, landed_trips, sql_trips, sql_zones, trips, zone_frame
-from tidemark.sinks.tables import read_quarantine, replace_table
+from tidemark.sinks.tables import read_quarantine, replace_all_months
 from tidemark.sources.facts import SOURCE_FILE, read_partition, read_table
 from tidemark.sources.lookup import read_lookup
 from tidemark.sources.scratch import scratch_path
@@ -54,12 +54,11 @@ def write_raw(spark: SparkSession, sf_dir: str, layout: Layout) -> None:
 
 def write_silver(spark: SparkSession, sf_dir: str, layout: Layout) -> None:
     facts = trips(spark, sf_dir).withColumn(SOURCE_FILE, F.lit("trips"))
-    (
-        raw_plan.with_audit(facts)
-        .withColumns({"year": F.year(PICKUP_TIME), "month": F.month(PICKUP_TIME)})
-        .hint("rebalance", F.col("year"), F.col("month"))
-        .write.partitionBy("year", "month").parquet(layout.silver_facts)
+    year, month = MONTH_KEYS
+    dated = raw_plan.with_audit(facts).withColumns(
+        {year: F.year(PICKUP_TIME), month: F.month(PICKUP_TIME)}
     )
+    replace_all_months(dated.hint("rebalance", F.col(year), F.col(month)), layout.silver_facts)
 
 
 def destinations(kept: DataFrame, name: str, layout: Layout) -> DataFrame:
@@ -190,10 +189,8 @@ def gold_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = fresh_layout(spark)
     write_silver(spark, sf_dir, layout)
     write_zones(spark, sf_dir, layout, partial=True)
-    facts = read_table(spark, layout.silver_facts)
-    path = layout.gold_table(GOLD_FULL)
-    replace_table(enrich(facts, read_lookup(spark, layout.lookup)), path)
-    return read_table(spark, path).select(
+    refresh_everything(spark, layout, read_lookup(spark, layout.lookup))
+    return read_table(spark, layout.gold_table(GOLD_FULL)).select(
         *trip_id(), F.col("fare_amount").alias("fare"), "year", "month",
         F.col("PUBorough").alias("pu_borough"), F.col("PUZone").alias("pu_zone"),
         F.col("DOBorough").alias("do_borough"), F.col("DOZone").alias("do_zone"),

@@ -225,7 +225,7 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("audit_columns", """
-SELECT count(*) AS trips, 1 AS ingestion_times, count(*) AS named_sources,
+SELECT count(*) AS trips, CAST(1 AS BIGINT) AS ingestion_times, count(*) AS named_sources,
        min(l_shipdate) AS first_dropoff FROM lineitem""")
 def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row has the same ingestion time and the name of the file it was read from."""

@@ -3,6 +3,7 @@ from tidemark.sinks.tables import (
     publish_month,
     read_quarantine,
     register_table,
+    replace_all_months,
     replace_month,
     replace_quarantine,
     replace_rule,
@@ -14,6 +15,7 @@ __all__ = [
     "publish_month",
     "read_quarantine",
     "register_table",
+    "replace_all_months",
     "replace_month",
     "replace_quarantine",
     "replace_rule",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.model import RunKey, struct_of
+from tidemark.model import MONTH_KEYS, RunKey, struct_of
 from tidemark.sources.facts import read_table
 
 QUARANTINE_KEYS = T.StructType(
@@ -38,6 +38,19 @@ def replace_month(df: DataFrame, root: str, key: RunKey, files: int | None = Non
     _overwrite(df, f"{root}/{key.partition}", files)
 
 
+def replace_all_months(df: DataFrame, root: str) -> None:
+    """Replace a whole (year, month) table by ``df``, which has both columns.
+
+    The directories are named as ``replace_month`` names them, so that months can be replaced
+    afterwards.
+    """
+    year, month = MONTH_KEYS
+    named = df.withColumns(
+        {year: F.format_string("%04d", year), month: F.format_string("%02d", month)}
+    )
+    _overwrite(named, root, None, *MONTH_KEYS)
+
+
 def replace_quarantine(rejects: DataFrame, root: str, layer: str, key: RunKey) -> None:
     """Replace all rejects of one layer and month, split by ``rule``.
 
@@ -121,7 +134,7 @@ def publish_month(spark: SparkSession, name: str, root: str, key: RunKey) -> Non
             spark.sql(f"MSCK REPAIR TABLE {_quoted(name)}")
             spark.catalog.refreshTable(_quoted(name))
             return
-    register_table(spark, name, root, ("year", "month"))
+    register_table(spark, name, root, MONTH_KEYS)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:

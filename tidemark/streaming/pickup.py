@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tidemark.functions.paths import month_of_path
 from tidemark.model import Layout, RunKey
 from tidemark.sources.facts import _read
+from tidemark.sources.listing import FILES
 
 LEDGER = T.StructType(
     [
@@ -24,15 +25,6 @@ LEDGER = T.StructType(
         T.StructField("processed_at", T.TimestampType()),
     ]
 )
-# The listing part of the binary file source; the contents are never asked for.
-_LISTING = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("content", T.BinaryType()),
-    ]
-)
 _OPTIONS = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
 
 
@@ -113,7 +105,7 @@ def pick_up_new_files(
     """
     loaded: list[RunKey] = []
     listing = (
-        spark.readStream.format("binaryFile").schema(_LISTING).options(**_OPTIONS)
+        spark.readStream.format("binaryFile").schema(FILES).options(**_OPTIONS)
         .load(layout.landing_root)
     )
     files = _with_month(listing, layout.landing)
