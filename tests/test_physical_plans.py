@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from tidemark.model import LOOKUP_COLUMNS
 from tidemark.operators import copies, lookups, marts, rules
-from tidemark.plans.raw import count_landing, landing_rules, split_landing
+from tidemark.plans.raw import landing_rules, split_landing
 from tidemark.plans.silver import split_raw
 from tidemark.queries import QUERIES
 from tidemark.queries.views import MONTH, table, trips
-from tidemark.sources.facts import SOURCE_FILE, read_month_file, read_partition
+from tidemark.sources.facts import SOURCE_FILE, read_month_file, read_partition, with_source
 from trips import KEY, ZONES, raw_frame, raw_trip, write_raw
 
 
@@ -79,13 +79,33 @@ def test_landing_rules_reach_the_scan(landing, tmp_path):
 
 
 def test_unique_rows_never_shuffle(landing, tmp_path):
-    once, _ = count_landing(landing, str(tmp_path / "s"))
-    assert "hashpartitioning" not in plan(once) and "FileScan" in plan(once)
+    split = split_landing(landing, landing_rules(landing, MONTH), str(tmp_path / "s"))
+    for side in (split.kept, split.rejects):
+        assert "hashpartitioning" not in plan(side) and "FileScan" in plan(side)
+    assert split.surplus is None
+
+
+def test_repeated_rows_do_not_make_unique_ones_shuffle(spark, landing, tmp_path):
+    path = str(tmp_path / "twice")
+    landing.unionAll(landing.where("VendorID = 1")).write.parquet(path)
+    twice = read_month_file(spark, path, MONTH)
+    split = split_landing(twice, landing_rules(twice, MONTH), str(tmp_path / "s"))
+    for side in (split.kept, split.rejects):
+        text = plan(side)
+        assert "hashpartitioning" not in text
+        assert re.search(r"BroadcastHashJoin .*LeftAnti", text)
+        assert "row_index" not in text
+
+
+def test_file_metadata_is_read_only_for_the_name(landing, tmp_path):
+    split = split_landing(landing, landing_rules(landing, MONTH), str(tmp_path / "s"))
+    assert "file_name" in plan(split.kept) and "file_size" not in plan(split.kept)
+    assert "file_name" not in plan(split.rejects)
+    assert "file_name" not in plan(copies.repeated_fingerprints(landing, landing.columns))
 
 
 def test_copies_shuffle_fingerprints_only(landing):
-    data = [c for c in landing.columns if c != SOURCE_FILE]
-    text = plan(copies.repeated_fingerprints(landing, data))
+    text = plan(copies.repeated_fingerprints(landing, landing.columns))
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
     assert len(exchanges) == 1 and exchanges[0].startswith("_fp")
     assert text.count("HashAggregate") == 2
@@ -93,7 +113,7 @@ def test_copies_shuffle_fingerprints_only(landing):
 
 def test_copies_are_counted_by_hash(landing):
     """Under a sort-based partial aggregate every copy of a hot row would be sorted."""
-    text = plan(copies.count_copies(landing, SOURCE_FILE))
+    text = plan(copies.count_copies(with_source(landing), SOURCE_FILE))
     lowest = text[text.rindex("Aggregate(") - 4:]
     assert lowest.startswith("HashAggregate(")
 

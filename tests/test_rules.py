@@ -80,8 +80,7 @@ def check_raw(landing, key, low, high, stage):
     landing = step(landing)
     month = F.date_format(PICKUP_TIME, "yyyy-MM") == str(key)
     slow = raw_by_set_operations(landing, low, high, month)
-    named = landing.withColumn(SOURCE_FILE, F.lit("f"))
-    split = split_landing(named, landing_rules(named, key, (low, high)), stage)
+    split = split_landing(landing, landing_rules(landing, key, (low, high)), stage)
     kept, rejects = step(split.kept.drop(SOURCE_FILE)), step(split.rejects)
     surplus = Counter() if split.surplus is None else bag(split.surplus)
     assert bag(kept) == bag(slow["raw"])

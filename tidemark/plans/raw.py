@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +43,7 @@ from tidemark.operators.rules import (
 )
 from tidemark.plans.report import LoadReport, report_load
 from tidemark.sinks.tables import replace_month, replace_quarantine, replace_rule
-from tidemark.sources.facts import SOURCE_FILE, read_month_file
+from tidemark.sources.facts import SOURCE_FILE, read_month_file, with_source
 from tidemark.sources.scratch import scratch_path, settle
 
 LAYER = "raw"
@@ -73,35 +72,67 @@ def landing_rules(
     null_subset: Iterable[str] | None = None,
 ) -> list[Rule]:
     """Null, range and period rule, in the order in which they claim a row."""
-    data = landing.drop(SOURCE_FILE)
     return [
-        null_rule(RULE_NULLS, data.schema, null_subset),
+        null_rule(RULE_NULLS, landing.schema, null_subset),
         range_rule(RULE_LOCATIONS, [PICKUP_LOCATION, DROPOFF_LOCATION], *location_range),
-        month_rule(RULE_STRAY, PICKUP_TIME, key, data.schema[PICKUP_TIME].dataType),
+        month_rule(RULE_STRAY, PICKUP_TIME, key, landing.schema[PICKUP_TIME].dataType),
     ]
 
 
-def count_landing(
-    landing: DataFrame, stage: str, broadcast_limit: int = BROADCAST_FINGERPRINTS
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """(rows that occur once, rows that may repeat with their number of copies); None for no rows.
+@dataclass(frozen=True)
+class Copies:
+    """Which landed rows may repeat.
 
-    Copies are found by shuffling 8-byte fingerprints. Rows whose fingerprint is unique are
-    certainly unique and never take part in a wide shuffle; the others are grouped exactly on all
-    data columns. If too many fingerprints repeat to be broadcast, everything is grouped.
-    The file name is not part of the grouping; the first one (by name) is kept.
+    ``repeats`` holds their fingerprints (None: no row repeats), ``groups`` one row per distinct
+    such row with its number of copies and file name. With ``all_grouped`` that is every row.
     """
+
+    repeats: DataFrame | None = None
+    groups: DataFrame | None = None
+    all_grouped: bool = False
+
+    def distinct(self, landing: DataFrame) -> DataFrame:
+        """One row per distinct row of ``landing``, which may have the file name or not."""
+        if self.groups is None:
+            return landing
+        grouped = self.groups.select([f"`{c}`" for c in landing.columns])
+        if self.all_grouped:
+            return grouped
+        return _by_fingerprint(landing, self.repeats, "left_anti").unionAll(grouped)
+
+    def surplus(self) -> DataFrame | None:
+        if self.groups is None:
+            return None
+        more = self.groups.where(F.col(COPIES) > 1).withColumn(COPIES, F.col(COPIES) - 1)
+        return replicate(more.drop(SOURCE_FILE))
+
+
+def _by_fingerprint(landing: DataFrame, repeats: DataFrame, how: str) -> DataFrame:
     data = [c for c in landing.columns if c != SOURCE_FILE]
-    repeats = settle(repeated_fingerprints(landing, data), f"{stage}/fingerprints")
+    hashed = landing.withColumn("_fp", fingerprint(data))
+    return hashed.join(F.broadcast(repeats), "_fp", how).drop("_fp")
+
+
+def find_copies(
+    landing: DataFrame, stage: str, broadcast_limit: int = BROADCAST_FINGERPRINTS
+) -> Copies:
+    """Look for whole-row copies by shuffling 8-byte fingerprints.
+
+    Rows whose fingerprint is unique are certainly unique and never take part in a wide shuffle;
+    the others are grouped exactly on all data columns. If too many fingerprints repeat to be
+    broadcast, everything is grouped. The file name is not part of the grouping; the first one (by
+    name) is kept.
+    """
+    repeats = settle(repeated_fingerprints(landing, landing.columns), f"{stage}/fingerprints")
     many = repeats.count()
     if many == 0:
-        return landing, None
+        return Copies()
+    named = with_source(landing)
     if many > broadcast_limit:
-        return None, settle(count_copies(landing, SOURCE_FILE), f"{stage}/groups")
-    hashed = landing.withColumn("_fp", fingerprint(data))
-    once = hashed.join(F.broadcast(repeats), "_fp", "left_anti").drop("_fp")
-    again = hashed.join(F.broadcast(repeats), "_fp", "left_semi").drop("_fp")
-    return once, settle(count_copies(again, SOURCE_FILE), f"{stage}/groups")
+        groups = settle(count_copies(named, SOURCE_FILE), f"{stage}/groups")
+        return Copies(repeats, groups, all_grouped=True)
+    again = _by_fingerprint(named, repeats, "left_semi")
+    return Copies(repeats, settle(count_copies(again, SOURCE_FILE), f"{stage}/groups"))
 
 
 def split_landing(
@@ -110,16 +141,16 @@ def split_landing(
     stage: str,
     broadcast_limit: int = BROADCAST_FINGERPRINTS,
 ) -> Split:
-    """Surplus copies go first; of each distinct row, one copy goes through the other rules."""
-    once, groups = count_landing(landing, stage, broadcast_limit)
-    parts, surplus = [once], None
-    if groups is not None:
-        parts.append(groups.drop(COPIES))
-        more = groups.where(F.col(COPIES) > 1).withColumn(COPIES, F.col(COPIES) - 1)
-        surplus = replicate(more.drop(SOURCE_FILE))
-    distinct = reduce(DataFrame.unionByName, [part for part in parts if part is not None])
-    failing = rejected(classify(distinct, rules)).drop(SOURCE_FILE)
-    return Split(keep_rows(distinct, rules), failing, surplus)
+    """Surplus copies go first; of each distinct row, one copy goes through the other rules.
+
+    ``landing`` must come from a file scan, which knows the file names of the kept rows.
+    """
+    copies = find_copies(landing, stage, broadcast_limit)
+    return Split(
+        keep_rows(copies.distinct(with_source(landing)), rules),
+        rejected(classify(copies.distinct(landing), rules)),
+        copies.surplus(),
+    )
 
 
 def with_audit(kept: DataFrame) -> DataFrame:

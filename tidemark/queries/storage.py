@@ -20,7 +20,13 @@ from tidemark.queries.registry import query
 from tidemark.queries.rows import trip_id
 from tidemark.queries.views import MONTH, sql_trips, sql_zones, table, trips
 from tidemark.sinks import tables
-from tidemark.sources.facts import SOURCE_FILE, read_month_file, read_partition, read_table
+from tidemark.sources.facts import (
+    SOURCE_FILE,
+    read_month_file,
+    read_partition,
+    read_table,
+    with_source,
+)
 from tidemark.sources.lookup import read_lookup
 from tidemark.sources.scratch import scratch_path
 from tidemark.streaming import pickup
@@ -49,7 +55,7 @@ def month_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = fresh_layout(spark)
     path = layout.landing_file(MONTH)
     _orders(spark, sf_dir).write.parquet(path)
-    return read_month_file(spark, path, MONTH).select(
+    return with_source(read_month_file(spark, path, MONTH)).select(
         "o_orderkey", "o_orderstatus", "o_totalprice",
         F.col(SOURCE_FILE).endswith(".parquet").alias("has_source"),
     )
@@ -180,7 +186,9 @@ def single_file_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.replace_table(event_hours(spark, sf_dir), path, files=1)
     written = read_table(spark, path).select("*", F.col("_metadata.file_name").alias("file"))
     files = written.agg(F.count_distinct("file").alias("files"))
-    return written.drop("file").withColumnRenamed("PUZone", "pu_zone").join(F.broadcast(files))
+    return written.select(
+        F.col("PUZone").alias("pu_zone"), "pickup_hour", "trips", files.scalar().alias("files")
+    )
 
 
 @query("published_table", """
@@ -230,7 +238,7 @@ SELECT count(*) AS trips, CAST(1 AS BIGINT) AS ingestion_times, count(*) AS name
 def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row has the same ingestion time and the name of the file it was read from."""
     path = f"{sf_dir}/lineitem.parquet"
-    audited = with_audit(read_month_file(spark, path, MONTH))
+    audited = with_audit(with_source(read_month_file(spark, path, MONTH)))
     return audited.agg(
         F.count(F.lit(1)).alias("trips"),
         F.count_distinct("ingestion_timestamp").alias("ingestion_times"),

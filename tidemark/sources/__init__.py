@@ -1,4 +1,4 @@
-from tidemark.sources.facts import read_month_file, read_partition, read_table
+from tidemark.sources.facts import read_month_file, read_partition, read_table, with_source
 from tidemark.sources.lookup import read_lookup
 from tidemark.sources.scratch import scratch_path, settle
 
@@ -9,4 +9,5 @@ __all__ = [
     "read_table",
     "scratch_path",
     "settle",
+    "with_source",
 ]

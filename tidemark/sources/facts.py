@@ -26,13 +26,17 @@ def _read(open_path: Callable[[str], DataFrame], path: str, what: str) -> DataFr
 
 
 def read_month_file(spark: SparkSession, path: str, key: RunKey) -> DataFrame:
-    """One landed month with ``source_file_name``.
+    """One landed month."""
+    return _read(spark.read.parquet, path, f"month {key}")
 
-    The name comes from the scan itself. Asked for above a shuffle it would be empty, and as a
-    scan column it can be left out of the grouping that removes duplicates.
+
+def with_source(scan: DataFrame) -> DataFrame:
+    """A scan with ``source_file_name``, the name of the file each row came from.
+
+    The name comes from the scan itself; asked for above a shuffle it would be empty. Only take it
+    where it is used: Spark does not prune the file metadata of a scan whose name is dropped again.
     """
-    df = _read(spark.read.parquet, path, f"month {key}")
-    return df.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE))
+    return scan.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE))
 
 
 def read_partition(spark: SparkSession, root: str, key: RunKey) -> DataFrame:

@@ -76,7 +76,8 @@ def _load_pending(
     """
     spark = files.sparkSession
     strays = files.where(F.col("month").isNull()).select("path", "modified")
-    strays.write.mode("append").parquet(f"{layout.quarantine}/files_without_month")
+    if not strays.isEmpty():
+        strays.write.mode("append").parquet(f"{layout.quarantine}/files_without_month")
     months = pending_months(files, layout, force).orderBy("year", "month").collect()
     done = []
     try:
