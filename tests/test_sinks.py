@@ -110,6 +110,18 @@ def test_published_month_with_new_files_and_columns(spark, tmp_path):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_month_that_is_rejected_as_a_whole(spark, layout):
+    land(frame(spark, [trip(1, PULocationID=0)]), layout)
+    write_lookup(spark, layout)
+    for _ in range(2):
+        report = run_month(spark, layout, KEY, database="empty")
+        assert (report.raw.kept, report.silver.kept) == (0, 0)
+        assert spark.table("empty.gold_trips_per_month").isEmpty()
+    land(frame(spark, [trip(1)]), layout)
+    assert run_month(spark, layout, KEY, database="empty").silver.kept == 1
+    assert spark.table("empty.gold_full").count() == 1
+
+
 def test_failing_layer_ends_the_run(spark, layout):
     land(frame(spark, [trip(1)]).drop("Airport_fee"), layout)
     write_lookup(spark, layout)

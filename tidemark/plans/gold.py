@@ -29,7 +29,7 @@ from tidemark.operators import marts
 from tidemark.operators.lookups import Lookup, enrich
 from tidemark.sinks.tables import replace_all_months, replace_month, replace_table
 from tidemark.sources.facts import read_partition, read_table
-from tidemark.sources.listing import list_files
+from tidemark.sources.listing import list_files, list_months
 from tidemark.sources.lookup import read_lookup
 
 LAYER = "gold"
@@ -83,7 +83,7 @@ def stale_months(spark: SparkSession, layout: Layout) -> list[RunKey] | None:
     Compares file times only, one listing per table; the driver sees calendar months.
     """
     def times(path: str, when) -> DataFrame:
-        return list_files(spark, path).groupBy(*MONTH_KEYS).agg(when("modified").alias("at"))
+        return list_months(spark, path).groupBy(*MONTH_KEYS).agg(when("modified").alias("at"))
 
     try:
         built = times(layout.gold_table(GOLD_CUBE), F.min).withColumnRenamed("at", "built")

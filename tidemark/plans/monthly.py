@@ -27,7 +27,8 @@ def publish(
     spark: SparkSession, layout: Layout, database: str, key: RunKey, gold: Iterable[str]
 ) -> list[str]:
     """Make the month visible in the raw, silver and full tables of ``database``, and register
-    the refreshed aggregates."""
+    the refreshed aggregates. A table that has no file yet, because every row was rejected so far, is
+    left out."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     months = {
         "raw_facts": layout.raw_facts,
@@ -35,11 +36,18 @@ def publish(
         f"gold_{GOLD_FULL}": layout.gold_table(GOLD_FULL),
     }
     tables = {f"gold_{name}": layout.gold_table(name) for name in gold if name != GOLD_FULL}
-    for name, root in months.items():
-        publish_month(spark, f"{database}.{name}", root, key)
-    for name, path in tables.items():
-        register_table(spark, f"{database}.{name}", path)
-    return [f"{database}.{name}" for name in (*months, *tables)]
+    published = []
+    for name, path in (months | tables).items():
+        table = f"{database}.{name}"
+        try:
+            if name in months:
+                publish_month(spark, table, path, key)
+            else:
+                register_table(spark, table, path)
+        except FileNotFoundError:
+            continue
+        published.append(table)
+    return published
 
 
 def run_month(

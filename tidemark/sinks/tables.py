@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.model import MONTH_KEYS, RunKey, struct_of
-from tidemark.sources.facts import read_table
+from tidemark.sources.facts import read_partition, read_table
 
 QUARANTINE_KEYS = T.StructType(
     [
@@ -128,7 +128,7 @@ def publish_month(spark: SparkSession, name: str, root: str, key: RunKey) -> Non
     otherwise the whole table is registered anew.
     """
     if spark.catalog.tableExists(_quoted(name)):
-        month = spark.read.parquet(f"{root}/{key.partition}").schema
+        month = read_partition(spark, root, key).schema
         known = {f.name: f.dataType for f in spark.table(_quoted(name)).schema.fields}
         if all(known.get(f.name) == f.dataType for f in month.fields):
             spark.sql(f"MSCK REPAIR TABLE {_quoted(name)}")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.model import MONTH_KEYS
 from tidemark.sources.facts import _read
 
 # The schema of Spark's binary file source, of which the content is never asked for.
@@ -20,6 +21,20 @@ FILES = T.StructType(
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """``modified`` of every data file below ``path``, with the table's partition columns."""
+    """``path`` and ``modified`` of every data file below a path."""
     files = _read(spark.read.format("binaryFile").load, path, "the file listing")
-    return files.withColumnRenamed("modificationTime", "modified").drop("length", "content")
+    return files.select("path", F.col("modificationTime").alias("modified"))
+
+
+def list_months(spark: SparkSession, root: str) -> DataFrame:
+    """``year``, ``month`` and ``modified`` of every data file of a (year, month) table.
+
+    Taken from the paths, since a table without rows has no partition columns to discover.
+    """
+    def key(group: int):
+        return F.regexp_extract("path", r"/year=(\d+)/month=(\d+)/", group).try_cast("int")
+
+    year, month = MONTH_KEYS
+    return list_files(spark, root).select(
+        key(1).alias(year), key(2).alias(month), "modified"
+    )
