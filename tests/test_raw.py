@@ -122,6 +122,23 @@ def test_lineage_survives_deduplication(spark, layout):
     assert raw.columns == SILVER_CONTRACT.fieldNames()
 
 
+def test_landed_audit_columns_are_replaced(spark, layout):
+    df = frame(spark, [trip(1), trip(1)]).selectExpr("*", "'old' AS source_file_name")
+    land(df, layout)
+    report = load_raw(spark, layout, KEY)
+    raw = read_partition(spark, layout.raw_facts, KEY)
+    assert raw.columns == SILVER_CONTRACT.fieldNames()
+    assert raw.first()["source_file_name"] == layout.landing_file(KEY).rsplit("/", 1)[1]
+    assert report.rejected["dropped_duplicates"] == 1
+
+
+def test_column_named_like_the_rule_is_an_error(spark, layout):
+    land(frame(spark, [trip(1)]).selectExpr("*", "'x' AS rule"), layout)
+    with pytest.raises(ValueError, match="rule"):
+        load_raw(spark, layout, KEY)
+    assert not Path(layout.raw_facts).exists()
+
+
 def test_rerun_with_fixed_input_leaves_no_stale_rejects(spark, layout):
     land(frame(spark, landing_rows()), layout)
     load_raw(spark, layout, KEY)

@@ -119,6 +119,8 @@ def kept(classified: DataFrame) -> DataFrame:
 
 def rejected(classified: DataFrame, rule_column: str = "rule") -> DataFrame:
     """One row per (row, reason): a row with two reasons comes out twice."""
+    if rule_column in classified.columns:
+        raise ValueError(f"the data has a column {rule_column} of its own, which would be lost")
     return classified.withColumn(rule_column, F.explode(REASONS)).drop(REASONS)
 
 

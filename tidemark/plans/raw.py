@@ -154,9 +154,10 @@ def split_landing(
 
 
 def with_audit(kept: DataFrame) -> DataFrame:
-    """Data columns, then the ingestion time and the source file name."""
+    """Data columns, then the ingestion time and the source file name, which replace landed columns
+    of these names."""
     ingested, source = AUDIT_COLUMNS.fieldNames()
-    data = [f"`{c}`" for c in kept.columns if c != SOURCE_FILE]
+    data = [f"`{c}`" for c in kept.columns if c not in (SOURCE_FILE, ingested, source)]
     return kept.select(*data, F.current_timestamp().alias(ingested), F.col(SOURCE_FILE).alias(source))
 
 

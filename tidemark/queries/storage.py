@@ -242,7 +242,7 @@ def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audited.agg(
         F.count(F.lit(1)).alias("trips"),
         F.count_distinct("ingestion_timestamp").alias("ingestion_times"),
-        F.count_if(F.col(SOURCE_FILE) == "lineitem.parquet").alias("named_sources"),
+        F.count_if(F.col("source_file_name") == "lineitem.parquet").alias("named_sources"),
         F.min("l_shipdate").alias("first_dropoff"),
     )
 

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.model import AUDIT_COLUMNS, RunKey
+from tidemark.model import RunKey
 
-SOURCE_FILE = AUDIT_COLUMNS["source_file_name"].name
+# Carries the file name until the audit columns are added; landed data may have any other name.
+SOURCE_FILE = "_source_file"
 _ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
@@ -31,7 +32,7 @@ def read_month_file(spark: SparkSession, path: str, key: RunKey) -> DataFrame:
 
 
 def with_source(scan: DataFrame) -> DataFrame:
-    """A scan with ``source_file_name``, the name of the file each row came from.
+    """A scan with ``SOURCE_FILE``, the name of the file each row came from.
 
     The name comes from the scan itself; asked for above a shuffle it would be empty. Only take it
     where it is used: Spark does not prune the file metadata of a scan whose name is dropped again.
