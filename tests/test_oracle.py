@@ -4,8 +4,7 @@ import pytest
 
 import __spark_entry__
 from oracle import compare, sql_connection
-
-SQL = __spark_entry__.oracle_sql()
+from tidemark.queries import QUERIES, SQL
 
 
 @pytest.fixture(scope="module")
@@ -14,12 +13,14 @@ def connection(sf_dir):
 
 
 def test_every_query_has_a_twin():
-    assert set(__spark_entry__.queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(SQL) <= set(__spark_entry__.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, connection, name):
-    assert compare(__spark_entry__.queries()[name](spark, sf_dir), SQL[name], connection) > 0
+    assert compare(QUERIES[name](spark, sf_dir), SQL[name], connection) > 0
 
 
 def test_entry(spark):

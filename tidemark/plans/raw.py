@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -44,7 +43,7 @@ from tidemark.operators.rules import (
 from tidemark.plans.report import LoadReport, report_load
 from tidemark.sinks.tables import replace_month, replace_quarantine, replace_rule
 from tidemark.sources.facts import SOURCE_FILE, read_month_file, with_source
-from tidemark.sources.scratch import scratch_path, settle
+from tidemark.sources.scratch import remove_scratch, scratch_path, settle
 
 LAYER = "raw"
 RULES = (RULE_DUPLICATES, RULE_NULLS, RULE_LOCATIONS, RULE_STRAY)
@@ -161,12 +160,6 @@ def with_audit(kept: DataFrame) -> DataFrame:
     return kept.select(*data, F.current_timestamp().alias(ingested), F.col(SOURCE_FILE).alias(source))
 
 
-def stage_of(spark: SparkSession, layout: Layout, key: RunKey) -> str:
-    """Where the load keeps intermediate tables: one place per base location and month."""
-    base = hashlib.sha256(layout.base.encode()).hexdigest()[:16]
-    return scratch_path(spark, f"{base}/{LAYER}/{key}")
-
-
 def load_raw(
     spark: SparkSession,
     layout: Layout,
@@ -179,13 +172,14 @@ def load_raw(
     landing = read_month_file(spark, path, key)
     check_contract(landing, LANDING_CONTRACT, path)
     landing = conform(landing, TRIP_COLUMNS)
-    split = split_landing(
-        landing,
-        landing_rules(landing, key, location_range, null_subset),
-        stage_of(spark, layout, key),
-    )
-    replace_month(with_audit(split.kept), layout.raw_facts, key)
-    replace_quarantine(split.rejects, layout.quarantine, LAYER, key)
-    if split.surplus is not None:
-        replace_rule(split.surplus, layout.quarantine, LAYER, key, RULE_DUPLICATES)
+    stage = scratch_path(spark)
+    rules = landing_rules(landing, key, location_range, null_subset)
+    try:
+        split = split_landing(landing, rules, stage)
+        replace_month(with_audit(split.kept), layout.raw_facts, key)
+        replace_quarantine(split.rejects, layout.quarantine, LAYER, key)
+        if split.surplus is not None:
+            replace_rule(split.surplus, layout.quarantine, LAYER, key, RULE_DUPLICATES)
+    finally:
+        remove_scratch(spark, stage)
     return report_load(spark, layout.raw_facts, layout.quarantine, LAYER, key, RULES)

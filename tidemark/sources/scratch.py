@@ -2,26 +2,31 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@functools.cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir`` or of ``SparkContext.setCheckpointDir``.
 
+    Where neither is set, as in tests, the session's warehouse folder, which all executors share
+    like the tables in it. A machine-local temporary folder is never used.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{shared.rstrip('/')}/tidemark"
 
-def scratch_path(spark: SparkSession, name: str | None = None) -> str:
-    """A path below ``spark.checkpoint.dir``; a folder of our own only where that is unset.
 
-    A given ``name`` always maps to the same path, so that a repeated run replaces its own
-    intermediate tables. Without one the path is new.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
-    return f"{shared.rstrip('/')}/tidemark/{name or uuid.uuid4().hex}"
+def scratch_path(spark: SparkSession) -> str:
+    """A new path below the shared folder; no two runs share one."""
+    return f"{scratch_root(spark)}/{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate folder that :func:`scratch_path` gave."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def settle(df: DataFrame, path: str) -> DataFrame:
