@@ -1,0 +1,105 @@
+import random
+import re
+
+import numpy as np
+import xxhash
+from frames import TEXTS, documents, empty
+
+from tidemark.llm import components, simhash
+
+
+def slow_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    parts = [words] if len(words) < 3 else [words[i : i + 3] for i in range(len(words) - 2)]
+    found = [xxhash.xxh64_intdigest(" ".join(p).encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in found) > len(found))
+
+
+def slow_classes(prints):
+    """prints: (id, print) with identifiers; the smallest identifier reached."""
+    root = {p: p for _, p in prints}
+
+    def top(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for a in root:
+        for b in root:
+            if (a ^ b).bit_count() <= 2:
+                root[top(a)] = top(b)
+    least = {}
+    for i, p in prints:
+        if i is not None:
+            least[top(p)] = min(i, least.get(top(p), i))
+    return [(i, p, least.get(top(p))) for i, p in prints]
+
+
+def test_fingerprints():
+    for _, text in TEXTS:
+        assert simhash.fingerprint((text or "").encode()) == slow_fingerprint(text)
+
+
+def test_every_word_is_within_three_errors_of_its_codeword():
+    table = simhash.decoding()
+    assert table.min() == 0 and table.max() == 4095
+    assert set(np.bincount(table).tolist()) == {2048}
+
+
+def test_keys_meet_for_all_pairs_up_to_two_bits():
+    rng = random.Random(5)
+    for p in [0, (1 << 64) - 1, *(rng.getrandbits(64) for _ in range(6))]:
+        near = [p ^ (1 << i) ^ (1 << j) for i in range(64) for j in range(i + 1)]
+        rows, found = simhash.keys(np.array(near, np.uint64), True)
+        asked = set(simhash.keys(np.array([p], np.uint64), False)[1].tolist())
+        assert {r for r, k in zip(rows.tolist(), found.tolist()) if k in asked} == set(range(len(near)))
+
+
+def test_links_equal_brute_force(spark):
+    rng = random.Random(1)
+    prints = {0}
+    for _ in range(60):
+        p = rng.getrandbits(64)
+        for _ in range(8):
+            prints.add(p)
+            for _ in range(rng.randrange(1, 4)):
+                p ^= 1 << rng.randrange(64)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    found = simhash.links(spark.createDataFrame([(p,) for p in signed], "print bigint")).collect()
+    mask = (1 << 64) - 1
+    expected = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= 2}
+    assert len(found) == len(expected) and {tuple(r) for r in found} == expected
+
+
+def test_components_of_paths_and_stars(spark):
+    rng = random.Random(2)
+    path = list(range(40))
+    rng.shuffle(path)
+    pairs = list(zip(path, path[1:])) + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
+    found = dict(map(tuple, components.components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()))
+    expected = {i: 0 for i in range(1, 40)} | {i: 100 for i in range(101, 160)} | {201: 200}
+    assert found == expected
+
+
+def test_operator_equals_brute_force(spark):
+    extra = [(100 + i, f"the quick brown fox number {i % 7} jumps over the lazy dog again and again") for i in range(30)]
+    rows = TEXTS + extra
+    found = simhash.near_duplicates(documents(spark, rows)).collect()
+    expected = slow_classes([(i, slow_fingerprint(t)) for i, t in rows])
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(map(tuple, found), key=key) == sorted(((i, f"{p:016x}", c) for i, p, c in expected), key=key)
+
+
+def test_one_row_of_each_class_stays(spark):
+    docs = documents(spark)
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    classes = {c for _, _, c in slow_classes([(i, slow_fingerprint(t)) for i, t in TEXTS])}
+    assert sorted(r.doc_id or -1 for r in kept.collect()) == sorted(c or -1 for c in classes)
+
+
+def test_empty_table(spark):
+    assert simhash.near_duplicates(empty(spark)).count() == 0
+    assert simhash.drop_near_duplicates(empty(spark)).count() == 0
