@@ -1,0 +1,68 @@
+import re
+
+from frames import TEXTS, documents, empty
+
+from tidemark.llm import licenses
+from tidemark.llm.queries import op9_licenses
+from tidemark.llm.shared import read_table
+
+PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+
+
+def slow_base(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+    found = [
+        (i, label)
+        for phrase, label in PHRASES.items()
+        for i in range(len(words))
+        if words[i : i + len(phrase.split())] == phrase.split()
+    ]
+    starts = [i for i, _ in found]
+    return (len(words), len(found), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in found})))
+
+
+def test_base_on_all_documents(spark, sf_dir):
+    texts = dict(map(tuple, read_table(spark, sf_dir, "documents").select("doc_id", "text").collect()))
+    rows = op9_licenses(spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert tuple(r[1:6]) == slow_base(texts[r.doc_id])
+        labels, base = set(filter(None, r.labels.split(","))), set(filter(None, r.base_labels.split(",")))
+        assert base <= labels and 0 <= r.score <= 1 and (r.score > 0) == bool(labels)
+        # Without any license word there is nothing to report.
+        if not re.search(r"licen[sc]e|rights|copyright|cc|gpl|apache|bsd|mit|domain", (texts[r.doc_id] or "").lower()):
+            assert not labels
+
+
+def test_gate_never_hides_a_match(spark, sf_dir):
+    for r in read_table(spark, sf_dir, "documents").select("text").collect():
+        joined = b" " + b" ".join(licenses.words_of((r.text or "").encode())) + b" "
+        for rule in licenses.rules():
+            if rule.keyword not in joined:
+                assert not rule.pattern.search(joined)
+
+
+def test_overlaps():
+    labels = lambda t: licenses.scan(t.encode())[5]
+    assert labels("Licensed under the Apache License, Version 2.0") == "apache,apache-2.0"
+    assert labels("under CC BY-NC 4.0") == "cc-by,cc-by-nc"
+    assert labels("the GNU Lesser General Public License v3") == "lgpl-3.0"
+    assert labels("SPDX-License-Identifier: MPL-2.0") == "mpl-2.0"
+    assert labels("All rights reserved. Mitigation of gplx") == "all-rights-reserved"
+    spans = licenses.scan(b"MIT license mit license mit")[7]
+    assert [(s["first"], s["end"]) for s in spans][0][0] == 0
+    assert licenses.scan("cc by cc by ÀCC by".encode())[1] == 2
+
+
+def test_hundreds_of_rules_in_order():
+    rules = licenses.rules()
+    assert len(rules) > 300 and all(r.keyword for r in rules)
+    assert [r.priority for r in rules] == sorted(r.priority for r in rules)
+
+
+def test_awkward_rows(spark):
+    found = licenses.license_scan(documents(spark)).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted((tuple(r[:6]) for r in found), key=key) == sorted(((i, *slow_base(t)) for i, t in TEXTS), key=key)
+    assert licenses.license_scan(empty(spark)).count() == 0

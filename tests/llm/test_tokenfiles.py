@@ -1,0 +1,58 @@
+import zlib
+
+import numpy as np
+import pytest
+from frames import TEXTS, documents, empty
+
+from tidemark.llm import tokenfiles
+from tidemark.llm.queries import WORD_TOKENIZER, op1_token_files
+from tidemark.llm.shared import read_table
+from tidemark.llm.tokens import encoder
+
+
+def ids_of(text):
+    return [*encoder(WORD_TOKENIZER).tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def slow(rows):
+    start, out = 0, []
+    for i, text in sorted(rows, key=lambda r: r[0]):
+        ids = ids_of(text)
+        out.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4"))))
+        start += len(ids)
+    return out
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+    assert sorted(map(tuple, op1_token_files(spark, sf_dir).collect())) == slow(map(tuple, rows))
+
+
+def test_awkward_rows_and_single_documents(spark, tmp_path):
+    folder = f"file://{tmp_path}/ids"
+    manifest = tokenfiles.write(documents(spark), WORD_TOKENIZER, 2, folder)
+    found = sorted(tokenfiles.read(manifest, folder).collect(), key=lambda r: r.start)
+    assert [r.id for r in found] == sorted((i for i, _ in TEXTS), key=lambda i: (i is not None, i))
+    assert [r.start for r in found] == [sum(r.n_tokens for r in found[:k]) for k in range(len(found))]
+    crcs = sorted(zlib.crc32(np.array(ids_of(t), "<u4")) for _, t in TEXTS)
+    assert sorted(r.ids_crc32 for r in found) == crcs
+    shared = tokenfiles.dictionary_file(folder, manifest.first().dictionary)
+    files = [tokenfiles.TokenFile(r.file, shared) for r in manifest.collect()]
+    for i in (1, 2, 5, None):
+        ids = [d.tolist() for f in files for d in f.document(i)]
+        assert sorted(ids) == sorted(ids_of(t) for j, t in TEXTS if j == i)
+
+
+def test_another_dictionary_is_refused(spark, tmp_path):
+    folder = f"file://{tmp_path}/ids"
+    manifest = tokenfiles.write(documents(spark), WORD_TOKENIZER, 2, folder)
+    other = tmp_path / "other.zdict"
+    other.write_bytes(b"another dictionary")
+    with pytest.raises(ValueError):
+        tokenfiles.TokenFile(manifest.first().file, f"file://{other}")
+
+
+def test_empty_table(spark, tmp_path):
+    folder = f"file://{tmp_path}/ids"
+    manifest = tokenfiles.write(empty(spark), WORD_TOKENIZER, 2, folder)
+    assert manifest.count() == 0 and tokenfiles.read(manifest, folder).count() == 0

@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import dedup, packing, quality, simhash
+from tidemark.llm import bpe, chat, dedup, licenses, packing, pieces, quality, simhash, tokenfiles, warc
 from tidemark.llm.shared import read_table
+from tidemark.sources.scratch import scratch_path, settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+CONTROL_TURN = r"\### Assistant: </turn> ok"
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -21,6 +24,13 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark)
+    manifest = tokenfiles.write(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER, end=2, folder=folder)
+    return tokenfiles.read(manifest, folder).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
@@ -39,6 +49,44 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER, end=1)
 
 
+@query
+def op5_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_counts(read_table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+
+
+@query
+def op6_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.read(warc.write(read_table(spark, sf_dir, "pages"), scratch_path(spark)), payloads=False)
+    return found.where("reason IS NULL").select(
+        F.col("page").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+@query
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame(
+        [(-7, 0, "user", CONTROL_TURN), (-7, 1, "assistant", CONTROL_TURN)],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    formatted = chat.format_chats(turns.unionByName(control), BYTE_TOKENIZER)
+    return chat.digests(settle(formatted, scratch_path(spark)), BYTE_TOKENIZER)
+
+
+@query
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 @query
 def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")

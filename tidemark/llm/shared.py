@@ -34,7 +34,7 @@ def open_new(folder: str, stem: str, suffix: str) -> tuple[str, pa.NativeFile]:
     uri = f"{folder.rstrip('/')}/{stem}-{uuid.uuid4().hex}{suffix}"
     system, path = file_system(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    return uri, system.open_output_stream(path)
+    return uri, system.open_output_stream(path, compression=None)
 
 
 def open_old(uri: str) -> pa.NativeFile:
