@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 
 WORDS_KEPT = 300_000
 AT_ONCE = 50
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 4 << 20
 # Outside these characters the library itself has to normalise: below U+0250 every character is
 # its own NFC and letters are the same in each version of Unicode, but U+0085 and U+00A0 are white
 # space, U+0130 becomes two characters in lower case, and "<" may start a special token.
@@ -142,6 +142,8 @@ class Encoder:
             end = max(start + 1, int(np.searchsorted(total, before + BLOCK_BYTES, "right")))
             block = batch.slice(start, end - start)
             yield block, self.encode(pc.fill_null(block.column(text), ""))
+            # What a block needed goes back to the system, as executors share their memory with tasks.
+            pa.default_memory_pool().release_unused()
             start = end
 
 
