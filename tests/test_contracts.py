@@ -1,11 +1,15 @@
+import pytest
 from pyspark.sql import types as T
 
 from tidemark.model import LANDING_CONTRACT, SILVER_CONTRACT, TRIP_COLUMNS
 from tidemark.operators.contracts import (
+    ContractError,
     added_columns,
     check_contract,
+    check_types,
     conform,
     drift_report,
+    local_times,
     missing_columns,
 )
 from trips import frame, raw_frame, raw_trip, trip
@@ -41,3 +45,20 @@ def test_conform_only_widens(spark):
     assert out.schema["passenger_count"].dataType == T.LongType()
     assert out.schema["VendorID"].dataType == T.StringType()
     assert out.columns == df.columns
+
+
+def test_types_are_checked(spark):
+    df = frame(spark, [trip(1)])
+    check_types(df.drop("extra").selectExpr("*", "'x' AS other"), TRIP_COLUMNS, "landing")
+    with pytest.raises(ContractError, match=r"landing: .*VendorID \(expected int, found string\)"):
+        check_types(df.selectExpr("* EXCEPT (VendorID)", "'1' AS VendorID"), TRIP_COLUMNS, "landing")
+
+
+def test_local_times(spark):
+    name = "tpep_pickup_datetime"
+    df = frame(spark, [trip(1)])
+    zoned = df.withColumn(name, df[name].cast("timestamp"))
+    out = local_times(zoned, TRIP_COLUMNS)
+    assert out.columns == df.columns and out.schema[name].dataType == T.TimestampNTZType()
+    assert out.first()[name] == df.first()[name]
+    assert local_times(df, TRIP_COLUMNS).schema == df.schema

@@ -93,10 +93,33 @@ def test_repeated_rows_do_not_make_unique_ones_shuffle(spark, landing, tmp_path)
     for side in (split.kept, split.rejects):
         text = plan(side)
         assert "hashpartitioning" not in text
-        assert re.search(r"BroadcastHashJoin .*LeftAnti", text)
+        assert re.search(r"BroadcastHashJoin .*LeftOuter", text)
         assert "row_index" not in text
 
 
+def test_only_candidates_shuffle_however_many_rows_repeat(spark, landing, tmp_path):
+    """Every row repeats, and the bitmap has a single word: the plan is the same, and the whole rows
+    are shuffled once."""
+    path = str(tmp_path / "all")
+    landing.unionAll(landing).write.parquet(path)
+    twice = read_month_file(spark, path, MONTH)
+    split = split_landing(twice, landing_rules(twice, MONTH), str(tmp_path / "s"), words=1)
+    for side in (split.kept, split.rejects):
+        assert "hashpartitioning" not in plan(side)
+    columns = twice.columns
+    marks = copies.mark_repeats(copies.repeated_fingerprints(twice, columns))
+    _, candidates = copies.split_marked(twice.withColumn("_f", F.lit(1)), columns, marks)
+    text = plan(copies.count_copies(candidates, "_f"))
+    whole = [e for e in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text) if "VendorID" in e]
+    assert len(whole) == 1
+
+
+def test_bitmap_is_bounded(spark):
+    prints = spark.range(20_000).select(F.xxhash64("id").alias("_fp"))
+    assert copies.mark_repeats(prints, 64).count() == 64
+    assert copies.mark_repeats(prints).count() <= 20_000
+
+
 def test_file_metadata_is_read_only_for_the_name(landing, tmp_path):
     split = split_landing(landing, landing_rules(landing, MONTH), str(tmp_path / "s"))
     assert "file_name" in plan(split.kept) and "file_size" not in plan(split.kept)
@@ -113,7 +136,8 @@ def test_copies_shuffle_fingerprints_only(landing):
 
 def test_copies_are_counted_by_hash(landing):
     """Under a sort-based partial aggregate every copy of a hot row would be sorted."""
-    text = plan(copies.count_copies(with_source(landing), SOURCE_FILE))
+    named = with_source(landing).withColumn(SOURCE_FILE, F.xxhash64(SOURCE_FILE))
+    text = plan(copies.count_copies(named, SOURCE_FILE))
     lowest = text[text.rindex("Aggregate(") - 4:]
     assert lowest.startswith("HashAggregate(")
 

@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import last_path_part, month_of_path
 from tidemark.model import Layout, RunKey
+from tidemark.plans import monthly
 from tidemark.plans.raw import load_raw
 from tidemark.sources.facts import read_table
-from tidemark.streaming import catch_up, landed_files, pick_up_new_files
-from trips import KEY, at, frame, land, totals, trip
+from tidemark.streaming import LoadError, catch_up, landed_files, pick_up_new_files
+from trips import KEY, at, frame, land, totals, trip, write_lookup
 
 FEBRUARY = RunKey(2024, 2)
 
 
 def february(total):
-    return trip(total, tpep_pickup_datetime=at("2024-02-02 00:00:00"))
+    return trip(total, tpep_pickup_datetime=at("2024-02-02 00:00:00"),
+                tpep_dropoff_datetime=at("2024-02-02 00:30:00"))
 
 
 def checkpoint(layout):
@@ -75,17 +77,78 @@ def test_file_without_month_is_quarantined(spark, layout):
     assert names == {"notes.parquet", "trips_2024-13.parquet"}
 
 
-def test_failed_month_is_not_entered(spark, layout):
+def fail_on(bad, seen):
+    def load(key):
+        seen.append(key)
+        if key == bad:
+            raise RuntimeError("broken")
+
+    return load
+
+
+@pytest.mark.parametrize("bad, good", [(KEY, FEBRUARY), (FEBRUARY, KEY)])
+def test_failed_month_does_not_stop_the_others(spark, layout, bad, good):
+    land(frame(spark, [trip(1)]), layout)
+    land(frame(spark, [february(2)]), layout, FEBRUARY)
+    seen, finished = [], []
+    with pytest.raises(LoadError, match=f"{bad}: broken") as error:
+        catch_up(spark, layout, fail_on(bad, seen), finish=finished.append)
+    assert (error.value.loaded, list(error.value.failed)) == ([good], [bad])
+    assert seen == [KEY, FEBRUARY] and finished == [[good]]
+    with pytest.raises(LoadError):
+        catch_up(spark, layout, fail_on(bad, seen))
+    assert seen[2:] == [bad]
+    assert catch_up(spark, layout, lambda key: None) == [bad]
+    assert catch_up(spark, layout, lambda key: None) == []
+
+
+def test_stream_tries_a_failed_month_again(spark, layout):
     land(frame(spark, [trip(1)]), layout)
+    seen = []
+    with pytest.raises(LoadError):
+        pick_up_new_files(spark, layout, checkpoint(layout), fail_on(KEY, seen))
     land(frame(spark, [february(2)]), layout, FEBRUARY)
+    with pytest.raises(LoadError) as error:
+        pick_up_new_files(spark, layout, checkpoint(layout), fail_on(KEY, seen))
+    assert error.value.loaded == [FEBRUARY]
+    assert pick_up_new_files(spark, layout, checkpoint(layout), seen.append) == [KEY]
+    assert pick_up_new_files(spark, layout, checkpoint(layout), seen.append) == []
 
-    def load(key):
-        if key == FEBRUARY:
-            raise RuntimeError("broken")
 
-    with pytest.raises(RuntimeError):
-        catch_up(spark, layout, load)
-    assert catch_up(spark, layout, lambda key: None) == [FEBRUARY]
+def test_failing_finish_leaves_its_months_pending(spark, layout):
+    land(frame(spark, [trip(1)]), layout)
+
+    def broken(keys):
+        raise RuntimeError(f"gold of {len(keys)}")
+
+    with pytest.raises(LoadError, match="gold of 1"):
+        catch_up(spark, layout, lambda key: None, finish=broken)
+    assert catch_up(spark, layout, lambda key: None) == [KEY]
+
+
+def test_misnamed_month_is_a_stray_listed_once(spark, layout):
+    """It lies before the good month, and loading it would fail."""
+    land(frame(spark, [february(2)]), layout, FEBRUARY)
+    source = Path(layout.landing_file(FEBRUARY))
+    (source.parent / "other_2024-01.parquet").write_bytes(source.read_bytes())
+    load = lambda key: load_raw(spark, layout, key)
+    assert [catch_up(spark, layout, load) for _ in range(3)] == [[FEBRUARY], [], []]
+    assert spark.read.parquet(layout.stray_files).count() == 1
+
+
+def test_backfill_builds_gold_once(spark, layout, monkeypatch):
+    built = []
+    real = monthly.build_gold
+    monkeypatch.setattr(monthly, "build_gold", lambda *a: built.append(1) or real(*a))
+    land(frame(spark, [trip(1)]), layout)
+    land(frame(spark, [february(2)]), layout, FEBRUARY)
+    write_lookup(spark, layout)
+    loaded = catch_up(
+        spark, layout, lambda key: monthly.load_month(spark, layout, key),
+        finish=lambda keys: monthly.finish_months(spark, layout, keys),
+    )
+    assert loaded == [KEY, FEBRUARY] and built == [1]
+    assert totals(read_table(spark, layout.gold_table("full"))) == [1.0, 2.0]
 
 
 def test_month_in_the_base_path_is_ignored(spark, tmp_path):

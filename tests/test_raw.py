@@ -3,13 +3,16 @@
 from collections import Counter
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.model import SILVER_CONTRACT, TRIP_COLUMNS, RunKey, struct_of
 from tidemark.operators.contracts import ContractError
+from tidemark.plans import raw as raw_plan
 from tidemark.plans.raw import RULES, landing_rules, load_raw, split_landing
+from tidemark.plans.report import LostRowsError
 from tidemark.sinks.tables import read_quarantine
 from tidemark.sources.facts import read_month_file, read_partition
 from trips import KEY, at, frame, land, totals, trip, with_column
@@ -62,13 +65,13 @@ def test_edge_rows_go_where_they_belong(spark, layout):
     assert report.rejected == {rule: counts[rule] for rule in RULES}
 
 
-def test_grouping_whole_rows_gives_the_same_split(spark, layout, tmp_path):
-    """Beyond the broadcast bound for fingerprints every row is grouped instead."""
+def test_full_bitmap_gives_the_same_split(spark, layout, tmp_path):
+    """With one word nearly every row becomes a candidate and is grouped exactly."""
     land(frame(spark, landing_rows()), layout)
     landing = read_month_file(spark, layout.landing_file(KEY), KEY)
     rules = landing_rules(landing, KEY)
     narrow = split_landing(landing, rules, str(tmp_path / "narrow"))
-    wide = split_landing(landing, rules, str(tmp_path / "wide"), broadcast_limit=0)
+    wide = split_landing(landing, rules, str(tmp_path / "wide"), words=1)
     for a, b in ((narrow.kept, wide.kept), (narrow.rejects, wide.rejects),
                  (narrow.surplus, wide.surplus)):
         a, b = a.select(sorted(a.columns)), b.select(sorted(b.columns))
@@ -171,6 +174,51 @@ def test_narrow_types_are_widened_to_the_contract(spark, layout):
     assert schema["trip_distance"].dataType == T.DoubleType()
 
 
+@pytest.mark.parametrize("order", [(0, 1), (1, 0)])
+def test_parts_with_different_columns(spark, layout, order):
+    """No column is lost; rows of the part that lacks it are taken out as nulls, in any order."""
+    schema = with_column(TRIP_COLUMNS, "new_col", T.StringType())
+    parts = [frame(spark, [trip(1)]), frame(spark, [trip(2, new_col="a")], schema)]
+    path = Path(layout.landing_file(KEY))
+    path.mkdir(parents=True)
+    for place, part in enumerate(order):
+        pq.write_table(parts[part].toArrow(), path / f"part-{place}.parquet")
+    report = load_raw(spark, layout, KEY)
+    row = read_partition(spark, layout.raw_facts, KEY).first()
+    assert (row["total_amount"], row["new_col"]) == (2.0, "a")
+    assert (report.landed, report.kept, report.rejected["dropped_nulls"]) == (2, 1, 1)
+
+
+@pytest.mark.parametrize("column, dtype", [("passenger_count", "double"), ("PULocationID", "bigint"),
+                                           ("fare_amount", "string")])
+def test_other_type_writes_nothing(spark, layout, column, dtype):
+    land(frame(spark, [trip(1)]).withColumn(column, F.col(column).cast(dtype)), layout)
+    with pytest.raises(ContractError, match=rf"{column} \(expected \w+, found {dtype}\)"):
+        load_raw(spark, layout, KEY)
+    assert not Path(layout.raw_facts).exists() and not Path(layout.quarantine).exists()
+
+
+def test_lost_rows_are_an_error(spark, layout, monkeypatch):
+    land(frame(spark, [trip(i) for i in range(4)]), layout)
+    real = raw_plan.with_audit
+    monkeypatch.setattr(raw_plan, "with_audit", lambda kept: real(kept.where("total_amount > 1")))
+    with pytest.raises(LostRowsError, match="4 rows landed, 2 were written"):
+        load_raw(spark, layout, KEY)
+
+
+def test_file_of_a_copy_is_one_of_its_files(spark, layout):
+    path = Path(layout.landing_file(KEY))
+    path.mkdir(parents=True)
+    for name in ("a b", "c"):
+        pq.write_table(frame(spark, [trip(1), trip(2)]).toArrow(), path / f"{name}.parquet")
+    for _ in range(2):
+        load_raw(spark, layout, KEY)
+        raw = read_partition(spark, layout.raw_facts, KEY)
+        names = {r["source_file_name"] for r in raw.collect()}
+        assert len(names) == 1 and names < {"a b.parquet", "a%20b.parquet", "c.parquet"}
+        assert totals(raw) == [1.0, 2.0]
+
+
 def test_zoned_timestamps_use_the_session_zone(spark, layout):
     """A TIMESTAMP pickup is compared in its own type, so the range still reaches the scan."""
     zoned = frame(spark, [trip(1), trip(2, tpep_pickup_datetime=at("2024-02-01 00:00:00"))])
@@ -179,3 +227,5 @@ def test_zoned_timestamps_use_the_session_zone(spark, layout):
     land(zoned, layout)
     load_raw(spark, layout, KEY)
     assert totals(read_partition(spark, layout.raw_facts, KEY)) == [1.0]
+    schema = read_partition(spark, layout.raw_facts, KEY).schema
+    assert schema["tpep_pickup_datetime"].dataType == T.TimestampNTZType()

@@ -3,7 +3,7 @@ from pathlib import Path
 import pytest
 
 from tidemark.model import RunKey
-from tidemark.plans.monthly import publish, run_month
+from tidemark.plans.monthly import publish_gold, run_month
 from tidemark.sinks.tables import (
     count_rejects,
     publish_month,
@@ -135,4 +135,24 @@ def test_publish_needs_no_rerun(spark, layout):
     write_lookup(spark, layout)
     report = run_month(spark, layout, KEY)
     assert report.published == ()
-    assert "lake2.gold_full" in publish(spark, layout, "lake2", KEY, report.gold)
+    assert "lake2.gold_full" in publish_gold(spark, layout, "lake2", [KEY], report.gold)
+
+
+def test_failing_gold_hides_no_earlier_layer(spark, layout, monkeypatch):
+    def broken(*_):
+        raise RuntimeError("gold")
+
+    monkeypatch.setattr("tidemark.plans.monthly.build_gold", broken)
+    land(frame(spark, [trip(1)]), layout)
+    write_lookup(spark, layout)
+    with pytest.raises(RuntimeError, match="gold"):
+        run_month(spark, layout, KEY, database="layers")
+    assert spark.table("layers.raw_facts").count() == spark.table("layers.silver_facts").count() == 1
+
+
+def test_one_file_is_one_file_at_any_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.sinks.tables.MAX_RECORDS_PER_FILE", 10)
+    replace_table(spark.range(100), str(tmp_path / "one"), files=1)
+    replace_table(spark.range(100), str(tmp_path / "many"))
+    files = {n: len(list((tmp_path / n).glob("*.parquet"))) for n in ("one", "many")}
+    assert files["one"] == 1 and files["many"] >= 10

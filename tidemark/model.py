@@ -70,6 +70,16 @@ GOLD_ZONE_HOUR = "trips_per_zone_per_hour"
 GOLD_MONTH = "trips_per_month"
 GOLD_PEAK = "zone_wise_peak_hours"
 
+OUT_BOROUGH = "PUBorough"
+OUT_ZONE = "PUZone"
+OUT_HOUR = "pickup_hour"
+OUT_MONTH = "pickup_month"
+OUT_FARE = "avg_fare_per_mile"
+OUT_ZONE_TRIPS = "total_trip_count_per_zone"
+OUT_HOUR_TRIPS = "trip_per_zone_per_hour"
+OUT_MONTH_TRIPS = "trips_per_month"
+OUT_RANK = "row_num"
+
 MONTH_KEYS = ("year", "month")
 MONTH_FILE_FORMAT = "yellow_tripdata_{year:04d}-{month:02d}.parquet"
 MONTH_KEY_PATTERN = r"(\d{4})-(\d{2})"
@@ -147,6 +157,10 @@ class Layout:
     def quarantine(self) -> str:
         return f"{self.base}/{self.rejected}"
 
+    @property
+    def stray_files(self) -> str:
+        return f"{self.quarantine}/files_without_month"
+
     @property
     def ledger(self) -> str:
         return f"{self.base}/_ledger"

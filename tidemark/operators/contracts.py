@@ -28,7 +28,7 @@ _LOSSLESS = {
 
 
 class ContractError(ValueError):
-    """A frame lacks columns its layer needs."""
+    """A frame lacks columns its layer needs, or has them in other types."""
 
 
 def missing_columns(schema: T.StructType, contract: T.StructType) -> list[str]:
@@ -58,6 +58,18 @@ def check_contract(df: DataFrame, contract: T.StructType, where: str) -> None:
     raise ContractError(f"{where}: missing required columns: {', '.join(described)}")
 
 
+def check_types(df: DataFrame, contract: T.StructType, where: str) -> None:
+    """Raise ``ContractError`` if a contract column that ``df`` has is of another type.
+
+    Months of different types could not be read as one table, so this comes before any write.
+    """
+    wrong = [f"{name} (expected {expected}, found {found})"
+             for name, change, expected, found in drift_rows(df.schema, contract)
+             if change == "type"]
+    if wrong:
+        raise ContractError(f"{where}: columns of another type: {', '.join(wrong)}")
+
+
 def drift_rows(schema: T.StructType, contract: T.StructType) -> list[tuple]:
     rows = [(c, "missing", contract[c].dataType.simpleString(), None)
             for c in missing_columns(schema, contract)]
@@ -80,8 +92,7 @@ def drift_report(df: DataFrame, contract: T.StructType) -> DataFrame:
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Widen contract columns to their contract type where that keeps every value.
 
-    Other type differences are left as they are; ``drift_report`` shows them, and a root read over
-    months of different types fails loudly.
+    Other type differences are left as they are, for ``check_types`` to report.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     widened = {
@@ -90,3 +101,18 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
         if f.name in types and (type(types[f.name]), type(f.dataType)) in _LOSSLESS
     }
     return df.withColumns(widened) if widened else df
+
+
+def local_times(df: DataFrame, contract: T.StructType) -> DataFrame:
+    """TIMESTAMP columns that the contract holds without a zone, as local times of the session's.
+
+    Apart from ``conform``, because rules compare such columns in their own type so that they reach
+    the scan.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    local = {
+        f.name: F.col(f"`{f.name}`").cast(f.dataType)
+        for f in contract.fields
+        if f.dataType == T.TimestampNTZType() and types.get(f.name) == T.TimestampType()
+    }
+    return df.withColumns(local) if local else df

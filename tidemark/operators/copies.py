@@ -18,6 +18,12 @@ _SIDE = "_side"
 # BLOCK copies which are shuffled, so no single task has to write a whole hot group.
 SMALL = 64
 BLOCK = 65_536
+# Words of 64 bits that mark repeated fingerprints. As a broadcast table they take about 40 bytes
+# each, 40 MB at most, whatever the size of the data.
+WORDS = 1 << 20
+_FP = "_fp"
+_WORD = "_word"
+_BITS = "_bits"
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
@@ -27,17 +33,12 @@ def _cols(names: Sequence[str]) -> list[Column]:
 def count_copies(df: DataFrame, aside: str | None = None) -> DataFrame:
     """One row per distinct row with its number of copies. NULLs, NaNs and zeros compare equal.
 
-    The column ``aside`` does not tell rows apart; its smallest value is kept. A string minimum
-    would turn the whole aggregation into a sort, of every copy of a hot row, so the copies are
-    first counted per value by hash and the minimum is taken over those few rows.
+    The column ``aside`` does not tell rows apart; its smallest value is kept. It should be a
+    number: a string minimum would turn the aggregation into a sort, of every copy of a hot row.
     """
-    counted = df.groupBy(*_cols(df.columns)).agg(F.count(F.lit(1)).alias(COPIES))
-    if aside is None:
-        return counted
     data = [c for c in df.columns if c != aside]
-    return counted.groupBy(*_cols(data)).agg(
-        F.sum(COPIES).alias(COPIES), F.min(f"`{aside}`").alias(aside)
-    )
+    kept = [] if aside is None else [F.min(f"`{aside}`").alias(aside)]
+    return df.groupBy(*_cols(data)).agg(F.count(F.lit(1)).alias(COPIES), *kept)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -105,9 +106,41 @@ def fingerprint(columns: Sequence[str]) -> Column:
 def repeated_fingerprints(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fingerprints carried by more than one row. Shuffles 8-byte keys instead of whole rows."""
     return (
-        df.select(fingerprint(columns).alias("_fp"))
-        .groupBy("_fp")
+        df.select(fingerprint(columns).alias(_FP))
+        .groupBy(_FP)
         .agg(F.count(F.lit(1)).alias(COPIES))
         .where(F.col(COPIES) > 1)
-        .select("_fp")
+        .select(_FP)
+    )
+
+
+def _word(words: int) -> Column:
+    return F.shiftright(_FP, 6).bitwiseAND(F.lit(words - 1).cast("bigint"))
+
+
+def _bit() -> Column:
+    return F.col(_FP).bitwiseAND(F.lit(63).cast("bigint")).cast("int")
+
+
+def mark_repeats(repeats: DataFrame, words: int = WORDS) -> DataFrame:
+    """Repeated fingerprints as a bitmap of at most ``words`` rows (a power of two).
+
+    Each fingerprint sets the bit that its low bits name. The more of them repeat, the more unique
+    fingerprints share a set bit with one; no repeated fingerprint is ever unmarked.
+    """
+    bit = F.expr(f"shiftleft(1L, cast({_FP} & 63L as int))")
+    return repeats.groupBy(_word(words).alias(_WORD)).agg(F.bit_or(bit).alias(_BITS))
+
+
+def split_marked(
+    df: DataFrame, columns: Sequence[str], marks: DataFrame, words: int = WORDS
+) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two: rows that are certainly unique, and candidates, among which is every row that
+    repeats. Both sides are narrow; ``marks`` is a table of ``mark_repeats``."""
+    hashed = df.withColumn(_FP, fingerprint(columns))
+    looked_up = hashed.withColumn("_at", _word(words)).join(
+        F.broadcast(marks), F.col("_at") == F.col(_WORD), "left"
     )
+    marked = F.coalesce(F.getbit(_BITS, _bit()) == 1, F.lit(False))
+    own = _cols(df.columns)
+    return looked_up.where(~marked).select(*own), looked_up.where(marked).select(*own)

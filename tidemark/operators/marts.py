@@ -13,7 +13,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.model import PICKUP_LOCATION, PICKUP_TIME
+from tidemark.model import (
+    OUT_BOROUGH,
+    OUT_FARE,
+    OUT_HOUR,
+    OUT_HOUR_TRIPS,
+    OUT_MONTH,
+    OUT_MONTH_TRIPS,
+    OUT_RANK,
+    OUT_ZONE,
+    OUT_ZONE_TRIPS,
+    PICKUP_LOCATION,
+    PICKUP_TIME,
+)
 from tidemark.operators.lookups import Lookup, enrich
 
 PEAK_HOURS = 3
@@ -27,8 +39,8 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 def cube_keys() -> list[Column]:
     return [
         F.col(PICKUP_LOCATION),
-        F.hour(PICKUP_TIME).alias("pickup_hour"),
-        F.month(PICKUP_TIME).alias("pickup_month"),
+        F.hour(PICKUP_TIME).alias(OUT_HOUR),
+        F.month(PICKUP_TIME).alias(OUT_MONTH),
     ]
 
 
@@ -52,22 +64,22 @@ def name_cube(cube: DataFrame, lookup: Lookup) -> DataFrame:
 
 def avg_fare_per_mile(cube: DataFrame) -> DataFrame:
     """Mean of the per-trip ratios (not the ratio of the sums) per pickup borough."""
-    return cube.groupBy("PUBorough").agg(
-        ratio(F.sum("ratio_sum"), F.sum("ratio_count")).alias("avg_fare_per_mile")
+    return cube.groupBy(OUT_BOROUGH).agg(
+        ratio(F.sum("ratio_sum"), F.sum("ratio_count")).alias(OUT_FARE)
     )
 
 
 def trips_per_zone(cube: DataFrame) -> DataFrame:
-    return cube.groupBy("PUZone").agg(F.sum("trips").alias("total_trip_count_per_zone"))
+    return cube.groupBy(OUT_ZONE).agg(F.sum("trips").alias(OUT_ZONE_TRIPS))
 
 
 def trips_per_zone_hour(cube: DataFrame) -> DataFrame:
-    return cube.groupBy("PUZone", "pickup_hour").agg(F.sum("trips").alias("trip_per_zone_per_hour"))
+    return cube.groupBy(OUT_ZONE, OUT_HOUR).agg(F.sum("trips").alias(OUT_HOUR_TRIPS))
 
 
 def trips_per_month(cube: DataFrame) -> DataFrame:
     """Trips per calendar month 1..12, all years together."""
-    return cube.groupBy("pickup_month").agg(F.sum("trips").alias("trips_per_month"))
+    return cube.groupBy(OUT_MONTH).agg(F.sum("trips").alias(OUT_MONTH_TRIPS))
 
 
 def top_per_group(df: DataFrame, group: str, measure: str, tie_break: str, k: int) -> DataFrame:
@@ -77,9 +89,9 @@ def top_per_group(df: DataFrame, group: str, measure: str, tie_break: str, k: in
     the shuffle, so the size of a group does not matter.
     """
     order = Window.partitionBy(group).orderBy(F.col(measure).desc(), F.col(tie_break).asc())
-    return df.withColumn("row_num", F.row_number().over(order)).where(F.col("row_num") <= k)
+    return df.withColumn(OUT_RANK, F.row_number().over(order)).where(F.col(OUT_RANK) <= k)
 
 
 def peak_hours(zone_hours: DataFrame, k: int = PEAK_HOURS) -> DataFrame:
     """The busiest hours of each zone; equal counts go to the earlier hour."""
-    return top_per_group(zone_hours, "PUZone", "trip_per_zone_per_hour", "pickup_hour", k)
+    return top_per_group(zone_hours, OUT_ZONE, OUT_HOUR_TRIPS, OUT_HOUR, k)

@@ -20,8 +20,9 @@ from tidemark.model import (
     GOLD_ZONE,
     GOLD_ZONE_HOUR,
     MONTH_KEYS,
+    OUT_HOUR,
+    OUT_MONTH,
     PICKUP_LOCATION,
-    PICKUP_TIME,
     Layout,
     RunKey,
 )
@@ -36,8 +37,8 @@ LAYER = "gold"
 _CUBE = T.StructType(
     [
         T.StructField(PICKUP_LOCATION, T.IntegerType()),
-        T.StructField("pickup_hour", T.IntegerType()),
-        T.StructField("pickup_month", T.IntegerType()),
+        T.StructField(OUT_HOUR, T.IntegerType()),
+        T.StructField(OUT_MONTH, T.IntegerType()),
         T.StructField("trips", T.LongType()),
         T.StructField("ratio_sum", T.DoubleType()),
         T.StructField("ratio_count", T.LongType()),
@@ -67,13 +68,15 @@ def refresh_everything(spark: SparkSession, layout: Layout, lookup: Lookup) -> N
     facts = read_table(spark, layout.silver_facts)
     replace_all_months(enrich(facts, lookup), layout.gold_table(GOLD_FULL))
     cube = marts.trip_cube(facts, [*MONTH_KEYS, *marts.cube_keys()])
-    replace_all_months(cube.repartition(*MONTH_KEYS), layout.gold_table(GOLD_CUBE))
+    by_month = cube.hint("rebalance", *[F.col(k) for k in MONTH_KEYS])
+    replace_all_months(by_month, layout.gold_table(GOLD_CUBE))
 
 
 def refresh_month(spark: SparkSession, layout: Layout, key: RunKey, lookup: Lookup) -> None:
     facts = read_partition(spark, layout.silver_facts, key)
     replace_month(enrich(facts, lookup), layout.gold_table(GOLD_FULL), key)
-    replace_month(marts.trip_cube(facts), layout.gold_table(GOLD_CUBE), key, files=1)
+    cube = marts.trip_cube(facts).hint("rebalance")
+    replace_month(cube, layout.gold_table(GOLD_CUBE), key)
 
 
 def stale_months(spark: SparkSession, layout: Layout) -> list[RunKey] | None:
@@ -111,5 +114,5 @@ def build_gold(spark: SparkSession, layout: Layout, everything: bool = False) ->
     cube = read_table(spark, layout.gold_table(GOLD_CUBE), _CUBE)
     frames = mart_frames(marts.name_cube(cube, lookup))
     for name, frame in frames.items():
-        replace_table(frame, layout.gold_table(name), files=1)
+        replace_table(frame.hint("rebalance"), layout.gold_table(name))
     return [GOLD_FULL, *frames]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import SparkSession
 
@@ -23,24 +23,17 @@ class MonthReport:
     published: tuple[str, ...]
 
 
-def publish(
-    spark: SparkSession, layout: Layout, database: str, key: RunKey, gold: Iterable[str]
+def _published(
+    spark: SparkSession, database: str, tables: dict[str, str], key: RunKey | None = None
 ) -> list[str]:
-    """Make the month visible in the raw, silver and full tables of ``database``, and register
-    the refreshed aggregates. A table that has no file yet, because every row was rejected so far, is
-    left out."""
+    """Register tables by name and path; with ``key``, make that month visible in them. A table that
+    has no file yet, because every row was rejected so far, is left out."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    months = {
-        "raw_facts": layout.raw_facts,
-        "silver_facts": layout.silver_facts,
-        f"gold_{GOLD_FULL}": layout.gold_table(GOLD_FULL),
-    }
-    tables = {f"gold_{name}": layout.gold_table(name) for name in gold if name != GOLD_FULL}
     published = []
-    for name, path in (months | tables).items():
+    for name, path in tables.items():
         table = f"{database}.{name}"
         try:
-            if name in months:
+            if key is not None:
                 publish_month(spark, table, path, key)
             else:
                 register_table(spark, table, path)
@@ -50,16 +43,59 @@ def publish(
     return published
 
 
-def run_month(
+def publish_raw(spark: SparkSession, layout: Layout, database: str, key: RunKey) -> list[str]:
+    return _published(spark, database, {"raw_facts": layout.raw_facts}, key)
+
+
+def publish_silver(spark: SparkSession, layout: Layout, database: str, key: RunKey) -> list[str]:
+    return _published(spark, database, {"silver_facts": layout.silver_facts}, key)
+
+
+def publish_gold(
+    spark: SparkSession, layout: Layout, database: str, keys: Iterable[RunKey], gold: Iterable[str]
+) -> list[str]:
+    """The months of the denormalised facts and the refreshed aggregates."""
+    full = {f"gold_{GOLD_FULL}": layout.gold_table(GOLD_FULL)}
+    published = {t for key in keys for t in _published(spark, database, full, key)}
+    marts = {f"gold_{name}": layout.gold_table(name) for name in gold if name != GOLD_FULL}
+    return sorted(published) + _published(spark, database, marts)
+
+
+def load_month(
     spark: SparkSession,
     layout: Layout,
     key: RunKey,
     database: str | None = None,
     location_range: tuple[int, int] = LOCATION_RANGE,
 ) -> MonthReport:
-    """Landing to gold for one month; the first failure ends the run. Safe to repeat."""
+    """Landing to silver for one month; each layer is published before the next one starts."""
     raw = load_raw(spark, layout, key, location_range)
+    published = publish_raw(spark, layout, database, key) if database else []
     silver = load_silver(spark, layout, key)
+    if database:
+        published += publish_silver(spark, layout, database, key)
+    return MonthReport(raw, silver, (), tuple(published))
+
+
+def finish_months(
+    spark: SparkSession, layout: Layout, keys: Iterable[RunKey], database: str | None = None
+) -> tuple[list[str], list[str]]:
+    """Gold once for all months loaded; the names of its tables, and of those published."""
     gold = build_gold(spark, layout)
-    published = publish(spark, layout, database, key, gold) if database else []
-    return MonthReport(raw, silver, tuple(gold), tuple(published))
+    return gold, publish_gold(spark, layout, database, keys, gold) if database else []
+
+
+def run_month(
+    spark: SparkSession,
+    layout: Layout,
+    key: RunKey,
+    database: str | None = None,
+    location_range: tuple[int, int] = LOCATION_RANGE,
+) -> MonthReport:
+    """Landing to gold for one month; the first failure ends the run. Safe to repeat.
+
+    Each layer is published when it is written, so a later failure does not hide it.
+    """
+    loaded = load_month(spark, layout, key, database, location_range)
+    gold, published = finish_months(spark, layout, [key], database)
+    return replace(loaded, gold=tuple(gold), published=loaded.published + tuple(published))

@@ -23,13 +23,15 @@ from tidemark.model import (
     Layout,
     RunKey,
 )
-from tidemark.operators.contracts import check_contract, conform
+from tidemark.operators.contracts import check_contract, check_types, conform, local_times
 from tidemark.operators.copies import (
     COPIES,
+    WORDS,
     count_copies,
-    fingerprint,
+    mark_repeats,
     repeated_fingerprints,
     replicate,
+    split_marked,
 )
 from tidemark.operators.rules import (
     Rule,
@@ -47,9 +49,7 @@ from tidemark.sources.scratch import remove_scratch, scratch_path, settle
 
 LAYER = "raw"
 RULES = (RULE_DUPLICATES, RULE_NULLS, RULE_LOCATIONS, RULE_STRAY)
-# Fingerprints are one BIGINT each, about 40 bytes in a broadcast hash table. Beyond this many,
-# whole rows are grouped instead.
-BROADCAST_FINGERPRINTS = 1_000_000
+_FILE = "_file_id"
 
 
 @dataclass(frozen=True)
@@ -82,22 +82,20 @@ def landing_rules(
 class Copies:
     """Which landed rows may repeat.
 
-    ``repeats`` holds their fingerprints (None: no row repeats), ``groups`` one row per distinct
-    such row with its number of copies and file name. With ``all_grouped`` that is every row.
+    ``marks`` is the bitmap of their fingerprints (None: no row repeats), ``groups`` one row per
+    distinct candidate with its number of copies and file name.
     """
 
-    repeats: DataFrame | None = None
+    marks: DataFrame | None = None
     groups: DataFrame | None = None
-    all_grouped: bool = False
+    words: int = WORDS
 
     def distinct(self, landing: DataFrame) -> DataFrame:
         """One row per distinct row of ``landing``, which may have the file name or not."""
         if self.groups is None:
             return landing
-        grouped = self.groups.select([f"`{c}`" for c in landing.columns])
-        if self.all_grouped:
-            return grouped
-        return _by_fingerprint(landing, self.repeats, "left_anti").unionAll(grouped)
+        unique, _ = split_marked(landing, _data(landing), self.marks, self.words)
+        return unique.unionAll(self.groups.select([f"`{c}`" for c in landing.columns]))
 
     def surplus(self) -> DataFrame | None:
         if self.groups is None:
@@ -106,45 +104,43 @@ class Copies:
         return replicate(more.drop(SOURCE_FILE))
 
 
-def _by_fingerprint(landing: DataFrame, repeats: DataFrame, how: str) -> DataFrame:
-    data = [c for c in landing.columns if c != SOURCE_FILE]
-    hashed = landing.withColumn("_fp", fingerprint(data))
-    return hashed.join(F.broadcast(repeats), "_fp", how).drop("_fp")
+def _data(landing: DataFrame) -> list[str]:
+    return [c for c in landing.columns if c != SOURCE_FILE]
 
 
-def find_copies(
-    landing: DataFrame, stage: str, broadcast_limit: int = BROADCAST_FINGERPRINTS
-) -> Copies:
+def find_copies(landing: DataFrame, stage: str, words: int = WORDS) -> Copies:
     """Look for whole-row copies by shuffling 8-byte fingerprints.
 
-    Rows whose fingerprint is unique are certainly unique and never take part in a wide shuffle;
-    the others are grouped exactly on all data columns. If too many fingerprints repeat to be
-    broadcast, everything is grouped. The file name is not part of the grouping; the first one (by
-    name) is kept.
+    Rows whose fingerprint is not marked as repeated are certainly unique and never shuffled. The
+    candidates are grouped exactly on all data columns, in one shuffle of theirs. The file name is
+    not part of the grouping: it travels as its hash, the smallest is kept, and the few names are
+    joined back to the groups.
     """
     repeats = settle(repeated_fingerprints(landing, landing.columns), f"{stage}/fingerprints")
-    many = repeats.count()
-    if many == 0:
+    if repeats.isEmpty():
         return Copies()
+    marks = settle(mark_repeats(repeats, words), f"{stage}/marks")
     named = with_source(landing)
-    if many > broadcast_limit:
-        groups = settle(count_copies(named, SOURCE_FILE), f"{stage}/groups")
-        return Copies(repeats, groups, all_grouped=True)
-    again = _by_fingerprint(named, repeats, "left_semi")
-    return Copies(repeats, settle(count_copies(again, SOURCE_FILE), f"{stage}/groups"))
+    file_id = F.xxhash64(SOURCE_FILE)
+    files = settle(
+        named.select(file_id.alias(_FILE), SOURCE_FILE).distinct()
+        .groupBy(_FILE).agg(F.min(SOURCE_FILE).alias(SOURCE_FILE)),
+        f"{stage}/files",
+    )
+    _, candidates = split_marked(named, landing.columns, marks, words)
+    counted = count_copies(candidates.withColumn(_FILE, file_id).drop(SOURCE_FILE), _FILE)
+    groups = settle(counted.join(files, _FILE).drop(_FILE), f"{stage}/groups")
+    return Copies(marks, groups, words)
 
 
 def split_landing(
-    landing: DataFrame,
-    rules: list[Rule],
-    stage: str,
-    broadcast_limit: int = BROADCAST_FINGERPRINTS,
+    landing: DataFrame, rules: list[Rule], stage: str, words: int = WORDS
 ) -> Split:
     """Surplus copies go first; of each distinct row, one copy goes through the other rules.
 
     ``landing`` must come from a file scan, which knows the file names of the kept rows.
     """
-    copies = find_copies(landing, stage, broadcast_limit)
+    copies = find_copies(landing, stage, words)
     return Split(
         keep_rows(copies.distinct(with_source(landing)), rules),
         rejected(classify(copies.distinct(landing), rules)),
@@ -172,14 +168,23 @@ def load_raw(
     landing = read_month_file(spark, path, key)
     check_contract(landing, LANDING_CONTRACT, path)
     landing = conform(landing, TRIP_COLUMNS)
+    check_types(local_times(landing, TRIP_COLUMNS), TRIP_COLUMNS, path)
+    landed = landing.count()
     stage = scratch_path(spark)
     rules = landing_rules(landing, key, location_range, null_subset)
     try:
         split = split_landing(landing, rules, stage)
-        replace_month(with_audit(split.kept), layout.raw_facts, key)
-        replace_quarantine(split.rejects, layout.quarantine, LAYER, key)
+        kept = local_times(with_audit(split.kept), TRIP_COLUMNS)
+        replace_month(kept, layout.raw_facts, key)
+        rejects = local_times(split.rejects, TRIP_COLUMNS)
+        replace_quarantine(rejects, layout.quarantine, LAYER, key)
         if split.surplus is not None:
-            replace_rule(split.surplus, layout.quarantine, LAYER, key, RULE_DUPLICATES)
+            surplus = local_times(split.surplus, TRIP_COLUMNS)
+            replace_rule(surplus, layout.quarantine, LAYER, key, RULE_DUPLICATES)
     finally:
         remove_scratch(spark, stage)
-    return report_load(spark, layout.raw_facts, layout.quarantine, LAYER, key, RULES)
+    report = report_load(
+        spark, layout.raw_facts, layout.quarantine, LAYER, key, RULES, landed=landed
+    )
+    report.check_conserved(path)
+    return report

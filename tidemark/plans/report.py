@@ -11,14 +11,26 @@ from tidemark.model import RunKey
 from tidemark.sinks.tables import count_month, count_rejects
 
 
+class LostRowsError(RuntimeError):
+    """A load did not place every row that landed."""
+
+
 @dataclass(frozen=True)
 class LoadReport:
     kept: int
     rejected: dict[str, int] = field(default_factory=dict)
     drift: tuple[tuple, ...] = ()
+    landed: int | None = None
+
+    def check_conserved(self, where: str) -> None:
+        """Raise ``LostRowsError`` unless every landed row was kept or rejected, exactly once."""
+        placed = self.kept + sum(self.rejected.values())
+        if placed != self.landed:
+            raise LostRowsError(f"{where}: {self.landed} rows landed, {placed} were written")
 
-    def steps(self, rows: int) -> list[tuple[str, int]]:
-        """Rows left after each sequential rule, starting from ``rows``."""
+    def steps(self) -> list[tuple[str, int]]:
+        """Rows left after each sequential rule, starting from the landed rows."""
+        rows = self.landed
         left = [("input", rows)]
         for rule, count in self.rejected.items():
             rows -= count
@@ -34,6 +46,7 @@ def report_load(
     key: RunKey,
     rules: Iterable[str],
     drift: Iterable[tuple] = (),
+    landed: int | None = None,
 ) -> LoadReport:
     """What a load left in its tables.
 
@@ -42,5 +55,5 @@ def report_load(
     """
     rejected = count_rejects(spark, quarantine, layer, key)
     return LoadReport(
-        count_month(spark, facts, key), {r: rejected.get(r, 0) for r in rules}, tuple(drift)
+        count_month(spark, facts, key), {r: rejected.get(r, 0) for r in rules}, tuple(drift), landed
     )

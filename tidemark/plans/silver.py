@@ -19,7 +19,13 @@ from tidemark.model import (
     Layout,
     RunKey,
 )
-from tidemark.operators.contracts import check_contract, conform, drift_rows
+from tidemark.operators.contracts import (
+    check_contract,
+    check_types,
+    conform,
+    drift_rows,
+    local_times,
+)
 from tidemark.operators.lookups import Lookup, flag_known
 from tidemark.operators.rules import (
     Rule,
@@ -79,9 +85,12 @@ def load_silver(spark: SparkSession, layout: Layout, key: RunKey) -> LoadReport:
     Columns beyond the contract are kept and reported as drift.
     """
     raw = read_partition(spark, layout.raw_facts, key)
-    check_contract(raw, SILVER_CONTRACT, f"{layout.raw_facts}/{key.partition}")
+    path = f"{layout.raw_facts}/{key.partition}"
+    check_contract(raw, SILVER_CONTRACT, path)
     drift = drift_rows(raw.schema, SILVER_CONTRACT)
-    split = split_raw(conform(raw, SILVER_CONTRACT), read_lookup(spark, layout.lookup))
+    raw = local_times(conform(raw, SILVER_CONTRACT), SILVER_CONTRACT)
+    check_types(raw, SILVER_CONTRACT, path)
+    split = split_raw(raw, read_lookup(spark, layout.lookup))
     replace_month(split.kept, layout.silver_facts, key)
     replace_quarantine(split.rejects, layout.quarantine, LAYER, key)
     return report_load(

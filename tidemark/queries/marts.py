@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.model import PICKUP_LOCATION
+from tidemark.model import OUT_HOUR_TRIPS, OUT_ZONE, PICKUP_LOCATION, PICKUP_TIME
 from tidemark.operators import marts
 from tidemark.queries.registry import query
 from tidemark.queries.views import order_lines, select_trips, sql_zones, table, zones
@@ -55,12 +55,14 @@ def trips_per_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events stand in for trips where hours matter; the event type is the zone."""
-    return (
-        table(spark, sf_dir, "events")
-        .groupBy(F.col("event_type").alias("PUZone"), F.hour("ts").alias("pickup_hour"))
-        .agg(F.count(F.lit(1)).alias("trips"))
+    """Trips per zone and hour. Events stand in for trips where hours matter; the event type is the
+    zone."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias(OUT_ZONE), F.col("ts").alias(PICKUP_TIME),
+        F.col("value").alias("fare_amount"), F.lit(1.0).alias("trip_distance"),
     )
+    _, hour, month = marts.cube_keys()
+    return marts.trips_per_zone_hour(marts.trip_cube(events, [F.col(OUT_ZONE), hour, month]))
 
 
 _ZONE_HOURS = """
@@ -70,7 +72,9 @@ FROM events GROUP BY 1, 2"""
 
 @query("trips_per_zone_hour", _ZONE_HOURS)
 def trips_per_zone_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_hours(spark, sf_dir).withColumnRenamed("PUZone", "pu_zone")
+    return event_hours(spark, sf_dir).withColumnsRenamed(
+        {OUT_ZONE: "pu_zone", OUT_HOUR_TRIPS: "trips"}
+    )
 
 
 @query("trips_per_month", """
@@ -91,8 +95,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY pu_zone ORDER BY trips DESC
 SELECT pu_zone, pickup_hour, trips, CAST(row_num AS INTEGER) AS row_num
 FROM ranked WHERE row_num < 4""")
 def peak_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zone_hours = event_hours(spark, sf_dir).withColumnRenamed("trips", "trip_per_zone_per_hour")
-    return marts.peak_hours(zone_hours).select(
+    return marts.peak_hours(event_hours(spark, sf_dir)).select(
         F.col("PUZone").alias("pu_zone"), "pickup_hour",
         F.col("trip_per_zone_per_hour").alias("trips"), "row_num",
     )

@@ -85,14 +85,16 @@ def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- null, range, period, order and zero rules --------------------------------------------------
 
 def _labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", "n_chars", "text"
+    )
     return documents.join(table(spark, sf_dir, "labels"), "doc_id", "left")
 
 
 _LABELLED = """
-SELECT d.doc_id, lang, source, n_chars, quality, toxic
+SELECT d.doc_id, lang, source, n_chars, text, quality, toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id """
-_ANY_NULL = """lang IS NULL OR source IS NULL OR n_chars IS NULL
+_ANY_NULL = """text IS NULL OR lang IS NULL OR source IS NULL OR n_chars IS NULL
    OR quality IS NULL OR toxic IS NULL"""
 
 
@@ -269,12 +271,12 @@ SILVER_SQL = """
 flagged AS (
   SELECT t.*, p.id IS NULL AS no_pu, d.id IS NULL AS no_do
   FROM trips t LEFT JOIN zones p ON pu = p.id LEFT JOIN zones d ON dof = d.id),
-sequential AS (
+sequential AS MATERIALIZED (
   SELECT *, CASE WHEN dropoff < pickup THEN 'faulty_timestamps'
                  WHEN passengers = 0 THEN 'faulty_passenger_count'
                  WHEN distance = 0 THEN 'faulty_trip_distance' END AS rule
   FROM flagged),
-placed AS (
+placed AS MATERIALIZED (
   SELECT *, rule AS destination FROM sequential WHERE rule IS NOT NULL
   UNION ALL
   SELECT *, 'faulty_pickup_locations' FROM sequential WHERE rule IS NULL AND no_pu
@@ -293,6 +295,44 @@ def silver_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("destination", *trip_id(), F.col("fare_amount").alias("fare"))
 
 
+# --- times within a day -------------------------------------------------------------------------
+
+_TIMED_EVENTS = """
+timed AS (SELECT event_id, ts AS pickup, ts + to_microseconds((event_id % 7 - 3) * 400000) AS dropoff
+          FROM events)"""
+
+
+def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as trips that end up to 1.2 seconds before or after they start."""
+    shift = F.expr("(event_id % 7 - 3) * 0.4")
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        F.col("ts").alias(PICKUP_TIME),
+        (F.col("ts") + F.make_dt_interval(secs=shift)).alias(DROPOFF_TIME),
+    )
+
+
+@query("event_seconds", f"""
+WITH {_TIMED_EVENTS}
+SELECT event_id, CAST(date_diff('second', pickup, dropoff) AS BIGINT) AS seconds FROM timed""")
+def event_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both ends are cut to whole seconds before they are compared."""
+    seconds = seconds_between(F.col(PICKUP_TIME), F.col(DROPOFF_TIME))
+    return timed_events(spark, sf_dir).select("event_id", seconds.alias("seconds"))
+
+
+@query("event_time_order", f"""
+WITH {_TIMED_EVENTS}
+SELECT event_id, date_diff('second', pickup, dropoff) >= 0 AS kept FROM timed""")
+def event_time_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips that end in an earlier second than they start in are rejected, equal seconds kept."""
+    events = timed_events(spark, sf_dir)
+    order = rules.order_rule(RULE_TIMES, PICKUP_TIME, DROPOFF_TIME)
+    kept = rules.keep_rows(events, [order]).select("event_id", F.lit(True).alias("kept"))
+    rejects = rules.reject_rows(events, order).select("event_id", F.lit(False).alias("kept"))
+    return kept.unionAll(rejects)
+
+
 # --- scalar expressions -------------------------------------------------------------------------
 
 @query("duration_seconds", """

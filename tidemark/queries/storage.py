@@ -9,10 +9,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import month_of_path
-from tidemark.model import PICKUP_TIME, RULE_STRAY, RULE_TIMES, RunKey
+from tidemark.model import (
+    MONTH_FILE_FORMAT,
+    OUT_HOUR_TRIPS,
+    PICKUP_TIME,
+    RULE_STRAY,
+    RULE_TIMES,
+    RunKey,
+)
 from tidemark.operators import rules
 from tidemark.operators.contracts import drift_report
-from tidemark.plans.raw import with_audit
+from tidemark.plans.raw import LAYER as RAW_LAYER
+from tidemark.plans.raw import load_raw, with_audit
 from tidemark.plans.silver import business_rules
 from tidemark.queries.layers import fresh_layout, write_zones
 from tidemark.queries.marts import event_hours
@@ -27,6 +35,7 @@ from tidemark.sources.facts import (
     read_table,
     with_source,
 )
+from tidemark.sources.listing import list_months
 from tidemark.sources.lookup import read_lookup
 from tidemark.sources.scratch import scratch_path
 from tidemark.streaming import pickup
@@ -104,26 +113,29 @@ def csv_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("input_guard", """
-SELECT 1996 AS year, CAST(month(o_orderdate) AS INTEGER) AS month, TRUE AS found,
-       count(*) AS orders FROM orders WHERE year(o_orderdate) = 1996 GROUP BY 2
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       TRUE AS found, count(*) AS orders FROM orders GROUP BY 1, 2
 UNION ALL SELECT 2002, 1, max(o_orderdate) >= TIMESTAMP '2002-01-01', 0 FROM orders""")
 def input_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The months of a year that have input, and one that has none: an absent month is an error
-    that names it."""
+    """Every month that has input, and one that has none: an absent month is an error that names
+    it. The driver sees calendar months only."""
     root = scratch_path(spark)
     _write_by_month(_orders(spark, sf_dir), root)
+    found = list_months(spark, root).select("year", "month").distinct().collect()
+    months = sorted(RunKey(m["year"], m["month"]) for m in found)
 
-    def month(key: RunKey) -> DataFrame:
+    scans, absent = [], []
+    for key in [*months, RunKey(2002, 1)]:
+        place = (F.lit(key.year).alias("year"), F.lit(key.month).alias("month"))
         try:
-            rows = read_partition(spark, root, key).agg(F.count(F.lit(1)).alias("orders"))
-            found = True
+            scans.append(read_partition(spark, root, key).select(*place))
         except FileNotFoundError:
-            rows, found = spark.sql("SELECT 0L AS orders"), False
-        place = (F.lit(key.year).alias("year"), F.lit(key.month).alias("month"))
-        return rows.select(*place, F.lit(found).alias("found"), "orders")
-
-    frames = [month(RunKey(1996, m)) for m in range(1, 13)] + [month(RunKey(2002, 1))]
-    return reduce(DataFrame.unionAll, frames)
+            absent.append((key.year, key.month, False, 0))
+    counted = reduce(DataFrame.unionAll, scans).groupBy("year", "month").agg(
+        F.lit(True).alias("found"), F.count(F.lit(1)).alias("orders")
+    )
+    shape = "year int, month int, found boolean, orders bigint"
+    return counted.unionAll(spark.createDataFrame(absent, shape))
 
 
 # --- sinks --------------------------------------------------------------------------------------
@@ -183,7 +195,8 @@ FROM events GROUP BY 1, 2""")
 def single_file_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An aggregate table kept in one file; ``files`` counts what was really written."""
     path = scratch_path(spark)
-    tables.replace_table(event_hours(spark, sf_dir), path, files=1)
+    hours = event_hours(spark, sf_dir).withColumnRenamed(OUT_HOUR_TRIPS, "trips")
+    tables.replace_table(hours, path, files=1)
     written = read_table(spark, path).select("*", F.col("_metadata.file_name").alias("file"))
     files = written.agg(F.count_distinct("file").alias("files"))
     return written.select(
@@ -250,13 +263,23 @@ def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- file pickup --------------------------------------------------------------------------------
 
 def _land_months(spark: SparkSession, sf_dir: str, landing: str) -> None:
-    """Orders as one directory per month whose name holds ``YYYY-MM``."""
+    """Orders as they land, one directory per month. Written in one job below ``file=``, then moved to
+    the names of landed months."""
+    name = F.format_string(
+        MONTH_FILE_FORMAT.replace("{year:04d}", "%04d").replace("{month:02d}", "%02d"),
+        F.year("o_orderdate"), F.month("o_orderdate"),
+    )
+    written = scratch_path(spark)
     (
-        _orders(spark, sf_dir)
-        .withColumn("file", F.date_format("o_orderdate", "yyyy-MM"))
+        _orders(spark, sf_dir).withColumn("file", name)
         .hint("rebalance", F.col("file"))
-        .write.partitionBy("file").parquet(landing)
+        .write.partitionBy("file").parquet(written)
     )
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = path(landing).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(path(landing))
+    for month in store.globStatus(path(f"{written}/file=*")):
+        store.rename(month.getPath(), path(landing, month.getPath().getName().split("=", 1)[1]))
 
 
 @query("file_pickup", """
@@ -272,7 +295,7 @@ def file_pickup(spark: SparkSession, sf_dir: str) -> DataFrame:
         pickup.pick_up_new_files(spark, layout, f"{layout.base}/_stream", lambda key: None)
     year, month = month_of_path(F.substring_index("_metadata.file_path", "/landing/", -1))
     rows = (
-        spark.read.parquet(layout.landing_root)
+        spark.read.option("recursiveFileLookup", True).parquet(layout.landing_root)
         .select(year.alias("year"), month.alias("month"))
         .groupBy("year", "month").agg(F.count(F.lit(1)).alias("orders"))
     )
@@ -280,6 +303,40 @@ def file_pickup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.join(rows, ["year", "month"])
 
 
+@query("pickup_load", f"""
+WITH {sql_trips()},
+landed AS (SELECT *, CASE WHEN pickup < TIMESTAMP '1996-03-01' THEN 2 ELSE 3 END AS month FROM trips),
+copies AS (SELECT *, row_number() OVER (
+  PARTITION BY trip_key, line, pickup, dropoff, passengers, distance, flag, pu, dof, fare) AS copy
+  FROM landed)
+SELECT CAST(1996 AS INTEGER) AS year, CAST(month AS INTEGER) AS month,
+       CASE WHEN copy > 1 THEN 'dropped_duplicates'
+            WHEN pu NOT BETWEEN 1 AND 266 OR dof NOT BETWEEN 1 AND 266 THEN 'dropped_locations'
+            WHEN year(pickup) <> 1996 OR month(pickup) <> month THEN 'dropped_stray_timestamps'
+            ELSE 'raw' END AS destination, trip_key, line
+FROM copies""")
+def pickup_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips landed as two months and loaded by the stream that finds them. A file with another
+    name lies first among them; it is listed, and no month waits for it."""
+    layout = fresh_layout(spark)
+    facts = trips(spark, sf_dir)
+    early = F.col(PICKUP_TIME) < F.lit("1996-03-01").cast("timestamp_ntz")
+    february = RunKey(1996, 2)
+    facts.where(early).write.parquet(layout.landing_file(february))
+    facts.where(~early).write.parquet(layout.landing_file(MONTH))
+    table(spark, sf_dir, "region").write.parquet(f"{layout.landing_root}/other_1996-01.parquet")
+    for _ in range(2):
+        pickup.pick_up_new_files(
+            spark, layout, f"{layout.base}/_stream", lambda key: load_raw(spark, layout, key)
+        )
+    place = ("year", "month")
+    raw = read_table(spark, layout.raw_facts)
+    rejects = tables.read_quarantine(spark, layout.quarantine, RAW_LAYER, raw.drop(*place).schema)
+    return raw.select(*place, F.lit(RAW_LAYER).alias("destination"), *trip_id()).unionAll(
+        rejects.select(*place, F.col("rule").alias("destination"), *trip_id())
+    )
+
+
 @query("repeat_guard", """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
 FROM orders WHERE year(o_orderdate) >= 1998 GROUP BY 1, 2""")

@@ -17,14 +17,15 @@ QUARANTINE_KEYS = T.StructType(
         T.StructField("rule", T.StringType()),
     ]
 )
-# Bounds the size of a file without limiting how many tasks write.
+# Bounds the size of a file without limiting how many tasks write; not where a number of files is
+# asked for.
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def _overwrite(df: DataFrame, path: str, files: int | None, *partitions: str) -> None:
-    if files:
-        df = df.repartition(files)
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    writer = (df.repartition(files) if files else df).write.mode("overwrite")
+    if not files:
+        writer = writer.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(path)
@@ -116,7 +117,8 @@ def register_table(
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     by = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
     drop_table(spark, name)
-    spark.sql(f"CREATE TABLE {_quoted(name)} ({columns}) USING parquet {by} LOCATION '{path}'")
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {_quoted(name)} ({columns}) USING parquet {by} LOCATION '{location}'")
     if partitions:
         spark.sql(f"MSCK REPAIR TABLE {_quoted(name)}")
 

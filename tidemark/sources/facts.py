@@ -27,8 +27,12 @@ def _read(open_path: Callable[[str], DataFrame], path: str, what: str) -> DataFr
 
 
 def read_month_file(spark: SparkSession, path: str, key: RunKey) -> DataFrame:
-    """One landed month."""
-    return _read(spark.read.parquet, path, f"month {key}")
+    """One landed month, a file or a directory of part files.
+
+    Parts may differ in their columns: the month has all of them, NULL in rows of a part that lacks
+    one. The null rule takes such rows out like any others.
+    """
+    return _read(spark.read.option("mergeSchema", True).parquet, path, f"month {key}")
 
 
 def with_source(scan: DataFrame) -> DataFrame:

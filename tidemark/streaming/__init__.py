@@ -1,3 +1,3 @@
-from tidemark.streaming.pickup import catch_up, landed_files, pick_up_new_files
+from tidemark.streaming.pickup import LoadError, catch_up, landed_files, pick_up_new_files
 
-__all__ = ["catch_up", "landed_files", "pick_up_new_files"]
+__all__ = ["LoadError", "catch_up", "landed_files", "pick_up_new_files"]
