@@ -17,7 +17,7 @@ from tidemark.model import (
 )
 from tidemark.operators.lookups import DuplicateKeyError, check_lookup, enrich
 from tidemark.plans import gold as gold_plan
-from tidemark.plans.gold import build_gold, stale_months
+from tidemark.plans.gold import build_gold, changed_months
 from tidemark.sources.facts import read_table
 from trips import KEY, ZONES, at, frame, raw_frame, raw_trip, with_column, write_lookup, write_silver
 
@@ -126,7 +126,7 @@ def test_only_stale_months_are_refreshed(spark, layout, monkeypatch):
     first, second = KEY, RunKey(2024, 2)
     february = {"tpep_pickup_datetime": at("2024-02-05 09:00:00")}
     build(spark, layout, [raw_trip(1), raw_trip(2)])
-    assert refreshed == [] and stale_months(spark, layout) == []
+    assert refreshed == [] and changed_months(spark, layout) == ([], [])
     write_silver(raw_frame(spark, [raw_trip(3, **february)]), layout, second)
     build_gold(spark, layout)
     assert refreshed == [second]
@@ -143,21 +143,44 @@ def test_only_stale_months_are_refreshed(spark, layout, monkeypatch):
 def test_new_lookup_refreshes_every_month(spark, layout):
     build(spark, layout, [raw_trip(1)])
     write_lookup(spark, layout, [(1, "B1", "Renamed", "s")])
-    assert stale_months(spark, layout) is None
+    assert changed_months(spark, layout) is None
     build_gold(spark, layout)
     assert read_table(spark, layout.gold_table(GOLD_FULL)).first()["PUZone"] == "Renamed"
 
 
-def test_month_removed_from_silver_leaves_gold(spark, layout):
+def test_month_removed_from_silver_leaves_gold(spark, layout, monkeypatch):
     write_silver(raw_frame(spark, [raw_trip(9)]), layout, RunKey(2023, 1))
     build(spark, layout, [raw_trip(1)])
     assert gold(spark, layout, GOLD_ZONE, "PUZone") == [("Z1", 2)]
     shutil.rmtree(f"{layout.silver_facts}/year=2023")
+    assert changed_months(spark, layout) == ([], [RunKey(2023, 1)])
+    for refresh in ("refresh_month", "refresh_everything"):
+        monkeypatch.setattr(gold_plan, refresh, lambda *_: pytest.fail("nothing is to refresh"))
     build_gold(spark, layout)
     assert gold(spark, layout, GOLD_ZONE, "PUZone") == [("Z1", 1)]
     assert read_table(spark, layout.gold_table(GOLD_FULL)).count() == 1
 
 
+def test_large_aggregates_are_written_by_several_tasks(spark, layout):
+    """A lookup with very many zones: no aggregate is forced into one task."""
+    zones = 200_000
+    lookup = spark.range(zones).selectExpr(
+        "CAST(id AS int) AS LocationID", "'b' AS Borough", "concat('zone ', id) AS Zone",
+        "CAST(NULL AS string) AS service_zone")
+    lookup.write.option("header", True).csv(layout.lookup)
+    facts = raw_frame(spark, [raw_trip(1)]).drop("PULocationID").crossJoin(
+        spark.range(zones).selectExpr("CAST(id AS int) AS PULocationID"))
+    write_silver(facts, layout)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        build_gold(spark, layout)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    table = read_table(spark, layout.gold_table(GOLD_ZONE_HOUR))
+    assert table.count() == zones and len(table.inputFiles()) > 1
+
+
 def test_duplicate_lookup_key(spark, layout):
     with pytest.raises(DuplicateKeyError):
         build(spark, layout, [raw_trip(1)], [*ZONES, (1, "B1", "Z1", "s")])

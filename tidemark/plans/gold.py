@@ -28,7 +28,7 @@ from tidemark.model import (
 )
 from tidemark.operators import marts
 from tidemark.operators.lookups import Lookup, enrich
-from tidemark.sinks.tables import replace_all_months, replace_month, replace_table
+from tidemark.sinks.tables import remove_month, replace_all_months, replace_month, replace_table
 from tidemark.sources.facts import read_partition, read_table
 from tidemark.sources.listing import list_files, list_months
 from tidemark.sources.lookup import read_lookup
@@ -79,9 +79,11 @@ def refresh_month(spark: SparkSession, layout: Layout, key: RunKey, lookup: Look
     replace_month(cube, layout.gold_table(GOLD_CUBE), key)
 
 
-def stale_months(spark: SparkSession, layout: Layout) -> list[RunKey] | None:
-    """Months whose silver files are not older than their cube; None if all must be refreshed,
-    because the lookup is not older either or gold holds a month that silver does not.
+def changed_months(
+    spark: SparkSession, layout: Layout
+) -> tuple[list[RunKey], list[RunKey]] | None:
+    """Months whose silver files are not older than their cube, and months that silver no longer
+    has; None if all must be refreshed, because the lookup is not older than a cube either.
 
     Compares file times only, one listing per table; the driver sees calendar months.
     """
@@ -95,20 +97,27 @@ def stale_months(spark: SparkSession, layout: Layout) -> list[RunKey] | None:
     silver = times(layout.silver_facts, F.max)
     months = silver.join(built, list(MONTH_KEYS), "full").orderBy(*MONTH_KEYS).collect()
     looked_up = list_files(spark, layout.lookup).agg(F.max("modified")).first()[0]
-    if any(m["at"] is None or (m["built"] and m["built"] <= looked_up) for m in months):
+    if any(m["built"] and m["built"] <= looked_up for m in months):
         return None
-    return [
-        RunKey(m["year"], m["month"]) for m in months if not m["built"] or m["built"] <= m["at"]
-    ]
+
+    def keys(wanted) -> list[RunKey]:
+        return [RunKey(m["year"], m["month"]) for m in months if wanted(m)]
+
+    stale = keys(lambda m: m["at"] and (not m["built"] or m["built"] <= m["at"]))
+    return stale, keys(lambda m: not m["at"])
 
 
 def build_gold(spark: SparkSession, layout: Layout, everything: bool = False) -> list[str]:
     """Bring all gold tables up to date with silver and the lookup; returns their names."""
     lookup = read_lookup(spark, layout.lookup)
-    stale = None if everything else stale_months(spark, layout)
-    if stale is None:
+    changed = None if everything else changed_months(spark, layout)
+    if changed is None:
         refresh_everything(spark, layout, lookup)
     else:
+        stale, removed = changed
+        for key in removed:
+            remove_month(spark, layout.gold_table(GOLD_CUBE), key)
+            remove_month(spark, layout.gold_table(GOLD_FULL), key)
         for key in stale:
             refresh_month(spark, layout, key, lookup)
     cube = read_table(spark, layout.gold_table(GOLD_CUBE), _CUBE)

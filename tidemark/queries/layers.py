@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from tidemark.model import (
     PICKUP_TIME,
     SILVER_CONTRACT,
     Layout,
+    RunKey,
     struct_of,
 )
 from tidemark.plans import raw as raw_plan
@@ -25,10 +28,17 @@ from tidemark.plans.monthly import run_month
 from tidemark.queries.registry import query
 from tidemark.queries.rows import SILVER_SQL, trip_id
 from tidemark.queries.views import MONTH, landed_trips, sql_trips, sql_zones, trips, zone_frame
-from tidemark.sinks.tables import read_quarantine, replace_all_months
+from tidemark.sinks.tables import (
+    publish_month,
+    read_quarantine,
+    register_table,
+    remove_month,
+    replace_all_months,
+    replace_month,
+)
 from tidemark.sources.facts import SOURCE_FILE, read_partition, read_table
 from tidemark.sources.lookup import read_lookup
-from tidemark.sources.scratch import scratch_path
+from tidemark.sources.scratch import scratch_path, settle
 
 # The test nations are 0..24; this range leaves some of them out.
 RANGE = (1, 24)
@@ -196,6 +206,34 @@ def gold_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("gold_incremental", f"""
+WITH {sql_trips()}, {sql_zones(True)}
+SELECT CAST(year(pickup) AS INTEGER) AS year, CAST(month(pickup) AS INTEGER) AS month, zone,
+       count(*) AS trips, round(sum(fare), 2) AS fare
+FROM trips LEFT JOIN zones ON pu = id GROUP BY 1, 2, 3""")
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold built without one month and with a month that silver loses again; then both are brought up
+    to date, and the published table follows."""
+    layout, name = fresh_layout(spark), f"full_{uuid.uuid4().hex}"
+    write_zones(spark, sf_dir, layout, partial=True)
+    write_silver(spark, sf_dir, layout)
+    later = read_partition(spark, layout.silver_facts, MONTH)
+    held = settle(later, scratch_path(spark))
+    gone = RunKey(1990, 1)
+    remove_month(spark, layout.silver_facts, MONTH)
+    replace_month(held, layout.silver_facts, gone)
+    build_gold(spark, layout)
+    full = layout.gold_table(GOLD_FULL)
+    register_table(spark, name, full, MONTH_KEYS)
+    remove_month(spark, layout.silver_facts, gone)
+    replace_month(held, layout.silver_facts, MONTH)
+    build_gold(spark, layout)
+    publish_month(spark, name, full, MONTH)
+    return spark.table(name).groupBy("year", "month", F.col("PUZone").alias("zone")).agg(
+        F.count(F.lit(1)).alias("trips"), F.round(F.sum("fare_amount"), 2).alias("fare")
+    )
+
+
 @query("monthly_run", f"""
 WITH {sql_trips('l_tax')}, {RAW_SQL},
 raw AS (SELECT * FROM sorted WHERE destination = 'raw'), {sql_zones(True)},

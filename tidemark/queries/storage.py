@@ -18,7 +18,13 @@ from tidemark.model import (
     RunKey,
 )
 from tidemark.operators import rules
-from tidemark.operators.contracts import drift_report
+from tidemark.operators.contracts import (
+    ContractError,
+    check_contract,
+    check_types,
+    conform,
+    drift_report,
+)
 from tidemark.plans.raw import LAYER as RAW_LAYER
 from tidemark.plans.raw import load_raw, with_audit
 from tidemark.plans.silver import business_rules
@@ -245,6 +251,41 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("contract_check", """
+SELECT 'added' AS change, TRUE AS passes, count(*) AS orders FROM orders
+UNION ALL SELECT 'narrower', TRUE, count(*) FROM orders
+UNION ALL SELECT 'missing', FALSE, 0
+UNION ALL SELECT 'wrong case', FALSE, 0
+UNION ALL SELECT 'wrong type', FALSE, 0""")
+def contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders changed in five ways, written, read back and held to the contract of the table."""
+    orders = _orders(spark, sf_dir)
+    key = F.col("o_orderkey")
+    changed = {
+        "added": orders.withColumn("new_col", key),
+        "narrower": orders.withColumn("o_orderkey", key.cast("int")),
+        "missing": orders.drop("o_orderkey"),
+        "wrong case": orders.withColumnRenamed("o_orderkey", "O_OrderKey"),
+        "wrong type": orders.withColumn("o_orderkey", key.cast("string")),
+    }
+
+    def checked(change: str, landed: DataFrame) -> DataFrame:
+        path = f"{scratch_path(spark)}/{change.replace(' ', '_')}"
+        landed.write.parquet(path)
+        found = conform(read_month_file(spark, path, MONTH), orders.schema)
+        try:
+            check_contract(found, orders.schema, change)
+            check_types(found, orders.schema, change)
+            passes, rows = True, found
+        except ContractError:
+            passes, rows = False, found.where(F.lit(False))
+        return rows.agg(F.count(F.lit(1)).alias("orders")).select(
+            F.lit(change).alias("change"), F.lit(passes).alias("passes"), "orders"
+        )
+
+    return reduce(DataFrame.unionAll, [checked(*case) for case in changed.items()])
+
+
 @query("audit_columns", """
 SELECT count(*) AS trips, CAST(1 AS BIGINT) AS ingestion_times, count(*) AS named_sources,
        min(l_shipdate) AS first_dropoff FROM lineitem""")

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.model import MONTH_KEYS, RunKey, struct_of
 from tidemark.sources.facts import read_partition, read_table
+from tidemark.sources.listing import delete_path
 
 QUARANTINE_KEYS = T.StructType(
     [
@@ -39,6 +40,11 @@ def replace_month(df: DataFrame, root: str, key: RunKey, files: int | None = Non
     _overwrite(df, f"{root}/{key.partition}", files)
 
 
+def remove_month(spark: SparkSession, root: str, key: RunKey) -> None:
+    """Delete one (year, month) of a table, if it is there."""
+    delete_path(spark, f"{root}/{key.partition}")
+
+
 def replace_all_months(df: DataFrame, root: str) -> None:
     """Replace a whole (year, month) table by ``df``, which has both columns.
 
@@ -126,14 +132,14 @@ def register_table(
 def publish_month(spark: SparkSession, name: str, root: str, key: RunKey) -> None:
     """Make a month of a (year, month) table visible under ``name``.
 
-    If the table is registered and knows the month's columns, missing months are added to it;
-    otherwise the whole table is registered anew.
+    If the table is registered and knows the month's columns, missing months are added to it and
+    deleted ones leave it; otherwise the whole table is registered anew.
     """
     if spark.catalog.tableExists(_quoted(name)):
         month = read_partition(spark, root, key).schema
         known = {f.name: f.dataType for f in spark.table(_quoted(name)).schema.fields}
         if all(known.get(f.name) == f.dataType for f in month.fields):
-            spark.sql(f"MSCK REPAIR TABLE {_quoted(name)}")
+            spark.sql(f"MSCK REPAIR TABLE {_quoted(name)} SYNC PARTITIONS")
             spark.catalog.refreshTable(_quoted(name))
             return
     register_table(spark, name, root, MONTH_KEYS)

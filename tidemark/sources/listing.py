@@ -38,3 +38,9 @@ def list_months(spark: SparkSession, root: str) -> DataFrame:
     return list_files(spark, root).select(
         key(1).alias(year), key(2).alias(month), "modified"
     )
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there, on the file system its path names."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.listing import delete_path
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir`` or of ``SparkContext.setCheckpointDir``.
@@ -25,8 +27,7 @@ def scratch_path(spark: SparkSession) -> str:
 
 def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete an intermediate folder that :func:`scratch_path` gave."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    delete_path(spark, path)
 
 
 def settle(df: DataFrame, path: str) -> DataFrame:
