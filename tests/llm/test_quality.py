@@ -6,6 +6,8 @@ import pytest
 from frames import TEXTS, documents, empty
 
 from tidemark.llm import quality
+from tidemark.llm.queries import op2_quality_rules
+from tidemark.llm.shared import read_table
 
 LABELS = "doc_id bigint, quality int, toxic int"
 
@@ -58,3 +60,61 @@ def test_null_and_repeated_labels(spark):
     assert quality.judged(empty(spark), labels).count() == 0
     kept = quality.drop_low_quality(documents(spark), labels)
     assert kept.columns == documents(spark).columns
+
+
+def test_a_few_hundred_labels_of_a_rare_language_suffice(spark):
+    good = [(i, f"Good text number {i} with plain words that differ {i * 7} from the others here.") for i in range(300)]
+    short = [(5_000 + i, f"too $$$ short {i}") for i in range(300)]  # fails the base rules; the cutoffs do not count it
+    junk = [(10_000 + i, " ".join(f"w{i + j}$$$&&&" for j in range(20))) for i in range(50)]
+    rows = [(*d, lang) for lang in ("de", "es") for d in good + short + junk]
+    rows = [(i + 100_000 * (lang == "es"), t, lang) for i, t, lang in rows]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 100_000 < 10_000), 0) for i, _, _ in rows], LABELS)
+    kept = {r.doc_id for r in quality.drop_low_quality(docs, labels).collect()}
+    assert kept == {i for i, _, _ in rows if i % 100_000 < 5_000}
+
+
+def test_levels():
+    clean = [0] * quality.LEVELS
+    none = dict.fromkeys(quality.RULES, clean)
+    of = lambda joint, single, n: set(quality.levels(joint, single, n, 0.02, 0.0125).values())
+    assert of(clean, none, 216) == {0} and of(clean, none, 217) == {8}
+    assert of([0, 0, 0, 1] + [300] * 4, none, 300) == {3}
+    # A rule that good documents break from the mildest cutoff on holds no other back, given the labels.
+    broken = [300] * quality.LEVELS
+    found = quality.levels(broken, none | {"marks": broken}, 3000, 0.02, 0.0125)
+    assert found == dict.fromkeys(quality.RULES, 8) | {"marks": 0}
+
+
+def test_query_equals_brute_force(spark):
+    sf_dir = "/root/testdata/sf0.1"  # the smaller tables have too few labels for any cutoff
+    rows = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text").collect()
+    good = {r.doc_id for r in read_table(spark, sf_dir, "labels").where("quality = 1").collect()}
+    above = {}
+    for r in rows:
+        n_words, chars, symbols, lines, repeats = slow_counts(r.text)
+        n_lines = len([x for x in (r.text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)])
+        upper, marks = sum(c.isupper() for c in r.text or ""), len(re.findall(r"[.!?]", r.text or ""))
+        pairs = {"symbols": (symbols, chars), "upper": (upper, chars), "marks": (marks, n_words)}
+        pairs |= {"lines": (lines, n_lines), "repeats": (repeats, n_words)}
+        base = n_words < 10 or 100 * repeats > 20 * n_words
+        # The first level that rejects the document.
+        hits = [j for j in range(8) for k, (a, b) in pairs.items() if b and a / b > quality.CUTOFFS[k][j]]
+        above[r.doc_id] = (r.lang or "", base, min(hits, default=8))
+    held = [above[i] for i in good if i in above and not above[i][1]]
+    sizes = Counter(s for s, _, _ in held)
+    level = dict.fromkeys((s for s, _, _ in above.values()), 0)
+    for s, n in sizes.items():
+        error = 0.05 / len(sizes)
+        # Single rules are tested as well, which are never more levels than all rules at the last one.
+        single = 0.996**n <= error / 10
+        error = error / 2 if single else error
+        for j in range(8):
+            k = sum(x[0] == s and x[2] <= j for x in held)
+            if k >= n * 0.02 or sum(comb(n, i) * 0.02**i * 0.98 ** (n - i) for i in range(k + 1)) > error:
+                break
+            level[s] = j + 1
+        assert level[s] == 8 or not single
+    assert min(level.values()) > 0
+    found = {r.doc_id: (r.base_failed, r.kept) for r in op2_quality_rules(spark, sf_dir).collect()}
+    assert found == {i: (base, not base and first >= level[s]) for i, (s, base, first) in above.items()}

@@ -1,19 +1,27 @@
 """Quality rules whose cutoffs are risk-controlled on labelled documents.
 
 A rule rejects a document when one of its ratios exceeds the cutoff of the document's stratum. The
-labelled documents are the holdout: nothing is fitted on them but the cutoff. For each stratum and
-rule, cutoffs are tried from the mildest to the strictest. A cutoff is safe when the exact binomial
-test at the allowed rate of false rejections rejects the hypothesis of a higher rate, that is, when
-the Clopper-Pearson upper bound of good documents rejected is at most that rate. Trying stops at the
-first cutoff that is not safe (fixed-sequence testing, which needs no correction along the
-sequence); over strata and rules the error level is divided (Bonferroni). So with probability
-``1 - ERROR`` no stratum loses more than ``FALSE_REJECTIONS`` of its good documents to the rules. A
-stratum with too few labels gets no cutoff and loses none.
+labelled documents that pass the base rules are the holdout: nothing is fitted on them but the
+cutoffs. Level j takes the j-th cutoff of every rule, so each level rejects all that the milder ones
+do. In each stratum the levels are tried from the mildest to the strictest. A level is safe when the
+exact binomial test at the allowed rate of false rejections rejects the hypothesis of a higher rate,
+that is, when the Clopper-Pearson upper bound of good documents rejected by any of its cutoffs is at
+most that rate. Trying stops at the first level that is not safe (fixed-sequence testing, which needs
+no correction along the sequence); over strata the error level is divided (Bonferroni). So with
+probability ``1 - ERROR`` no stratum loses more than ``FALSE_REJECTIONS`` of its good documents that
+pass the base rules. A stratum with too few labels gets no cutoff and loses none.
+
+One rule that good documents of a stratum break would hold the others back there. Where the labels
+suffice to test each rule alone as well, at its share of the rate, half of the error level goes to
+such sequences of single rules, and those cutoffs are taken if they are more levels in all. Whether
+the labels suffice depends on their number only, so the guarantee stays.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from collections import Counter
 from collections.abc import Iterator
 
@@ -42,6 +50,7 @@ CUTOFFS = {
     "lines": (0.9, 0.8, 0.7, 0.6, 0.5, 0.45, 0.4, 0.35),
     "repeats": (0.9, 0.7, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15),
 }
+LEVELS = 8
 FALSE_REJECTIONS = 0.02
 ERROR = 0.05
 
@@ -118,25 +127,47 @@ def safe(rejected: int, good: int, rate: float, error: float) -> bool:
     return good > 0 and binomial_below(rejected, good, rate) <= error
 
 
+def _level(rejected: list[int], good: int, rate: float, error: float) -> int:
+    """How many levels are safe, up to the first that is not."""
+    for j, k in enumerate(rejected):
+        if not safe(k, good, rate, error):
+            return j
+    return len(rejected)
+
+
+def levels(any_rule: list[int], single: dict[str, list[int]], good: int, rate: float, error: float) -> dict[str, int]:
+    """The level of each rule in a stratum, 0 for none.
+
+    ``any_rule`` and ``single`` have the good documents rejected at each level.
+    """
+    share, part = rate / len(RULES), error / 2 / len(RULES)
+    enough = safe(0, good, share, part)
+    joint = dict.fromkeys(RULES, _level(any_rule, good, rate, error / 2 if enough else error))
+    if not enough:
+        return joint
+    alone = {rule: _level(single[rule], good, share, part) for rule in RULES}
+    return max(joint, alone, key=lambda found: sum(found.values()))
+
+
 def _choose(rate: float, error: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = {n: batch.column(n).to_pylist() for n in batch.schema.names}
             out = {f"cut_{r}": [] for r in RULES}
-            for i in range(batch.num_rows):
-                for rule, cutoffs in CUTOFFS.items():
-                    chosen = None
-                    for j, cutoff in enumerate(cutoffs):
-                        if not safe(columns[f"{rule}_{j}"][i], columns["good"][i], rate, error):
-                            break
-                        chosen = cutoff
-                    out[f"cut_{rule}"].append(chosen)
+            for row in batch.to_pylist():
+                single = {r: [row[f"{r}_{j}"] for j in range(LEVELS)] for r in RULES}
+                found = levels([row[f"any_{j}"] for j in range(LEVELS)], single, row["good"], rate, error)
+                for rule, level in found.items():
+                    out[f"cut_{rule}"].append(CUTOFFS[rule][level - 1] if level else None)
             arrays = [batch.column("stratum"), *(pa.array(v, pa.float64()) for v in out.values())]
             yield pa.RecordBatch.from_arrays(arrays, ["stratum", *out])
 
     return run
 
 
+def _base_failed():
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+
+
 def _ratio(rule: str):
     above, below = RULES[rule]
     return F.when(F.col(below) > 0, F.col(above) / F.col(below)).otherwise(F.lit(0.0))
@@ -145,23 +176,23 @@ def _ratio(rule: str):
 def cutoffs(
     features: DataFrame, labels: DataFrame, rate: float = FALSE_REJECTIONS, error: float = ERROR
 ) -> DataFrame:
-    """The cutoff of each rule per ``stratum``; null where none is safe.
+    """The cutoff of each rule per ``stratum``; null, or no row, where none is safe.
 
     ``features`` has ``id``, ``stratum`` and the counts; ``labels`` has ``id`` and ``quality``.
     A document that any of its labels calls good is good; null labels and identifiers say nothing.
     """
     good = labels.where(F.col("quality") == 1).select("id").distinct()
-    held = features.join(good, "id", "left_semi")
-    tries = [
-        F.sum((_ratio(rule) > F.lit(c)).cast("bigint")).alias(f"{rule}_{j}")
-        for rule, values in CUTOFFS.items()
-        for j, c in enumerate(values)
-    ]
+    held = features.where(~_base_failed()).join(good, "id", "left_semi")
+    tries = []
+    for j in range(LEVELS):
+        over = {rule: _ratio(rule) > F.lit(CUTOFFS[rule][j]) for rule in RULES}
+        over["any"] = functools.reduce(operator.or_, over.values())
+        tries += [F.sum(c.cast("bigint")).alias(f"{name}_{j}") for name, c in over.items()]
     table = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("good"), *tries)
     table = settle(table, scratch_path(features.sparkSession))
-    tests = max(1, table.count()) * len(RULES)
+    strata = max(1, table.count())
     schema = "stratum string, " + ", ".join(f"cut_{r} double" for r in RULES)
-    return table.mapInArrow(_choose(rate / len(RULES), error / tests), schema)
+    return table.mapInArrow(_choose(rate, error / strata), schema)
 
 
 def judged(
@@ -182,7 +213,7 @@ def judged(
     over = F.lit(False)
     for rule in RULES:
         over = over | F.coalesce(_ratio(rule) > F.col(f"cut_{rule}"), F.lit(False))
-    base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    base = _base_failed()
     return (
         rows.join(chosen, "stratum", "left")
         .withColumn("base_failed", base)
