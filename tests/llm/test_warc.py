@@ -76,3 +76,65 @@ def test_a_header_value_stays_on_its_line(spark, tmp_path):
     pages = spark.createDataFrame([(1, "http://x/\r\nWARC-Type: metadata", "a")], "page_id bigint, url string, html string")
     (found,) = warc.read(warc.write(pages, f"file://{tmp_path}/w")).collect()
     assert found.record_type == "response"
+
+
+def foreign(number, kind, content_type, block, digest=True):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{number}>", f"Content-Type: {content_type}"]
+    if digest:
+        lines.append(f"WARC-Block-Digest: sha1:{warc.base32_sha1(block)}")
+    lines.append(f"Content-Length: {len(block)}")
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_blocks_that_are_not_http_are_payload_as_a_whole():
+    texts = [b"one paragraph\r\n\r\nContent-Length: 3\r\n\r\nanother", b"no blank line", b""]
+    parts = [foreign(n, "conversion", "text/plain", text) for n, text in enumerate(texts)]
+    found = list(warc.Salvager(pa.BufferReader(b"".join(map(warc.member, parts)))).records())
+    assert [r.payload() for r in found] == texts and [r.payload_bytes() for r in found] == list(map(len, texts))
+    http = b"HTTP/1.1 200 OK\r\nContent-Length: x\r\n\r\nbody\r\n\r\nmore"
+    (found,) = warc.Salvager(pa.BufferReader(foreign(1, "response", "application/http; msgtype=response", http))).records()
+    assert found.payload() == b"body\r\n\r\nmore" and found.payload_bytes() == 12
+
+
+def test_several_records_in_a_member():
+    names = [f"<urn:page:{i}>" for i in range(8)]
+    assert salvage(warc.member(b"".join(MEMBERS))) == (names, [])
+    two = [warc.member(b"".join(MEMBERS[:5])), warc.member(b"".join(MEMBERS[5:]))]
+    assert salvage(b"junk" + b"".join(two)) == (names, [(0, 4, "version line")])
+    # A record in the middle fails its digest, and bytes that are no record follow the last one.
+    broken = MEMBERS[:2] + [MEMBERS[2].replace(b"<p>2</p>", b"<p>X</p>", 1)] + MEMBERS[3:] + [b"junk WARC/1.1\r\n"]
+    found, gaps = salvage(warc.member(b"".join(broken)))
+    assert found == names[:2] + names[3:] and len(gaps) == 2
+    start = len(MEMBERS[0] + MEMBERS[1])
+    assert gaps[0][2].endswith(f"bytes {start} to {start + len(MEMBERS[2])} of the member")
+    # A length beyond the member.
+    long = MEMBERS[1].replace(b"Content-Length: ", b"Content-Length: 9999999", 2)
+    assert salvage(warc.member(MEMBERS[0] + long + MEMBERS[2]))[0] == [names[0], names[2]]
+
+
+def test_damaged_member_of_several_records():
+    names = [f"<urn:page:{i}>" for i in range(8)]
+    whole = warc.member(b"".join(MEMBERS))
+    found, gaps = salvage(whole[:-3] + warc.member(MEMBERS[0]))
+    assert found == names[:7] + names[:1] and len(gaps) == 1
+    assert gaps[0][:2] == (0, len(whole) - 3)
+    # Without digests nothing vouches for the records of a damaged member.
+    bare = [foreign(n, "resource", "text/plain", b"text" * 9, digest=False) for n in range(3)]
+    assert salvage(warc.member(b"".join(bare))) == (names[:3], [])
+    assert salvage(warc.member(b"".join(bare))[:-3])[0] == []
+
+
+def test_large_member_is_read_in_parts(monkeypatch):
+    monkeypatch.setattr(warc, "CHUNK", 64)
+    names = [f"<urn:page:{i}>" for i in range(8)]
+    assert salvage(warc.member(b"".join(MEMBERS))) == (names, [])
+    junk = b"".join(m + b"-" * 1000 + b"WARC/" for m in MEMBERS)
+    found, gaps = salvage(warc.member(junk))
+    assert found == names and len(gaps) == 8
+
+
+def test_query_compares_with_the_manifest(spark, sf_dir, monkeypatch):
+    write = warc.write
+    monkeypatch.setattr(warc, "write", lambda *a: write(*a).selectExpr("part", "file", "records + 1 AS records"))
+    with pytest.raises(ValueError, match="records could be read"):
+        op7_warc(spark, sf_dir)

@@ -61,8 +61,12 @@ def op6_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = warc.read(warc.write(read_table(spark, sf_dir, "pages"), scratch_path(spark)), payloads=False)
-    return found.where("reason IS NULL").select(
+    manifest = warc.write(read_table(spark, sf_dir, "pages"), scratch_path(spark))
+    found = settle(warc.read(manifest, payloads=False), scratch_path(spark)).where("reason IS NULL")
+    written, read = manifest.agg(F.sum("records")).first()[0] or 0, found.count()
+    if read != written:
+        raise ValueError(f"{read} of {written} records could be read")
+    return found.select(
         F.col("page").cast("bigint").alias("page_id"),
         "payload_bytes",
         "payload_digest",

@@ -1,17 +1,20 @@
 """WARC archives: a writer with revisit records, and a reader that salvages damaged files.
 
-Records are gzip members of their own. The reader checks each one: member and checksum, version
-line, header, lengths and payload digest. After a failed check it searches for the next place where
-a member (or, in files that are not compressed, a version line) starts a record that passes all checks,
-goes on there, and reports the bytes between as a gap. Nothing larger than one record is in memory.
+The writer makes records gzip members of their own; the reader also takes several records in a member.
+It checks each one: member and checksum, version line, header, lengths and digests. After a failed
+check it searches for the next place where a member (or, in files that are not compressed and within
+members, a version line) starts a record that passes all checks, goes on there, and reports the bytes
+between as a gap. Of several records in a damaged member, those whose digest holds and which another
+one follows are read. Nothing larger than one record is in memory.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -25,6 +28,7 @@ from tidemark.sources.scratch import settle
 VERSION = b"WARC/1.1"
 VERSIONS = (b"WARC/1.0\r\n", b"WARC/1.1\r\n")
 MEMBER = b"\x1f\x8b\x08"
+MARK = b"WARC/1."
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -76,14 +80,26 @@ class Record:
     headers: dict[str, str]
     block: bytes
 
+    def is_http(self) -> bool:
+        """Whether the block is an HTTP message; those of other records are payload as a whole."""
+        kind = self.headers.get("content-type", "").partition(";")[0].strip().lower()
+        return kind == "application/http" if kind else self.block.startswith(b"HTTP/")
+
     def payload(self) -> bytes:
-        return self.block.partition(b"\r\n\r\n")[2]
+        return self.block.partition(b"\r\n\r\n")[2] if self.is_http() else self.block
 
     def payload_bytes(self) -> int:
         """Of the full payload, which a revisit does not carry: as its HTTP header says."""
+        if not self.is_http():
+            return len(self.block)
         head = self.block.partition(b"\r\n\r\n")[0]
-        lines = (line.partition(b":") for line in head.split(b"\r\n"))
-        return next((int(v) for n, _, v in lines if n.lower() == b"content-length"), len(self.payload()))
+        lines = ((n.strip().lower(), v.strip()) for n, _, v in (line.partition(b":") for line in head.split(b"\r\n")))
+        return next((int(v) for n, v in lines if n == b"content-length" and v.isdigit()), len(self.payload()))
+
+    def has_digest(self) -> bool:
+        """Whether :func:`check` has compared a digest of the whole block or payload."""
+        names = ["warc-block-digest"] + ["warc-payload-digest"] * (self.headers.get("warc-type") == "response")
+        return any(self.headers.get(n, "").startswith("sha1:") for n in names)
 
 
 def parse_header(data: bytes) -> dict[str, str]:
@@ -113,6 +129,97 @@ def check(headers: dict[str, str], block: bytes, end: bytes) -> Record:
     return found
 
 
+def up_to_damage(press, chunk: bytes) -> bytes:
+    """What ``chunk`` gives before the byte at which it fails."""
+    parts, size = [], len(chunk)
+    while size > 1:
+        size = -(-size // 2)
+        trial = press.copy()
+        try:
+            parts.append(trial.decompress(chunk[:size]))
+        except zlib.error:
+            continue
+        press, chunk = trial, chunk[size:]
+    return b"".join(parts)
+
+
+class Inflated:
+    """The decompressed bytes of the member at a place, read ahead as far as needed.
+
+    ``data`` begins after the ``passed`` bytes dropped so far. ``end`` is the place after the member once
+    its end was reached and its checksum held, ``damage`` says what went wrong before that.
+    """
+
+    def __init__(self, read, at: int):
+        self.read, self.at, self.press = read, at, zlib.decompressobj(31)
+        self.data, self.passed, self.end, self.damage = bytearray(), 0, None, None
+
+    def _block(self) -> bytes:
+        chunk = self.press.unconsumed_tail
+        if not chunk:
+            chunk = self.read(self.at, CHUNK)
+            self.at += len(chunk)
+        before = self.press.copy()
+        try:
+            block = self.press.decompress(chunk, 4 * CHUNK)
+        except zlib.error:
+            self.damage = "member"
+            return up_to_damage(before, chunk)
+        if self.press.eof:
+            self.end = self.at - len(self.press.unused_data)
+        elif not chunk and not block:
+            self.damage = "cut off"
+        return block
+
+    def fill(self, size: int) -> bool:
+        """Whether ``data`` has ``size`` bytes, after reading as much as that takes."""
+        while len(self.data) < size and self.end is None and self.damage is None:
+            self.data += self._block()
+        return len(self.data) >= size
+
+    def left(self) -> int:
+        """Bytes from ``data`` on, counted without keeping them."""
+        rest = Inflated(self.read, self.at)
+        rest.press, rest.end, rest.damage, size = self.press.copy(), self.end, self.damage, len(self.data)
+        while rest.end is None and rest.damage is None:
+            size += len(rest._block())
+        return size
+
+    def drop(self, size: int) -> None:
+        self.passed += size
+        del self.data[:size]
+
+    def skip(self) -> None:
+        """On to the next version line, or to the end."""
+        self.drop(1)
+        while (found := self.data.find(MARK)) < 0:
+            # The end of the data may be the beginning of a mark.
+            self.drop(max(0, len(self.data) - len(MARK) + 1))
+            if not self.fill(len(self.data) + 1):
+                found = len(self.data)
+                break
+        self.drop(found)
+
+    def record(self) -> tuple[Record, int]:
+        """The record that ``data`` begins with, and its length."""
+        if not self.fill(len(VERSIONS[0])) or not self.data.startswith(VERSIONS):
+            raise Damaged("version line")
+        blank = self.data.find(b"\r\n\r\n")
+        while blank < 0:
+            searched = len(self.data)
+            if not self.fill(searched + 1):
+                raise Damaged(self.damage or "header")
+            blank = self.data.find(b"\r\n\r\n", searched - 3)
+        headers = parse_header(bytes(self.data[:blank]))
+        start = blank + 4
+        size = start + int(headers["content-length"]) + 4
+        # A wrong length must not bring the rest of a large member into memory.
+        far = size > len(self.data) + 16 * CHUNK and size > self.left()
+        if far or not self.fill(size):
+            raise Damaged(self.damage or "record length")
+        return check(headers, bytes(self.data[start : size - 4]), bytes(self.data[size - 4 : size])), size
+
+
 class Salvager:
     """Iterates over the ``records`` of a file; ``gaps`` has (start, end, reason) of lost bytes."""
 
@@ -125,26 +232,50 @@ class Salvager:
         self.file.seek(at)
         return self.file.read(min(size, max(0, self.size - at)))
 
-    def _member(self, at: int) -> tuple[Record, int]:
-        press, parts, start = zlib.decompressobj(31), [], at
-        while not press.eof:
-            chunk = self._read(at, CHUNK)
-            if not chunk:
-                raise Damaged("cut off")
+    def _member(self, at: int) -> tuple[Iterable[Record], int, str | None]:
+        member = Inflated(self._read, at)
+        try:
+            found, size = member.record()
+            if not member.fill(size + 1):
+                if member.damage:
+                    raise Damaged(member.damage)
+                return [found], member.end, None
+            reason = None
+        except Damaged as damage:
+            reason = str(damage)
+        while member.end is None and member.damage is None:
+            member.drop(len(member.data))
+            member.fill(1)
+        found = self._several(at, member.end, member.damage)
+        first = next(found, None)
+        if first is None:
+            raise Damaged(member.damage or reason or "member")
+        return itertools.chain([first], found), member.end or at + 1, member.damage
+
+    def _several(self, at: int, end: int | None, damage: str | None) -> Iterator[Record]:
+        """The records of a member that holds more than one, or other bytes beside them."""
+        member, lost, read = Inflated(self._read, at), None, 0
+        while member.fill(1):
             try:
-                parts.append(press.decompress(chunk))
-            except zlib.error as error:
-                raise Damaged("member") from error
-            at += len(chunk)
-            if not b"".join(parts[:1]).startswith(VERSIONS) and len(parts[0]) >= len(VERSIONS[0]):
-                raise Damaged("version line")
-        data = b"".join(parts)
-        if not data.startswith(VERSIONS):
-            raise Damaged("version line")
-        head, blank, rest = data.partition(b"\r\n\r\n")
-        if not blank:
-            raise Damaged("header")
-        return check(parse_header(head), rest[:-4], rest[-4:]), max(at - len(press.unused_data), start + 1)
+                found, size = member.record()
+                if damage and not (found.has_digest() and member.fill(size + len(MARK)) and member.data.startswith(MARK, size)):
+                    raise Damaged(damage)
+            except Damaged as failed:
+                lost = lost or (member.passed, str(failed))
+                member.skip()
+                continue
+            if lost:
+                self._gap_within(at, end, *lost, member.passed)
+            lost, read = None, read + 1
+            member.drop(size)
+            yield found
+        # The end of a damaged member belongs to the gap that the caller reports.
+        if lost and read and not damage:
+            self._gap_within(at, end, *lost, member.passed)
+
+    def _gap_within(self, at: int, end: int | None, start: int, reason: str, stop: int) -> None:
+        # Compressed bytes have no offsets of their own: those of the member, and the decompressed ones.
+        self.gaps.append((at, end or self.size, f"{reason}, bytes {start} to {stop} of the member"))
 
     def _plain(self, at: int) -> tuple[Record, int]:
         data = self._read(at, CHUNK)
@@ -160,8 +291,12 @@ class Salvager:
         rest = self._read(at + len(head) + 4, size + 4)
         return check(headers, rest[:-4], rest[-4:]), at + len(head) + 4 + len(rest)
 
-    def _next(self, at: int) -> tuple[Record, int]:
-        return self._member(at) if self._read(at, len(MEMBER)) == MEMBER else self._plain(at)
+    def _next(self, at: int) -> tuple[Iterable[Record], int, str | None]:
+        """The records at a place, the place after them, and what damage follows them, if any."""
+        if self._read(at, len(MEMBER)) == MEMBER:
+            return self._member(at)
+        found, end = self._plain(at)
+        return [found], end, None
 
     def _candidates(self, at: int) -> Iterator[int]:
         """Places from ``at`` on where a member or version line may begin."""
@@ -170,7 +305,7 @@ class Salvager:
             data = self._read(at, CHUNK + overlap)
             place = -1
             while True:
-                hits = [p for p in (data.find(MEMBER, place + 1), data.find(b"WARC/1.", place + 1)) if p >= 0]
+                hits = [p for p in (data.find(MEMBER, place + 1), data.find(MARK, place + 1)) if p >= 0]
                 place = min(hits, default=CHUNK)
                 if place >= CHUNK:
                     break
@@ -178,24 +313,25 @@ class Salvager:
             at += CHUNK
 
     def records(self) -> Iterator[Record]:
-        at = 0
+        at, lost, places = 0, None, iter(())
         while at < self.size:
             try:
-                found, end = self._next(at)
-            except Damaged as damage:
-                start, reason = at, str(damage)
-                for at in self._candidates(start + 1):
-                    try:
-                        found, end = self._next(at)
-                    except Damaged:
-                        continue
-                    self.gaps.append((start, at, reason))
-                    break
-                else:
-                    self.gaps.append((start, self.size, reason))
-                    return
-            yield found
-            at = end
+                found, end, damage = self._next(at)
+            except Damaged as failed:
+                damage = str(failed)
+            else:
+                if lost:
+                    self.gaps.append((lost[0], at, lost[1]))
+                    lost = None
+                yield from found
+            if not damage:
+                at = end
+                continue
+            if not lost:
+                lost, places = (at, damage), self._candidates(at + 1)
+            at = next(places, self.size)
+        if lost:
+            self.gaps.append((lost[0], self.size, lost[1]))
 
 
 def _write(folder: str):
