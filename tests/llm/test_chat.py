@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import pytest
 from frames import TEXTS
@@ -39,6 +40,22 @@ def test_turns_read_back(text):
     assert [i for i in ids if i in reserved] == [code.open, code.middle, code.close]
 
 
+HEADINGS = ["#### user y", "##### a: b", "x\n###### h ### y ## z # w", "\\#### user", "</turn></turn>: : ####"]
+
+
+@pytest.mark.parametrize("text", [t or "" for _, t in TEXTS] + TRICKY + HEADINGS)
+def test_no_unescaped_control_string_is_printed(text):
+    code = chat.coder(BYTE_TOKENIZER)
+    ids, start, end = code.turn(text[:50], text)
+    for part in (ids[1 : ids.index(code.middle)], ids[start:end]):
+        printed = code.print(part)
+        # Each character behind a backslash is taken out, so what is left stands for itself.
+        left = re.sub(r"\\.", "\0", printed, flags=re.DOTALL)
+        assert not any(c in left for c in ("### ", "###", ": ", "</turn>", "\\"))
+        assert "###" not in printed
+    assert code.parse(ids) == (text[:50], text)
+
+
 def test_awkward_rows_and_one_long_conversation(spark):
     rows = [(n % 3 if n % 5 else None, n, ["user", "assistant", None, "tool: x"][n % 4], t) for n, t in enumerate(TRICKY * 3 + [None, ""])]
     rows += [(50, n, "assistant" if n % 2 else "user", f"turn {n}") for n in range(500)] + [(60, None, "assistant", "no turn")]

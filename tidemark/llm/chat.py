@@ -28,12 +28,13 @@ from tidemark.llm.shared import unpack
 # Control strings of the reserved ids: they open a turn, end its role, and close it.
 OPEN, MIDDLE, CLOSE = "### ", ": ", "</turn>\n"
 # Strings that get a backslash inside roles and texts, so that no printed text looks like a turn.
-CONTROL = re.compile(r"\\|###|</turn>|: ")
+# In a longer run of "#" an opener begins at several places, so each "#" of such runs gets one.
+CONTROL = re.compile(r"\\|#{3,}|</turn>|: ")
 TRAINED = "assistant"
 
 
 def escape(text: str) -> str:
-    return CONTROL.sub(lambda m: "\\" + m[0], text)
+    return CONTROL.sub(lambda m: "\\#" * len(m[0]) if m[0][0] == "#" else "\\" + m[0], text)
 
 
 def unescape(text: str) -> str:
