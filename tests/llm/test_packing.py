@@ -36,5 +36,22 @@ def test_repeated_and_null_identifiers_and_empty_table(spark):
     assert packing.pack(empty(spark), WORD_TOKENIZER, end=1).count() == 0
 
 
+def test_full_pieces_of_long_documents_are_in_no_group(spark):
+    texts = [(n, "a long text of many words " * (7000 + n)) for n in range(6)]
+    found = packing.pack(documents(spark, texts), WORD_TOKENIZER, end=1, group_pieces=2).collect()
+    total = sum({r.doc_id: r.doc_tokens for r in found}.values())
+    assert sum(r.length for r in found) == total and len(found) > 60
+    sequences = defaultdict(list)
+    for r in found:
+        sequences[r.sequence_id].append(r)
+    grouped = [r for r in found if r.sequence_id < 3 * packing.GROUP_SPAN]
+    # One rest per document; filling the gaps of a sequence cuts one in two at most here.
+    assert {r.doc_id for r in grouped} == set(range(6)) and len(grouped) <= 12
+    assert all(r.start >= r.doc_tokens // packing.LENGTH * packing.LENGTH for r in grouped)
+    full = [r for r in found if r.sequence_id >= 3 * packing.GROUP_SPAN]
+    assert all(r.length == packing.LENGTH and len(sequences[r.sequence_id]) == 1 for r in full)
+    assert len(full) == sum(n // packing.LENGTH for n in {r.doc_id: r.doc_tokens for r in found}.values())
+
+
 def test_first_fit_decreasing():
     assert packing.first_fit_decreasing([3, 5, 2, 6, 4], 8) == [[3, 2], [1, 0], [4]]

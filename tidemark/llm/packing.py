@@ -1,8 +1,8 @@
 """Packing of token sequences: first-fit decreasing in randomised groups of pieces.
 
-Documents are cut at the sequence length. Full pieces are sequences of their own; the rests, each
-shorter than a sequence, are dealt to random groups of bounded expected size, and each group is
-packed by first-fit decreasing, with a tournament tree over the room left in its bins to find the
+Documents are cut at the sequence length. Full pieces are sequences of their own and are in no group;
+the rests, each shorter than a sequence and at most one per document, are dealt to random groups of
+bounded expected size, and each group is packed by first-fit decreasing, with a tournament tree over the room left in its bins to find the
 first bin that fits in logarithmic time. Cuts being free, the emptiest bins of a group are taken apart to
 fill the gaps of the others, so that only one sequence per group is padded.
 """
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import pack as pack_rows
 from tidemark.llm.tokens import encoder
+from tidemark.sources.scratch import scratch_path, settle
 
 LENGTH = 2048
 GROUP_PIECES = 2048
@@ -115,19 +116,18 @@ def _pieces(tokenizer: str, id: str, end: int, length: int):
 
 def _pack(length: int, width: int):
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        columns = [group.column(c).to_pylist() for c in ("id", "start", "size", "total", "ids", "crc")]
+        columns = [group.column(c).to_pylist() for c in ("id", "start", "size", "total", "ids")]
         # The order within the group must not depend on how rows arrived.
-        pieces = sorted(zip(*columns), key=lambda p: (p[0] is not None, p[0] or 0, *p[1:4], p[4] or b""))
+        pieces = sorted(zip(*columns), key=lambda p: (p[0] is not None, p[0] or 0, *p[1:4], p[4]))
         found = first_fit_decreasing([p[2] for p in pieces], length)
         bins = [[(i, 0, pieces[i][2]) for i in items] for items in found]
         out = []
         for number, parts in enumerate(fill_gaps(bins, length)):
             offset = 0
             for item, start, size in parts:
-                doc, first, _, total, ids, crc = pieces[item]
-                if ids is not None:
-                    part = ids[start * width : (start + size) * width]
-                    crc = zlib.crc32(np.frombuffer(part, f"<u{width}").astype("<u4"))
+                doc, first, _, total, ids = pieces[item]
+                part = ids[start * width : (start + size) * width]
+                crc = zlib.crc32(np.frombuffer(part, f"<u{width}").astype("<u4"))
                 sequence = key[0].as_py() * GROUP_SPAN + number
                 out.append((doc, first + start, size, crc, total, sequence, offset))
                 offset += size
@@ -156,17 +156,20 @@ def pack(
     """
     width = encoder(tokenizer).dtype.itemsize
     kind = docs.schema[id].dataType.simpleString()
-    groups = max(1, -(-docs.count() // group_pieces))
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     pieces = rows.mapInArrow(
         _pieces(tokenizer, id, end, length),
         f"id {kind}, start bigint, ids binary, crc bigint, size bigint, total bigint",
     )
-    # Pieces, not documents, are dealt, so neither a long document nor a repeated identifier
-    # fills a group. Their number among the scanned rows stays the same when a task is run again.
-    dealt = F.xxhash64(F.monotonically_increasing_id(), F.lit(SEED))
+    # Written once, as the full pieces and the rests go separate ways; the numbers are part of the table,
+    # so they stay the same when a task is run again.
+    pieces = pieces.withColumn("number", F.monotonically_increasing_id())
+    pieces = settle(pieces, scratch_path(docs.sparkSession))
+    rests = pieces.where("ids IS NOT NULL")
+    # At most one rest per document, so no group is larger than expected however long documents are.
+    groups = max(1, -(-rests.count() // group_pieces))
     packed = (
-        pieces.withColumn("group", F.pmod(dealt, F.lit(groups)))
+        rests.withColumn("group", F.pmod(F.xxhash64("number", F.lit(SEED)), F.lit(groups)))
         .groupBy("group")
         .applyInArrow(
             _pack(length, width),
@@ -174,4 +177,15 @@ def pack(
             "sequence_id bigint, offset bigint",
         )
     )
+    full = pieces.where("ids IS NULL").select(
+        "id",
+        "start",
+        F.col("size").alias("length"),
+        F.col("crc").alias("ids_crc32"),
+        F.col("total").alias("doc_tokens"),
+        # Above the numbers of all groups.
+        (F.col("number") + F.lit(groups * GROUP_SPAN)).alias("sequence_id"),
+        F.lit(0).cast("bigint").alias("offset"),
+    )
+    packed = full.unionByName(packed)
     return packed.withColumnRenamed("id", id)
