@@ -5,7 +5,8 @@ import numpy as np
 from frames import TEXTS, documents, empty
 
 from tidemark.llm import packing
-from tidemark.llm.queries import WORD_TOKENIZER
+from tidemark.llm.queries import WORD_TOKENIZER, op4_packing
+from tidemark.llm.shared import read_table
 from tidemark.llm.tokens import encoder
 
 
@@ -55,3 +56,28 @@ def test_full_pieces_of_long_documents_are_in_no_group(spark):
 
 def test_first_fit_decreasing():
     assert packing.first_fit_decreasing([3, 5, 2, 6, 4], 8) == [[3, 2], [1, 0], [4]]
+
+
+def test_query_covers_each_document(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in op4_packing(spark, sf_dir).collect():
+        pieces[r.doc_id].append(r)
+        sequences[r.sequence_id].append(r)
+    rows = read_table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+    assert pieces.keys() == {r.doc_id for r in rows}
+    for doc in rows:
+        ids = [*encoder(WORD_TOKENIZER).tokenizer.encode(doc.text or "", add_special_tokens=False).ids, 1]
+        at = 0
+        for r in sorted(pieces[doc.doc_id], key=lambda r: r.start):
+            part = np.array(ids[at : at + r.length], "<u4")
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(part))
+            at += r.length
+        assert at == len(ids)
+    sizes = []
+    for parts in sequences.values():
+        parts.sort(key=lambda r: r.offset)
+        assert [r.offset for r in parts] == [sum(r.length for r in parts[:k]) for k in range(len(parts))]
+        sizes.append(sum(r.length for r in parts))
+    # Fewer documents than a group has, so there is one group and one sequence to pad.
+    assert max(sizes) <= packing.LENGTH and sum(n < packing.LENGTH for n in sizes) <= 1

@@ -54,3 +54,14 @@ def test_awkward_rows(spark, vocabulary):
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
     assert sorted(map(tuple, found), key=key) == sorted(((i, *slow(t, vocabulary)) for i, t in TEXTS), key=key)
     assert pieces.piece_counts(empty(spark), BYTE_TOKENIZER).count() == 0
+
+
+def test_query_equals_greedy_matching_on_long_texts(spark, sf_dir, vocabulary):
+    rows = read_table(spark, sf_dir, "documents").where("length(text) >= 3000").select("doc_id", "text").collect()
+    found = {r.doc_id: r for r in op5_piece_counts(spark, sf_dir).collect()}
+    known = {}
+    for r in rows:
+        words = [b" " + w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", r.text)]
+        known |= {w: greedy(w, vocabulary) for w in set(words) - known.keys()}
+        assert tuple(found[r.doc_id][1:]) == (len(words), sum(map(known.__getitem__, words)))
+    assert rows

@@ -6,6 +6,8 @@ import xxhash
 from frames import TEXTS, documents, empty
 
 from tidemark.llm import components, simhash
+from tidemark.llm.queries import op3_simhash
+from tidemark.llm.shared import read_table
 
 
 def slow_fingerprint(text):
@@ -103,3 +105,10 @@ def test_one_row_of_each_class_stays(spark):
 def test_empty_table(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
     assert simhash.drop_near_duplicates(empty(spark)).count() == 0
+
+
+def test_query_equals_brute_force(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = read_table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+    expected = slow_classes([(r.doc_id, slow_fingerprint(r.text)) for r in rows])
+    assert sorted(map(tuple, op3_simhash(spark, sf_dir).collect())) == sorted((i, f"{p:016x}", c) for i, p, c in expected)
