@@ -56,3 +56,12 @@ def test_empty_table(spark, tmp_path):
     folder = f"file://{tmp_path}/ids"
     manifest = tokenfiles.write(empty(spark), WORD_TOKENIZER, 2, folder)
     assert manifest.count() == 0 and tokenfiles.read(manifest, folder).count() == 0
+
+
+def test_long_documents_are_sampled_to_their_end():
+    for kind in ("<u2", "<u4"):
+        short, long = np.arange(100, dtype=kind), np.arange(60_000, dtype=kind)
+        assert tokenfiles.sliced(short) == short.tobytes()
+        found = np.frombuffer(tokenfiles.sliced(long), kind)
+        assert found.nbytes == tokenfiles.SAMPLE_BYTES and found[0] == 0 and found[-1] == 59_999
+        assert np.diff(found).max() < 60_000 / (tokenfiles.SLICES - 1)
