@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, dedup, licenses, packing, pieces, quality, simhash, tokenfiles, warc
+from tidemark.llm import bpe, chat, dedup, licenses, packing, pieces, quality, simhash, tokenfiles, warc, whitening
 from tidemark.llm.shared import read_table
 from tidemark.sources.scratch import scratch_path, settle
 
@@ -99,6 +99,12 @@ def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
