@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, dedup, licenses, packing, pieces, quality, simhash, tokenfiles, warc, whitening
+from tidemark.llm import bpe, chat, dedup, licenses, packing, pieces, quality, repair, simhash, tokenfiles, warc, whitening
 from tidemark.llm.shared import read_table
 from tidemark.sources.scratch import scratch_path, settle
 
@@ -105,6 +105,12 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.col("deviation").cast("bigint"))
 
 
+@query
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations")
+    return repair.with_absent(repair.repair_conversations(repair.damaged(turns)), turns)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
