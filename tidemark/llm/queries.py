@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, dedup, licenses, packing, pieces, quality, repair, simhash, tokenfiles, warc, whitening
+from tidemark.llm import bpe, chat, dedup, jaccard, licenses, packing, pieces, quality, repair, simhash, tokenfiles, warc, whitening
 from tidemark.llm.shared import read_table
 from tidemark.sources.scratch import scratch_path, settle
 
@@ -99,6 +99,11 @@ def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(read_table(spark, sf_dir, "embeddings"))
