@@ -127,15 +127,11 @@ def test_a_chunk_finds_a_partner_exactly_when_there_is_one():
         assert (found in linked) if linked else found is None
 
 
-def test_a_hash_for_two_sets_is_refused(spark, monkeypatch):
-    real = jaccard.xxhash.xxh64_intdigest
-    monkeypatch.setattr(jaccard.xxhash, "xxh64_intdigest", lambda data, seed=0: real(data, seed) % 1 if seed == 77 else real(data, seed))
-    sets = list(jaccard._sets(iter([]), 5, 77))
-    assert sets == []
-    summaries = jaccard._summaries(jaccard.pa.int64(), 5, 77)
-    batch = jaccard.pa.RecordBatch.from_pydict({"id": [1, 2], "text": ["a b c", "d e f"]})
-    first = next(iter(summaries(iter([batch]))))
-    assert first.column("key").to_pylist() == [0, 0] and len(set(first.column("check").to_pylist())) == 2
+def test_a_hash_for_two_sets_is_refused(spark):
+    keys = spark.createDataFrame([(1, 5, 5), (2, 6, 7)], "key bigint, low bigint, high bigint")
+    jaccard.refuse_collisions(keys.where("key = 1"), 0)
+    with pytest.raises(jaccard.CollisionError):
+        jaccard.refuse_collisions(keys, 0)
 
 
 def test_empty_table_and_no_words(spark):

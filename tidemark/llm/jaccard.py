@@ -49,7 +49,7 @@ FREQUENT = 16
 MOST_FREQUENT = 1 << 18
 BITMAP = 1 << 26
 BUCKET = 1 << 15
-WORDS = 1 << 20
+REMEMBERED = 1 << 20
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -57,25 +57,14 @@ class CollisionError(ValueError):
     """Two different token sets have one hash; another ``seed`` tells them apart."""
 
 
-class _Words(dict):
-    """Hashes of words, kept for a bounded number of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-
-def tokens(text: bytes, shingle: int = SHINGLE, words: dict | None = None) -> np.ndarray:
+def tokens(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
     """The sorted hashes of the distinct shingles of a whole text; with fewer words, of all of them."""
-    words = _Words() if words is None else words
     split = text.lower().split()
     if not split:
         return np.empty(0, np.uint64)
     if len(split) < shingle:
         return np.array([xxhash.xxh64_intdigest(b" ".join(split), len(split))], np.uint64)
-    codes = np.fromiter(map(words.__getitem__, split), np.uint64, len(split))
+    codes = np.fromiter(map(xxhash.xxh64_intdigest, split), np.uint64, len(split))
     mixed = codes[: len(codes) - shingle + 1].copy()
     for i in range(1, shingle):
         mixed = mixed * MULTIPLIER + codes[i : len(codes) - shingle + 1 + i]
@@ -83,7 +72,8 @@ def tokens(text: bytes, shingle: int = SHINGLE, words: dict | None = None) -> np
     mixed ^= mixed >> np.uint64(31)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
     mixed ^= mixed >> np.uint64(29)
-    return np.unique(mixed)
+    mixed.sort()
+    return mixed[np.concatenate([[True], mixed[1:] != mixed[:-1]])]
 
 
 def needed(total: int | np.ndarray, percent: int) -> int | np.ndarray:
@@ -96,59 +86,81 @@ def probe_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-percent * n // 100) + 1
 
 
-def _sets(batches: Iterator[pa.RecordBatch], shingle: int, seed: int) -> Iterator[tuple[list, list[np.ndarray], list[int]]]:
-    """Identifiers, token sets and set hashes, some million tokens at once."""
-    words, ids, sets, keys, held = _Words(), [], [], [], 0
+class _Read:
+    """Texts of a task as token sets, some million tokens at a time."""
+
+    def __init__(self, shingle: int, seed: int) -> None:
+        self.shingle, self.seed = shingle, seed
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids, self.sets, self.keys, self.raws, self.held = [], [], [], [], 0
+
+    def raw(self, text: bytes) -> int:
+        """A hash of the text as it is, which is cheaper than that of its set."""
+        return xxhash.xxh64_intdigest(text, self.seed + 2)
+
+    def add(self, id, text: bytes, raw: int) -> bool:
+        """Whether enough is held for the caller to go on with it."""
+        found = tokens(text, self.shingle)
+        self.ids.append(id)
+        self.sets.append(found)
+        self.keys.append(xxhash.xxh64_intdigest(found.tobytes(), self.seed))
+        self.raws.append(raw)
+        self.held += len(found) + 1
+        return self.held >= AT_ONCE
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Scalar, bytes]]:
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary())
-        for id, text in zip(batch.column("id"), texts):
-            found = tokens(text.as_py() or b"", shingle, words)
-            ids.append(id.as_py())
-            sets.append(found)
-            keys.append(xxhash.xxh64_intdigest(found.tobytes(), seed))
-            held += len(found) + 1
-            if held >= AT_ONCE:
-                yield ids, sets, keys
-                ids, sets, keys, held = [], [], [], 0
-    if ids:
-        yield ids, sets, keys
-
-
-def _new_sets(batches: Iterator[pa.RecordBatch], shingle: int, seed: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-    """Sets with a token that the task has not seen yet (or not for very many sets), and their hashes."""
+        for id, text in zip(batch.column("id"), batch.column("text").cast(pa.binary())):
+            yield id, text.as_py() or b""
+
+
+def _new_texts(batches: Iterator[pa.RecordBatch], reader: _Read) -> Iterator[tuple[bytes, int]]:
+    """Texts that the task has not had yet (or not for very many texts), with their hashes."""
     seen: set[int] = set()
-    for _, sets, keys in _sets(batches, shingle, seed):
-        if len(seen) > WORDS:
-            seen.clear()
-        chosen = [i for i, k in enumerate(keys) if len(sets[i]) and not (k in seen or seen.add(k))]
-        yield [sets[i] for i in chosen], _signed([keys[i] for i in chosen])
+    for _, text in _texts(batches):
+        raw = reader.raw(text)
+        if raw not in seen:
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            seen.add(raw)
+            yield text, raw
 
 
 def _signed(values: list[int]) -> np.ndarray:
     return np.array(values, np.uint64).view(np.int64)
 
 
+SUMMARY = ("is_document", "id", "n", "key", "check", "raw")
+
+
 def _summaries(kind: pa.DataType, shingle: int, seed: int):
     """A row per document, and one per token that several of the sets at hand have."""
 
+    def both(reader: _Read) -> Iterator[pa.RecordBatch]:
+        checks = [xxhash.xxh64_intdigest(s.tobytes(), seed + 1) for s in reader.sets]
+        sizes = pa.array([len(s) for s in reader.sets], pa.int64())
+        hashes = [pa.array(_signed(h)) for h in (reader.keys, checks, reader.raws)]
+        flags = pa.array([True] * len(checks), pa.bool_())
+        yield pa.RecordBatch.from_arrays([flags, pa.array(reader.ids, kind), sizes, *hashes], list(SUMMARY))
+        flat = np.sort(np.concatenate(list(dict(zip(reader.keys, reader.sets)).values())))
+        starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.empty(0, int)
+        n = np.diff(np.append(starts, len(flat)))
+        found, n = flat[starts][n > 1], n[n > 1]
+        flags, nothing = pa.array([False] * len(n), pa.bool_()), pa.nulls(len(n), pa.int64())
+        columns = [flags, pa.nulls(len(n), kind), pa.array(n), pa.array(found.view(np.int64)), nothing, nothing]
+        yield pa.RecordBatch.from_arrays(columns, list(SUMMARY))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets, keys in _sets(batches, shingle, seed):
-            checks = [xxhash.xxh64_intdigest(s.tobytes(), seed + 1) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([True] * len(ids), pa.bool_()), pa.array(ids, kind), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(_signed(keys)), pa.array(_signed(checks)),
-                ],
-                ["is_document", "id", "n", "key", "check"],
-            )
-            distinct = list(dict(zip(keys, sets)).values())
-            found, n = np.unique(np.concatenate(distinct), return_counts=True)
-            found, n = found[n > 1], n[n > 1]
-            nothing = pa.nulls(len(found), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([False] * len(found), pa.bool_()), pa.nulls(len(found), kind), pa.array(n), pa.array(found.view(np.int64)), nothing],
-                ["is_document", "id", "n", "key", "check"],
-            )
+        reader = _Read(shingle, seed)
+        for id, text in _texts(batches):
+            if reader.add(id.as_py(), text, reader.raw(text)):
+                yield from both(reader)
+                reader.clear()
+        if reader.ids:
+            yield from both(reader)
 
     return run
 
@@ -166,31 +178,34 @@ def _prefixes(frequent: np.ndarray, shingle: int, seed: int, percent: int):
     """The first tokens of each set: token, set, ``salt`` (above zero for frequent tokens), size and
     number of tokens before it."""
 
+    def first_tokens(reader: _Read) -> pa.RecordBatch:
+        distinct = dict(zip(reader.keys, reader.sets))
+        sets, keys = list(distinct.values()), _signed(list(distinct))
+        flat = np.concatenate(sets)
+        n = np.array([len(s) for s in sets], np.int64)
+        owner = np.repeat(np.arange(len(sets)), n)
+        late = np.zeros(len(flat), bool)
+        if len(frequent):
+            late = frequent[np.minimum(np.searchsorted(frequent, flat), len(frequent) - 1)] == flat
+        # Sorted by hash within a set already, so a stable sort by two classes is enough.
+        order = np.argsort(2 * owner + late, kind="stable")
+        flat, late = flat[order], late[order]
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+        first = place < probe_length(n, percent)[owner]
+        owner, late = owner[first], late[first]
+        key = keys[owner]
+        salt = np.where(late, 1 + (key & 0xFFFF), 0).astype(np.int32)
+        columns = [flat[first].view(np.int64), key, salt, n[owner].astype(np.int32), place[first].astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "key", "salt", "n", "place"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sets, keys in _new_sets(batches, shingle, seed):
-            if not sets:
-                continue
-            flat = np.concatenate(sets)
-            n = np.array([len(s) for s in sets], np.int64)
-            owner = np.repeat(np.arange(len(sets)), n)
-            late = np.zeros(len(flat), bool)
-            if len(frequent):
-                late = frequent[np.minimum(np.searchsorted(frequent, flat), len(frequent) - 1)] == flat
-            # Sorted by hash within a set already, so a stable sort by two classes is enough.
-            order = np.argsort(2 * owner + late, kind="stable")
-            flat, late = flat[order], late[order]
-            place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
-            first = place < probe_length(n, percent)[owner]
-            owner, late = owner[first], late[first]
-            key = keys[owner]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(flat[first].view(np.int64)), pa.array(key),
-                    pa.array(np.where(late, 1 + (key & 0xFFFF), 0).astype(np.int32)),
-                    pa.array(n[owner].astype(np.int32)), pa.array(place[first].astype(np.int32)),
-                ],
-                ["token", "key", "salt", "n", "place"],
-            )
+        reader = _Read(shingle, seed)
+        for text, raw in _new_texts(batches, reader):
+            if reader.add(None, text, raw):
+                yield first_tokens(reader)
+                reader.clear()
+        if reader.sets:
+            yield first_tokens(reader)
 
     return run
 
@@ -204,10 +219,16 @@ def shared_prefixes(texts: DataFrame, frequent: np.ndarray, shingle: int, seed:
     return settle(rows.dropDuplicates(["token", "salt", "key"]), scratch_path(texts.sparkSession))
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """Bits of the keys modulo ``BITMAP``: 8 MB at most, whatever the number of keys."""
-    place = F.pmod("key", F.lit(BITMAP))
-    rows = keys.groupBy(F.shiftright(place, 15).cast("int").alias("bucket")).agg(
+def refuse_collisions(keys: DataFrame, seed: int) -> None:
+    """``low`` and ``high``: the range of second hashes under one ``key``."""
+    if keys.where("low <> high").limit(1).count():
+        raise CollisionError(f"two token sets share a hash under seed {seed}")
+
+
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """Bits of the column ``raw`` modulo ``BITMAP``: 8 MB, whatever the number of hashes."""
+    place = F.pmod("raw", F.lit(BITMAP))
+    rows = hashes.groupBy(F.shiftright(place, 15).cast("int").alias("bucket")).agg(
         F.bitmap_construct_agg(place.bitwiseAND(F.lit(BUCKET - 1))).alias("bits")
     )
     found = np.zeros(BITMAP // 8, np.uint8)
@@ -218,22 +239,31 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
 
 
 def _chosen(bitmap: np.ndarray, shingle: int, seed: int):
+    def batch(reader: _Read) -> pa.RecordBatch:
+        data = pa.array([s.tobytes() for s in reader.sets], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(_signed(reader.keys)), data], ["key", "tokens"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sets, keys in _new_sets(batches, shingle, seed):
-            place = keys & (BITMAP - 1)
-            wanted = np.nonzero(bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1)[0]
-            data = [sets[i].tobytes() for i in wanted]
-            yield pa.RecordBatch.from_arrays([pa.array(keys[wanted]), pa.array(data, pa.binary())], ["key", "tokens"])
+        reader = _Read(shingle, seed)
+        for text, raw in _new_texts(batches, reader):
+            place = raw % BITMAP
+            if bitmap[place >> 3] >> (place & 7) & 1 and reader.add(None, text, raw):
+                yield batch(reader)
+                reader.clear()
+        if reader.sets:
+            yield batch(reader)
 
     return run
 
 
-def token_sets(texts: DataFrame, keys: DataFrame, shingle: int, seed: int) -> DataFrame:
-    """``key`` and ``tokens`` of the given sets, read from the texts once more."""
-    keys = settle(keys.distinct(), scratch_path(texts.sparkSession))
-    rows = texts.mapInArrow(_chosen(_bitmap(keys), shingle, seed), "key bigint, tokens binary")
-    rows = rows.join(keys, "key", "left_semi").dropDuplicates(["key"])
-    return settle(rows, scratch_path(texts.sparkSession))
+def token_sets(texts: DataFrame, wanted: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """``key`` and ``tokens`` of some sets, read from the texts once more; others may be among them.
+
+    ``wanted`` has the hash ``raw`` of one text of each set. The bitmap of these is all that is
+    broadcast: texts it does not have are skipped, not cut up again.
+    """
+    rows = texts.mapInArrow(_chosen(_bitmap(wanted), shingle, seed), "key bigint, tokens binary")
+    return rows.dropDuplicates(["key"])
 
 
 def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -318,19 +348,28 @@ def open_groups(asking: DataFrame, members: DataFrame, sets: DataFrame, percent:
     return rows.select(*names, "tokens").mapInArrow(_open(percent), "a bigint, b bigint")
 
 
-def _similar_size(a: str, b: str, percent: int) -> Column:
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def least_overlap(total: Column, percent: int) -> Column:
+    """``needed`` as an expression."""
+    return F.ceil(percent * total / (100 + percent))
 
 
 def leader_pairs(shared: DataFrame, percent: int) -> DataFrame:
-    """Each set with the leaders of its first few ordinary and frequent tokens."""
+    """``key`` and ``n`` of sets with ``group`` and ``leader_n`` of the leaders of their first few
+    ordinary and frequent tokens, as far as sizes and places allow a link."""
     first = F.row_number().over(Window.partitionBy("key", F.col("salt") > 0).orderBy("place"))
-    mine = shared.withColumn("first", first).where(F.col("first") <= PICKS).select("token", "key", "n")
+    mine = shared.withColumn("first", first).where(F.col("first") <= PICKS).select("token", "key", "n", "place")
     least = F.min(F.struct("place", "key", "n")).alias("least")
     leaders = shared.groupBy("token").agg(least).select(
-        "token", F.col("least.key").alias("group"), F.col("least.n").alias("leader_n")
+        "token",
+        F.col("least.key").alias("group"),
+        F.col("least.n").alias("leader_n"),
+        F.col("least.place").alias("leader_place"),
     )
-    pairs = mine.join(leaders, "token").where((F.col("key") != F.col("group")) & _similar_size("n", "leader_n", percent))
+    # At most the tokens before the common one, it, and the tokens after it are in both sets.
+    before = F.least("place", "leader_place")
+    after = F.least(F.col("n") - F.col("place"), F.col("leader_n") - F.col("leader_place"))
+    possible = before + after >= least_overlap(F.col("n") + F.col("leader_n"), percent)
+    pairs = mine.join(leaders, "token").where((F.col("key") != F.col("group")) & possible)
     return pairs.select("group", "key", "n", "leader_n").distinct()
 
 
@@ -343,16 +382,13 @@ def candidates(shared: DataFrame, percent: int) -> DataFrame:
     """
     n, place = F.col("n"), F.col("place")
 
-    def least_overlap(total: Column) -> Column:
-        return F.ceil(percent * total / (100 + percent))
-
-    indexed = shared.where(place <= n - least_overlap(2 * n))
+    indexed = shared.where(place <= n - least_overlap(2 * n, percent))
     matrix = indexed.groupBy("token", "group").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.min("place").alias("early")
     )
     matrix = matrix.withColumnRenamed("group", "other")
     smallest = F.greatest(F.col("low"), F.ceil(percent * n / 100))
-    overlap = least_overlap(n + smallest)
+    overlap = least_overlap(n + smallest, percent)
     possible = (
         (F.col("other") != F.col("group"))
         & (F.col("low") <= n)
@@ -391,27 +427,31 @@ def jaccard_components(
     texts = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     kind = texts.schema["id"].dataType
     schema = T.StructType([T.StructField("is_document", T.BooleanType()), T.StructField("id", kind)])
-    for name in ("n", "key", "check"):
+    for name in SUMMARY[2:]:
         schema = schema.add(name, T.LongType())
     summaries = settle(texts.mapInArrow(_summaries(to_arrow_type(kind), shingle, seed), schema), scratch_path(spark))
     rows = summaries.where("is_document").drop("is_document")
     frequent = frequent_tokens(summaries.where("NOT is_document").select("key", "n"))
     worded = rows.where("n > 0")
-    keys = worded.groupBy("key").agg(F.min("id").alias("own"), F.min("check").alias("low"), F.max("check").alias("high"))
+    keys = worded.groupBy("key").agg(
+        F.min("id").alias("own"), F.min("check").alias("low"), F.max("check").alias("high"), F.min("raw").alias("raw")
+    )
     keys = settle(keys, scratch_path(spark))
-    if keys.where("low <> high").limit(1).count():
-        raise CollisionError(f"two token sets share a hash under seed {seed}")
+    refuse_collisions(keys, seed)
+
+    def opened(asking: DataFrame, members: DataFrame) -> DataFrame:
+        used = asking.select("key").unionByName(members.join(asking, "group", "left_semi").select("key")).distinct()
+        sets = token_sets(texts, keys.join(used, "key", "left_semi").select("raw"), shingle, seed)
+        return settle(open_groups(asking, members, sets, percent), scratch_path(spark))
 
     shared = shared_prefixes(texts, frequent, shingle, seed, percent)
     sizes = settle(shared.select("key", "n").distinct(), scratch_path(spark))
-    sets = token_sets(texts, sizes.select("key"), shingle, seed)
-
     pairs = settle(leader_pairs(shared, percent), scratch_path(spark))
     leaders = pairs.select("group", F.col("group").alias("key"), F.col("leader_n").alias("n")).distinct()
-    links = settle(open_groups(pairs.drop("leader_n"), leaders, sets, percent), scratch_path(spark))
+    links = opened(pairs.drop("leader_n"), leaders)
     grouped = settle(_grouped(sizes, links), scratch_path(spark))
     asking = settle(candidates(shared.join(grouped.select("key", "group"), "key"), percent), scratch_path(spark))
-    links = links.unionByName(open_groups(asking, grouped, sets, percent))
+    links = links.unionByName(opened(asking, grouped))
 
     rooted = keys.join(components(links).withColumnRenamed("node", "key"), "key", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "key"))
