@@ -12,13 +12,15 @@ member. Equal sets count once, under the hash of their tokens.
    only tokens that two sets have go on.
 3. *Groups.* For each shared token the set that has the fewest rarer tokens is the leader: the least
    altered one of a family of copies. Sets are compared with a few leaders; verified links make
-   components, and these are the groups: very many near copies of one text are one group.
-4. *Matrix.* (token, group) rows over the prefixes, with sizes and places, are joined with the prefixes
-   of sets of other groups. Size and place bounds leave the (set, group) pairs that may hold a link.
+   components. Each set joins the group of one leader: its core if they are linked, its rest if not.
+   So a family of copies is two groups, however many of its members are too far apart for a link.
+4. *Matrix.* (token, group) rows over the prefixes, with sizes, places and components, are joined with
+   the prefixes of all sets. Bounds leave the (set, group) pairs that may hold a link to another
+   component.
 5. *Opening.* The pairs' groups are split into chunks of bounded size and the sets that ask into
    blocks. A task holds one chunk with the union of its tokens, streams the sets past it, and opens it
-   for those whose overlap with the union suffices. One link to a chunk is enough, since the members
-   of a group are connected already.
+   for those whose overlap with the union suffices. A set is linked with one member of each component
+   that the task has not connected with its own yet.
 
 No step lists the pairs within a group, yet every link between different groups is found, so the
 components are those of all links. Nothing is sampled, and there is no limit on partners.
@@ -281,55 +283,76 @@ class Chunk:
         order = np.argsort(flat, kind="stable")
         self.flat, self.owner = flat[order], np.repeat(np.arange(len(sets)), self.sizes)[order]
 
-    def partner(self, query: np.ndarray, percent: int) -> int | None:
-        """A member linked with ``query``, if there is one."""
+    def linked(self, query: np.ndarray, percent: int) -> np.ndarray:
+        """Places of the members linked with ``query``."""
         low, high = np.searchsorted(self.flat, query), np.searchsorted(self.flat, query, "right")
         bound = int((high > low).sum())
         if 100 * bound < percent * len(query):
-            return None  # not even the union has enough of the query's tokens
+            return np.empty(0, np.int64)  # not even the union has enough of the query's tokens
         overlap = np.bincount(self.owner[_ranges(low, high)], minlength=len(self.keys))
-        linked = overlap >= needed(self.sizes + len(query), percent)
-        return self.keys[int(linked.argmax())] if linked.any() else None
+        return np.flatnonzero(overlap >= needed(self.sizes + len(query), percent))
+
+
+class Connected:
+    """Components that the links of a task have connected."""
+
+    def __init__(self) -> None:
+        self.root: dict[int, int] = {}
+
+    def top(self, component: int) -> int:
+        while (above := self.root.get(component, component)) != component:
+            component = above
+        return component
+
+    def join(self, one: int, other: int) -> bool:
+        """Connect two components; whether they were apart."""
+        one, other = self.top(one), self.top(other)
+        self.root[one] = other
+        return one != other
 
 
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_OPENED = ("group", "core", "chunk", "block", "asks", "key", "component")
 
 
 def _open(percent: int):
     """Links of the queries that follow each chunk's members."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, keys, sets, chunk = None, [], [], None
+        current, keys, sets, homes, chunk, connected = None, [], [], [], None, None
         for batch in batches:
             out = []
-            places = zip(*(batch.column(c).to_pylist() for c in ("group", "chunk", "block", "asks", "key")))
-            for (*place, asks, key), data in zip(places, batch.column("tokens")):
+            places = zip(*(batch.column(c).to_pylist() for c in _OPENED))
+            for (*place, asks, key, component), data in zip(places, batch.column("tokens")):
                 if place != current:
-                    current, keys, sets, chunk = place, [], [], None
+                    current, keys, sets, homes, chunk, connected = place, [], [], [], None, Connected()
                 found = np.frombuffer(data.as_buffer(), np.uint64)
                 if not asks:
                     keys.append(key)
                     sets.append(found.copy())
+                    homes.append(component)
                     continue
                 if chunk is None:
                     chunk = Chunk(keys, sets)
-                partner = chunk.partner(found, percent)
-                if partner is not None:
-                    out.append((key, partner))
+                for i in chunk.linked(found, percent).tolist():
+                    if connected.join(component, homes[i]):
+                        out.append((key, keys[i]))
             yield pack(out, _LINKS)
 
     return run
 
 
 def open_groups(asking: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``a``, ``b`` of sets with members of groups.
+    """Links ``a``, ``b`` of sets with members of groups, as many as connect their components.
 
-    ``asking`` and ``members`` have ``group``, ``key`` and ``n``. A group with many members or queries
-    is dealt to several tasks: each task reads about ``SHARE`` tokens of members, and each query goes
-    to every chunk of its group.
+    ``asking`` and ``members`` have ``group`` and ``core``, which name the group, ``key``, ``n`` and
+    ``component``. A group with many members or queries is dealt to several tasks: each task reads
+    about ``SHARE`` tokens of members, and each query goes to every chunk of its group.
     """
+    named = ["group", "core"]
+
     def parts(rows: DataFrame, name: str) -> DataFrame:
-        return rows.groupBy("group").agg(F.ceil(F.sum("n") / SHARE).alias(name))
+        return rows.groupBy(*named).agg(F.ceil(F.sum("n") / SHARE).alias(name))
 
     def dealt(name: str) -> Column:
         return F.pmod(F.xxhash64("key"), F.col(name))
@@ -338,14 +361,13 @@ def open_groups(asking: DataFrame, members: DataFrame, sets: DataFrame, percent:
         return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(name) - 1))
 
     asked = parts(asking, "blocks")
-    plan = settle(parts(members, "chunks").join(asked, "group"), scratch_path(sets.sparkSession))
-    names = ("group", "chunk", "block", "asks", "key")
-    held = members.join(plan, "group").withColumn("chunk", dealt("chunks")).withColumn("block", each("blocks"))
-    queries = asking.join(plan, "group").withColumn("block", dealt("blocks")).withColumn("chunk", each("chunks"))
-    held = held.withColumn("asks", F.lit(False)).select(*names)
-    rows = held.unionByName(queries.withColumn("asks", F.lit(True)).select(*names)).join(sets, "key")
-    rows = rows.repartition("group", "chunk", "block").sortWithinPartitions("group", "chunk", "block", "asks")
-    return rows.select(*names, "tokens").mapInArrow(_open(percent), "a bigint, b bigint")
+    plan = settle(parts(members, "chunks").join(asked, named), scratch_path(sets.sparkSession))
+    held = members.join(plan, named).withColumn("chunk", dealt("chunks")).withColumn("block", each("blocks"))
+    queries = asking.join(plan, named).withColumn("block", dealt("blocks")).withColumn("chunk", each("chunks"))
+    held = held.withColumn("asks", F.lit(False)).select(*_OPENED)
+    rows = held.unionByName(queries.withColumn("asks", F.lit(True)).select(*_OPENED)).join(sets, "key")
+    rows = rows.repartition(*_OPENED[:4]).sortWithinPartitions(*_OPENED[:5])
+    return rows.select(*_OPENED, "tokens").mapInArrow(_open(percent), "a bigint, b bigint")
 
 
 def least_overlap(total: Column, percent: int) -> Column:
@@ -354,14 +376,14 @@ def least_overlap(total: Column, percent: int) -> Column:
 
 
 def leader_pairs(shared: DataFrame, percent: int) -> DataFrame:
-    """``key`` and ``n`` of sets with ``group`` and ``leader_n`` of the leaders of their first few
-    ordinary and frequent tokens, as far as sizes and places allow a link."""
+    """``key`` and ``n`` of sets with ``leader`` and ``leader_n`` of the leaders of their first few
+    ordinary and frequent tokens, as far as sizes and places allow a link, and the ``hits`` of each."""
     first = F.row_number().over(Window.partitionBy("key", F.col("salt") > 0).orderBy("place"))
     mine = shared.withColumn("first", first).where(F.col("first") <= PICKS).select("token", "key", "n", "place")
     least = F.min(F.struct("place", "key", "n")).alias("least")
     leaders = shared.groupBy("token").agg(least).select(
         "token",
-        F.col("least.key").alias("group"),
+        F.col("least.key").alias("leader"),
         F.col("least.n").alias("leader_n"),
         F.col("least.place").alias("leader_place"),
     )
@@ -369,41 +391,61 @@ def leader_pairs(shared: DataFrame, percent: int) -> DataFrame:
     before = F.least("place", "leader_place")
     after = F.least(F.col("n") - F.col("place"), F.col("leader_n") - F.col("leader_place"))
     possible = before + after >= least_overlap(F.col("n") + F.col("leader_n"), percent)
-    pairs = mine.join(leaders, "token").where((F.col("key") != F.col("group")) & possible)
-    return pairs.select("group", "key", "n", "leader_n").distinct()
+    pairs = mine.join(leaders, "token").where((F.col("key") != F.col("leader")) & possible)
+    return pairs.groupBy("leader", "key", "n", "leader_n").agg(F.count(F.lit(1)).alias("hits"))
 
 
 def candidates(shared: DataFrame, percent: int) -> DataFrame:
-    """``group``, ``key`` and ``n`` of the sets that may be linked with a member of another group.
+    """The sets that may be linked with a member of a group that is in another component.
 
-    ``shared`` has the ``group`` of each set. A set asks for partners that are not larger than itself;
-    a row of the matrix knows the least and largest size of the group's members that have the token
-    among their first ones, and the earliest place of it.
+    ``shared`` has the group and component of each set, as :func:`grouped` gives them. A set asks for
+    partners that are not larger than itself; a row of the matrix knows the least and largest size of
+    the group's members that have the token among their first ones, the earliest place of it, and the
+    range of their components.
     """
     n, place = F.col("n"), F.col("place")
-
     indexed = shared.where(place <= n - least_overlap(2 * n, percent))
-    matrix = indexed.groupBy("token", "group").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.min("place").alias("early")
+    matrix = indexed.groupBy("token", F.col("group").alias("other"), F.col("core").alias("other_core")).agg(
+        F.min("n").alias("low"),
+        F.max("n").alias("high"),
+        F.min("place").alias("early"),
+        F.min("component").alias("low_component"),
+        F.max("component").alias("high_component"),
+        F.min("key").alias("low_key"),
+        F.max("key").alias("high_key"),
     )
-    matrix = matrix.withColumnRenamed("group", "other")
     smallest = F.greatest(F.col("low"), F.ceil(percent * n / 100))
     overlap = least_overlap(n + smallest, percent)
+    connected = (F.col("low_component") == F.col("component")) & (F.col("high_component") == F.col("component"))
+    # A set has been compared with its leader, and a leader with all of its group.
+    leader_only = (F.col("low_key") == F.col("group")) & (F.col("high_key") == F.col("group"))
+    compared = leader_only | (F.col("other") == F.col("key"))
     possible = (
-        (F.col("other") != F.col("group"))
+        ~(connected | compared)
         & (F.col("low") <= n)
         & (100 * F.col("high") >= percent * n)
         & (n - place >= overlap)
         & (F.least(F.col("high"), n) - F.col("early") >= overlap)
     )
     found = shared.join(matrix, "token").where(possible)
-    return found.select(F.col("other").alias("group"), "key", "n").distinct()
-
-
-def _grouped(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` with the ``group`` of their ``key``: the root of its component."""
-    found = components(links).withColumnRenamed("node", "key")
-    return rows.join(found, "key", "left").withColumn("group", F.coalesce("root", "key")).drop("root")
+    return found.select(F.col("other").alias("group"), F.col("other_core").alias("core"), "key", "n", "component").distinct()
+
+
+def grouped(sizes: DataFrame, pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """``key`` and ``n`` of all sets with their ``component`` so far, and their group: the leader that
+    they are linked with, or else the one they met most often, or else themselves; ``core`` says
+    whether they are linked with it."""
+    linked = links.select(F.col("a").alias("key"), F.col("b").alias("leader"), F.lit(True).alias("core"))
+    met = pairs.join(linked, ["key", "leader"], "left").withColumn("core", F.coalesce("core", F.lit(False)))
+    chosen = met.groupBy("key").agg(F.max(F.struct("core", "hits", "leader")).alias("chosen"))
+    roots = components(links).withColumnRenamed("node", "key")
+    return sizes.join(chosen, "key", "left").join(roots, "key", "left").select(
+        "key",
+        "n",
+        F.coalesce("chosen.leader", "key").alias("group"),
+        F.coalesce("chosen.core", F.lit(True)).alias("core"),
+        F.coalesce("root", "key").alias("component"),
+    )
 
 
 def jaccard_components(
@@ -440,18 +482,21 @@ def jaccard_components(
     refuse_collisions(keys, seed)
 
     def opened(asking: DataFrame, members: DataFrame) -> DataFrame:
-        used = asking.select("key").unionByName(members.join(asking, "group", "left_semi").select("key")).distinct()
-        sets = token_sets(texts, keys.join(used, "key", "left_semi").select("raw"), shingle, seed)
+        used = members.join(asking, ["group", "core"], "left_semi").select("key").unionByName(asking.select("key"))
+        sets = token_sets(texts, keys.join(used.distinct(), "key", "left_semi").select("raw"), shingle, seed)
         return settle(open_groups(asking, members, sets, percent), scratch_path(spark))
 
     shared = shared_prefixes(texts, frequent, shingle, seed, percent)
     sizes = settle(shared.select("key", "n").distinct(), scratch_path(spark))
     pairs = settle(leader_pairs(shared, percent), scratch_path(spark))
-    leaders = pairs.select("group", F.col("group").alias("key"), F.col("leader_n").alias("n")).distinct()
-    links = opened(pairs.drop("leader_n"), leaders)
-    grouped = settle(_grouped(sizes, links), scratch_path(spark))
-    asking = settle(candidates(shared.join(grouped.select("key", "group"), "key"), percent), scratch_path(spark))
-    links = links.unionByName(opened(asking, grouped))
+    # Each leader is a group of its own at first, and each set a component of its own.
+    asking = pairs.select(F.col("leader").alias("group"), F.lit(True).alias("core"), "key", "n", F.col("key").alias("component"))
+    leaders = pairs.select(F.col("leader").alias("key"), F.col("leader_n").alias("n")).distinct()
+    leaders = leaders.select(F.col("key").alias("group"), F.lit(True).alias("core"), "key", "n", F.col("key").alias("component"))
+    links = opened(asking, leaders)
+    members = settle(grouped(sizes, pairs, links), scratch_path(spark))
+    asking = settle(candidates(shared.join(members.drop("n"), "key"), percent), scratch_path(spark))
+    links = links.unionByName(opened(asking, members))
 
     rooted = keys.join(components(links).withColumnRenamed("node", "key"), "key", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "key"))
