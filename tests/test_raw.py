@@ -135,11 +135,35 @@ def test_landed_audit_columns_are_replaced(spark, layout):
     assert report.rejected["dropped_duplicates"] == 1
 
 
-def test_column_named_like_the_rule_is_an_error(spark, layout):
-    land(frame(spark, [trip(1)]).selectExpr("*", "'x' AS rule"), layout)
-    with pytest.raises(ValueError, match="rule"):
-        load_raw(spark, layout, KEY)
-    assert not Path(layout.raw_facts).exists()
+HELPERS = [
+    "_at", "_fp", "_i", "_word", "_bits", "_copies", "_file_id", "_block", "_size", "_side", "_source_file", "_reasons",
+    "_AT", "a b", "x-y", "d.o.t", "tick`s", "aside", "Aside2",
+]
+DIRECTORIES = {"rule": "landed_rule", "Year": "landed_Year", "month": "landed_month", "layer": "landed_layer", "_version": "landed_version"}
+
+
+@pytest.mark.parametrize("names", [HELPERS[:12], HELPERS[12:], list(DIRECTORIES)])
+def test_landed_columns_keep_their_values_whatever_their_names(spark, layout, names):
+    # One unique row, one with a copy, one reject: every branch of the load sees the columns.
+    rows = [trip(1), trip(2), trip(2), trip(3, PULocationID=0)]
+    landed = frame(spark, rows)
+    for n, name in enumerate(names):
+        landed = landed.withColumn(name, F.concat(F.lit(f"{n}:"), F.col("total_amount").cast("int")))
+    land(landed, layout)
+    report = load_raw(spark, layout, KEY)
+    assert report.kept == 2 and report.rejected["dropped_duplicates"] == 1
+    raw = read_partition(spark, layout.raw_facts, KEY)
+    rejects = read_quarantine(spark, layout.quarantine, "raw")
+    for n, name in enumerate(names):
+        column = F.col(f"`{DIRECTORIES.get(name, name).replace('`', '``')}`")
+        for side, totals_there in ((raw, [1, 2]), (rejects, [2, 3])):
+            assert sorted(r[0] for r in side.select(column).collect()) == [f"{n}:{t}" for t in totals_there]
+
+
+def test_null_rule_of_a_column_that_steps_aside(spark, layout):
+    landed = frame(spark, [trip(1), trip(2)]).withColumn("_fp", F.when(F.col("total_amount") == 1, 5))
+    land(landed, layout)
+    assert load_raw(spark, layout, KEY, null_subset=["_fp"]).rejected["dropped_nulls"] == 1
 
 
 def test_rerun_with_fixed_input_leaves_no_stale_rejects(spark, layout):

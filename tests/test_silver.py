@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 from tidemark.model import SILVER_CONTRACT
 from tidemark.operators.contracts import ContractError
 from tidemark.operators.lookups import DuplicateKeyError
+from tidemark.plans import silver as silver_plan
+from tidemark.plans.raw import Split
+from tidemark.plans.report import LostRowsError
 from tidemark.plans.silver import RULES, load_silver
 from tidemark.sinks.tables import read_quarantine
 from tidemark.sources.facts import read_partition
@@ -160,3 +163,38 @@ def test_rerun_leaves_no_stale_rejects(spark, layout):
     load_silver(spark, layout, KEY)
     assert found(spark, layout) == Counter({(1.0, "silver"): 1})
     assert totals(read_quarantine(spark, layout.quarantine, "silver", SILVER_CONTRACT)) == []
+
+
+def test_raw_columns_keep_their_values_whatever_their_names(spark, layout):
+    names = ["_reasons", "_hit", "_pickup_known", "_dropoff_known", "_pickup_known_key", "_PU_key", "a b", "d.o.t", "tick`s", "rule"]
+    rows = [raw_trip(1), raw_trip(2, passenger_count=0), raw_trip(3, PULocationID=99, DOLocationID=99)]
+    raw = raw_frame(spark, rows)
+    for n, name in enumerate(names):
+        raw = raw.withColumn(name, F.concat(F.lit(f"{n}:"), F.col("total_amount").cast("int")))
+    write_raw(raw, layout)
+    write_lookup(spark, layout)
+    assert load_silver(spark, layout, KEY).kept == 1
+    silver = read_partition(spark, layout.silver_facts, KEY)
+    rejects = read_quarantine(spark, layout.quarantine, "silver")
+    for n, name in enumerate(names):
+        column = F.col("`" + {"rule": "landed_rule"}.get(name, name).replace("`", "``") + "`")
+        assert [r[0] for r in silver.select(column).collect()] == [f"{n}:1"]
+        assert sorted(r[0] for r in rejects.select(column).collect()) == [f"{n}:2", f"{n}:3", f"{n}:3"]
+
+
+def test_lost_rows_leave_silver_as_it_was(spark, layout, monkeypatch):
+    write_lookup(spark, layout)
+    write_raw(raw_frame(spark, [raw_trip(1), raw_trip(2, PULocationID=99, DOLocationID=99)]), layout)
+    load_silver(spark, layout, KEY)
+    split = silver_plan.split_raw
+
+    def lossy(raw, lookup):
+        whole = split(raw, lookup)
+        return Split(whole.kept, whole.rejects.limit(1))
+
+    monkeypatch.setattr(silver_plan, "split_raw", lossy)
+    write_raw(raw_frame(spark, [raw_trip(5), raw_trip(6, PULocationID=99, DOLocationID=99)]), layout)
+    with pytest.raises(LostRowsError):
+        load_silver(spark, layout, KEY)
+    assert totals(read_partition(spark, layout.silver_facts, KEY)) == [1.0]
+    assert totals(read_quarantine(spark, layout.quarantine, "silver")) == [2.0, 2.0]

@@ -18,7 +18,7 @@ from trips import KEY, frame, land, totals, trip, write_lookup
 
 
 def files_in(path):
-    return list(Path(path).glob("*.parquet"))
+    return list(Path(path).rglob("*.parquet"))
 
 
 def test_replace_month_file_count(spark, tmp_path):

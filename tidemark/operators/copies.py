@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.names import aside
+
 COPIES = "_copies"
 _SIDE = "_side"
 # Up to SMALL copies are written out where the group is; larger groups are cut into blocks of
@@ -73,12 +75,14 @@ def replicate(df: DataFrame, copies: str = COPIES) -> DataFrame:
     return few.unionAll(many)
 
 
+@aside
 def surplus_copies(df: DataFrame) -> DataFrame:
     """Every copy of a row beyond its first: n equal rows give n - 1. One scan, one shuffle."""
     counted = count_copies(df).where(F.col(COPIES) > 1)
     return replicate(counted.withColumn(COPIES, F.col(COPIES) - 1))
 
 
+@aside
 def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Multiset difference: each row of ``left`` as often as it exceeds ``right``."""
     both = left.withColumn(_SIDE, F.lit(1)).unionAll(right.withColumn(_SIDE, F.lit(-1)))
@@ -86,6 +90,7 @@ def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     return replicate(counted.where(F.col(COPIES) > 0))
 
 
+@aside
 def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct rows of ``left`` that are not in ``right``; NULLs compare equal.
 

@@ -72,12 +72,12 @@ def _known_keys(lookup: Lookup, label: str) -> DataFrame:
 def flag_known(facts: DataFrame, column: str, lookup: Lookup, flag: str,
                label: str = "Zone") -> DataFrame:
     """Add a boolean: does ``column`` have a lookup row with a non-null ``label``?"""
-    key = f"{flag}_key"
-    known = _known_keys(lookup, label).select(F.col(lookup.key).alias(key), F.lit(True).alias("_hit"))
+    key, hit = f"{flag}_key", f"{flag}_hit"
+    known = _known_keys(lookup, label).select(F.col(lookup.key).alias(key), F.lit(True).alias(hit))
     return (
         facts.join(lookup.side(known), facts[column] == F.col(key), "left")
-        .withColumn(flag, F.coalesce("_hit", F.lit(False)))
-        .drop("_hit", key)
+        .withColumn(flag, F.coalesce(hit, F.lit(False)))
+        .drop(hit, key)
     )
 
 

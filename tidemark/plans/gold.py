@@ -28,10 +28,12 @@ from tidemark.model import (
 )
 from tidemark.operators import marts
 from tidemark.operators.lookups import Lookup, enrich
-from tidemark.sinks.tables import remove_month, replace_all_months, replace_month, replace_table
+from tidemark.operators.names import step_aside
+from tidemark.sinks.tables import replace_all_months, replace_month, replace_table
 from tidemark.sources.facts import read_partition, read_table
 from tidemark.sources.listing import list_files, list_months
 from tidemark.sources.lookup import read_lookup
+from tidemark.sources.versions import remove_month
 
 LAYER = "gold"
 _CUBE = T.StructType(
@@ -65,16 +67,16 @@ def refresh_everything(spark: SparkSession, layout: Layout, lookup: Lookup) -> N
 
     The cube is written last. A month counts as done once its cube exists.
     """
-    facts = read_table(spark, layout.silver_facts)
-    replace_all_months(enrich(facts, lookup), layout.gold_table(GOLD_FULL))
+    facts, names = step_aside(read_table(spark, layout.silver_facts))
+    replace_all_months(names.back(enrich(facts, lookup)), layout.gold_table(GOLD_FULL))
     cube = marts.trip_cube(facts, [*MONTH_KEYS, *marts.cube_keys()])
     by_month = cube.hint("rebalance", *[F.col(k) for k in MONTH_KEYS])
     replace_all_months(by_month, layout.gold_table(GOLD_CUBE))
 
 
 def refresh_month(spark: SparkSession, layout: Layout, key: RunKey, lookup: Lookup) -> None:
-    facts = read_partition(spark, layout.silver_facts, key)
-    replace_month(enrich(facts, lookup), layout.gold_table(GOLD_FULL), key)
+    facts, names = step_aside(read_partition(spark, layout.silver_facts, key))
+    replace_month(names.back(enrich(facts, lookup)), layout.gold_table(GOLD_FULL), key)
     cube = marts.trip_cube(facts).hint("rebalance")
     replace_month(cube, layout.gold_table(GOLD_CUBE), key)
 

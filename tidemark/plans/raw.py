@@ -33,6 +33,7 @@ from tidemark.operators.copies import (
     replicate,
     split_marked,
 )
+from tidemark.operators.names import keep_clear_of_directories, step_aside
 from tidemark.operators.rules import (
     Rule,
     classify,
@@ -43,9 +44,17 @@ from tidemark.operators.rules import (
     rejected,
 )
 from tidemark.plans.report import LoadReport, report_load
-from tidemark.sinks.tables import replace_month, replace_quarantine, replace_rule
+from tidemark.sinks.tables import (
+    discard_quarantine,
+    link_quarantine,
+    replace_quarantine,
+    tidy_quarantine,
+    write_rule,
+    write_version,
+)
 from tidemark.sources.facts import SOURCE_FILE, read_month_file, with_source
 from tidemark.sources.scratch import remove_scratch, scratch_path, settle
+from tidemark.sources.versions import discard_version, new_version, switch_month, tidy_month
 
 LAYER = "raw"
 RULES = (RULE_DUPLICATES, RULE_NULLS, RULE_LOCATIONS, RULE_STRAY)
@@ -156,35 +165,62 @@ def with_audit(kept: DataFrame) -> DataFrame:
     return kept.select(*data, F.current_timestamp().alias(ingested), F.col(SOURCE_FILE).alias(source))
 
 
+class RejectedShareError(RuntimeError):
+    """A load would reject more of a month than its caller allows; the month was not switched."""
+
+
 def load_raw(
     spark: SparkSession,
     layout: Layout,
     key: RunKey,
     location_range: tuple[int, int] = LOCATION_RANGE,
     null_subset: Iterable[str] | None = None,
+    most_rejected: float = 1.0,
 ) -> LoadReport:
-    """Load one landed month into raw and quarantine what fails. Replaces the month."""
+    """Load one landed month into raw and quarantine what fails. Replaces the month in one step.
+
+    Facts and rejects are written as a new version; when every landed row is placed, and no larger
+    share than ``most_rejected`` of them is rejected, the version becomes the current one. A load
+    that fails before leaves raw and quarantine as they were.
+
+    Landed columns keep their values whatever their names. Those that directories name (``year``,
+    ``month``, ``layer``, ``rule``) are written as ``landed_year`` and so on.
+    """
     path = layout.landing_file(key)
     landing = read_month_file(spark, path, key)
     check_contract(landing, LANDING_CONTRACT, path)
     landing = conform(landing, TRIP_COLUMNS)
     check_types(local_times(landing, TRIP_COLUMNS), TRIP_COLUMNS, path)
+    landing, names = step_aside(keep_clear_of_directories(landing))
     landed = landing.count()
-    stage = scratch_path(spark)
-    rules = landing_rules(landing, key, location_range, null_subset)
+    subset = None if null_subset is None else [names.name(c) for c in null_subset]
+    stage, version = scratch_path(spark), new_version()
+    rules = landing_rules(landing, key, location_range, subset)
+
+    def written(side: DataFrame) -> DataFrame:
+        return names.back(local_times(side, TRIP_COLUMNS))
+
     try:
         split = split_landing(landing, rules, stage)
-        kept = local_times(with_audit(split.kept), TRIP_COLUMNS)
-        replace_month(kept, layout.raw_facts, key)
-        rejects = local_times(split.rejects, TRIP_COLUMNS)
-        replace_quarantine(rejects, layout.quarantine, LAYER, key)
+        kept = written(with_audit(split.kept))
+        write_version(kept, layout.raw_facts, key, version)
+        replace_quarantine(written(split.rejects), layout.quarantine, LAYER, key, version)
         if split.surplus is not None:
-            surplus = local_times(split.surplus, TRIP_COLUMNS)
-            replace_rule(surplus, layout.quarantine, LAYER, key, RULE_DUPLICATES)
+            write_rule(written(split.surplus), layout.quarantine, LAYER, key, RULE_DUPLICATES, version)
+        report = report_load(
+            spark, layout.raw_facts, layout.quarantine, LAYER, key, RULES, version, landed=landed
+        )
+        report.check_conserved(path)
+        if sum(report.rejected.values()) > most_rejected * landed:
+            raise RejectedShareError(f"{path}: {report.rejected} of {landed} rows rejected")
+        link_quarantine(spark, layout.quarantine, LAYER, layout.raw_facts)
+        switch_month(spark, layout.raw_facts, key, version, kept.schema)
+    except Exception:
+        discard_version(spark, layout.raw_facts, key, version)
+        discard_quarantine(spark, layout.quarantine, LAYER, key, version)
+        raise
     finally:
         remove_scratch(spark, stage)
-    report = report_load(
-        spark, layout.raw_facts, layout.quarantine, LAYER, key, RULES, landed=landed
-    )
-    report.check_conserved(path)
+    tidy_month(spark, layout.raw_facts, key)
+    tidy_quarantine(spark, layout.quarantine, LAYER, key)
     return report

@@ -8,7 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import SparkSession
 
 from tidemark.model import RunKey
-from tidemark.sinks.tables import count_month, count_rejects
+from tidemark.sinks.tables import count_rows, count_rules
+from tidemark.sources.versions import version_path
 
 
 class LostRowsError(RuntimeError):
@@ -22,9 +23,10 @@ class LoadReport:
     drift: tuple[tuple, ...] = ()
     landed: int | None = None
 
-    def check_conserved(self, where: str) -> None:
-        """Raise ``LostRowsError`` unless every landed row was kept or rejected, exactly once."""
-        placed = self.kept + sum(self.rejected.values())
+    def check_conserved(self, where: str, twice: int = 0) -> None:
+        """Raise ``LostRowsError`` unless every landed row was kept or rejected, exactly once but for
+        ``twice`` rows that two rules reject."""
+        placed = self.kept + sum(self.rejected.values()) - twice
         if placed != self.landed:
             raise LostRowsError(f"{where}: {self.landed} rows landed, {placed} were written")
 
@@ -45,15 +47,15 @@ def report_load(
     layer: str,
     key: RunKey,
     rules: Iterable[str],
+    version: str,
     drift: Iterable[tuple] = (),
     landed: int | None = None,
 ) -> LoadReport:
-    """What a load left in its tables.
+    """What a load wrote as ``version`` of its month.
 
     Counted from the footers of the files just written, so the load itself is not evaluated again
     and tasks that ran twice after a lost executor are not counted twice.
     """
-    rejected = count_rejects(spark, quarantine, layer, key)
-    return LoadReport(
-        count_month(spark, facts, key), {r: rejected.get(r, 0) for r in rules}, tuple(drift), landed
-    )
+    rejected = count_rules(spark, version_path(f"{quarantine}/layer={layer}", key, version))
+    kept = count_rows(spark, version_path(facts, key, version))
+    return LoadReport(kept, {r: rejected.get(r, 0) for r in rules}, tuple(drift), landed)

@@ -27,7 +27,9 @@ from tidemark.operators.contracts import (
     local_times,
 )
 from tidemark.operators.lookups import Lookup, flag_known
+from tidemark.operators.names import keep_clear_of_directories, step_aside
 from tidemark.operators.rules import (
+    REASONS,
     Rule,
     classify,
     keep_rows,
@@ -38,9 +40,16 @@ from tidemark.operators.rules import (
 )
 from tidemark.plans.raw import Split
 from tidemark.plans.report import LoadReport, report_load
-from tidemark.sinks.tables import replace_month, replace_quarantine
+from tidemark.sinks.tables import (
+    discard_quarantine,
+    link_quarantine,
+    replace_quarantine,
+    tidy_quarantine,
+    write_version,
+)
 from tidemark.sources.facts import read_partition
 from tidemark.sources.lookup import read_lookup
+from tidemark.sources.versions import discard_version, new_version, switch_month, tidy_month
 
 LAYER = "silver"
 RULES = (RULE_TIMES, RULE_PASSENGERS, RULE_DISTANCE, RULE_PICKUP, RULE_DROPOFF)
@@ -79,10 +88,18 @@ def split_raw(raw: DataFrame, lookup: Lookup) -> Split:
     )
 
 
+def _to_place(raw: DataFrame, lookup: Lookup) -> tuple[int, int]:
+    """Rows of ``raw``, and those that both location rules reject. Reads the rules' columns only."""
+    classified = classify(with_known_flags(raw, lookup), business_rules(), location_rules())
+    return tuple(classified.agg(F.count(F.lit(1)), F.count_if(F.size(REASONS) > 1)).first())
+
+
 def load_silver(spark: SparkSession, layout: Layout, key: RunKey) -> LoadReport:
-    """Load one raw month into silver and quarantine what fails. Replaces the month.
+    """Load one raw month into silver and quarantine what fails. Replaces the month in one step.
 
-    Columns beyond the contract are kept and reported as drift.
+    Columns beyond the contract are kept, whatever their names, and reported as drift. As in the raw
+    load, facts and rejects become current together, and only if every raw row was placed: once, or
+    under both location rules.
     """
     raw = read_partition(spark, layout.raw_facts, key)
     path = f"{layout.raw_facts}/{key.partition}"
@@ -90,12 +107,28 @@ def load_silver(spark: SparkSession, layout: Layout, key: RunKey) -> LoadReport:
     drift = drift_rows(raw.schema, SILVER_CONTRACT)
     raw = local_times(conform(raw, SILVER_CONTRACT), SILVER_CONTRACT)
     check_types(raw, SILVER_CONTRACT, path)
-    split = split_raw(raw, read_lookup(spark, layout.lookup))
-    replace_month(split.kept, layout.silver_facts, key)
-    replace_quarantine(split.rejects, layout.quarantine, LAYER, key)
-    return report_load(
-        spark, layout.silver_facts, layout.quarantine, LAYER, key, RULES, drift
-    )
+    raw, names = step_aside(keep_clear_of_directories(raw))
+    version = new_version()
+    lookup = read_lookup(spark, layout.lookup)
+    split = split_raw(raw, lookup)
+    kept = names.back(split.kept)
+    try:
+        write_version(kept, layout.silver_facts, key, version)
+        replace_quarantine(names.back(split.rejects), layout.quarantine, LAYER, key, version)
+        landed, twice = _to_place(raw, lookup)
+        report = report_load(
+            spark, layout.silver_facts, layout.quarantine, LAYER, key, RULES, version, drift, landed
+        )
+        report.check_conserved(path, twice)
+        link_quarantine(spark, layout.quarantine, LAYER, layout.silver_facts)
+        switch_month(spark, layout.silver_facts, key, version, kept.schema)
+    except Exception:
+        discard_version(spark, layout.silver_facts, key, version)
+        discard_quarantine(spark, layout.quarantine, LAYER, key, version)
+        raise
+    tidy_month(spark, layout.silver_facts, key)
+    tidy_quarantine(spark, layout.quarantine, LAYER, key)
+    return report
 
 
 def classify_raw(raw: DataFrame, lookup: Lookup) -> DataFrame:

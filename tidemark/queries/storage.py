@@ -39,11 +39,13 @@ from tidemark.sources.facts import (
     read_month_file,
     read_partition,
     read_table,
+    require_months,
     with_source,
 )
-from tidemark.sources.listing import list_months
+from tidemark.sources.files import Store
 from tidemark.sources.lookup import read_lookup
 from tidemark.sources.scratch import scratch_path
+from tidemark.sources.versions import current_months
 from tidemark.streaming import pickup
 
 
@@ -123,25 +125,28 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS IN
        TRUE AS found, count(*) AS orders FROM orders GROUP BY 1, 2
 UNION ALL SELECT 2002, 1, max(o_orderdate) >= TIMESTAMP '2002-01-01', 0 FROM orders""")
 def input_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every month that has input, and one that has none: an absent month is an error that names
-    it. The driver sees calendar months only."""
+    """Every month that has input, counted in one scan, and one that has none: an absent month is an
+    error that names it. Which months are there is known from their folders alone."""
     root = scratch_path(spark)
-    _write_by_month(_orders(spark, sf_dir), root)
-    found = list_months(spark, root).select("year", "month").distinct().collect()
-    months = sorted(RunKey(m["year"], m["month"]) for m in found)
-
-    scans, absent = [], []
-    for key in [*months, RunKey(2002, 1)]:
-        place = (F.lit(key.year).alias("year"), F.lit(key.month).alias("month"))
-        try:
-            scans.append(read_partition(spark, root, key).select(*place))
-        except FileNotFoundError:
-            absent.append((key.year, key.month, False, 0))
-    counted = reduce(DataFrame.unionAll, scans).groupBy("year", "month").agg(
-        F.lit(True).alias("found"), F.count(F.lit(1)).alias("orders")
+    orders = _orders(spark, sf_dir)
+    at = F.col("o_orderdate")
+    tables.replace_all_months(
+        orders.withColumns({"year": F.year(at), "month": F.month(at)}).hint("rebalance", F.col("year"), F.col("month")),
+        root,
+    )
+    there = list(current_months(spark, root))
+    require_months(spark, root, there)
+    found = [(key.year, key.month, True) for key in there]
+    absent = RunKey(2002, 1)
+    try:
+        require_months(spark, root, [*there, absent])
+    except FileNotFoundError as error:
+        found.append((absent.year, absent.month, str(absent) not in str(error)))
+    counted = read_table(spark, root).groupBy("year", "month").agg(F.count(F.lit(1)).alias("orders"))
+    months = spark.createDataFrame(found, "year int, month int, found boolean")
+    return months.join(counted, ["year", "month"], "left").select(
+        "year", "month", "found", F.coalesce("orders", F.lit(0).cast("bigint")).alias("orders")
     )
-    shape = "year int, month int, found boolean, orders bigint"
-    return counted.unionAll(spark.createDataFrame(absent, shape))
 
 
 # --- sinks --------------------------------------------------------------------------------------
@@ -316,11 +321,11 @@ def _land_months(spark: SparkSession, sf_dir: str, landing: str) -> None:
         .hint("rebalance", F.col("file"))
         .write.partitionBy("file").parquet(written)
     )
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    store = path(landing).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    store.mkdirs(path(landing))
-    for month in store.globStatus(path(f"{written}/file=*")):
-        store.rename(month.getPath(), path(landing, month.getPath().getName().split("=", 1)[1]))
+    store = Store(spark, landing)
+    store.make(landing)
+    for month in store.names(written):
+        if month.startswith("file="):
+            store.rename(f"{written}/{month}", f"{landing}/{month.split('=', 1)[1]}")
 
 
 @query("file_pickup", """

@@ -6,7 +6,7 @@ from tidemark.sinks.tables import (
     replace_all_months,
     replace_month,
     replace_quarantine,
-    replace_rule,
+    write_rule,
     replace_table,
 )
 
@@ -18,6 +18,6 @@ __all__ = [
     "replace_all_months",
     "replace_month",
     "replace_quarantine",
-    "replace_rule",
+    "write_rule",
     "replace_table",
 ]

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.model import MONTH_KEYS
 from tidemark.sources.facts import _read
+from tidemark.sources.versions import VERSION, current_months
 
 # The schema of Spark's binary file source, of which the content is never asked for.
 FILES = T.StructType(
@@ -22,12 +23,13 @@ FILES = T.StructType(
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """``path`` and ``modified`` of every data file below a path."""
-    files = _read(spark.read.format("binaryFile").load, path, "the file listing")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = _read(reader.load, path, "the file listing")
     return files.select("path", F.col("modificationTime").alias("modified"))
 
 
 def list_months(spark: SparkSession, root: str) -> DataFrame:
-    """``year``, ``month`` and ``modified`` of every data file of a (year, month) table.
+    """``year``, ``month`` and ``modified`` of every data file of the current months of a table.
 
     Taken from the paths, since a table without rows has no partition columns to discover.
     """
@@ -35,12 +37,12 @@ def list_months(spark: SparkSession, root: str) -> DataFrame:
         return F.regexp_extract("path", r"/year=(\d+)/month=(\d+)/", group).try_cast("int")
 
     year, month = MONTH_KEYS
-    return list_files(spark, root).select(
-        key(1).alias(year), key(2).alias(month), "modified"
+    files = list_files(spark, root).select(
+        key(1).alias(year),
+        key(2).alias(month),
+        F.regexp_extract("path", rf"/{VERSION}=([^/]+)/", 1).alias("version"),
+        "modified",
     )
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Delete a file or folder, if it is there, on the file system its path names."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    current = [(k.year, k.month, m.version or "") for k, m in current_months(spark, root).items()]
+    shape = f"{year} int, {month} int, version string"
+    return files.join(F.broadcast(spark.createDataFrame(current, shape)), [year, month, "version"]).drop("version")

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.sources.listing import delete_path
+from tidemark.sources.files import Store
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -27,7 +27,7 @@ def scratch_path(spark: SparkSession) -> str:
 
 def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete an intermediate folder that :func:`scratch_path` gave."""
-    delete_path(spark, path)
+    Store(spark, path).delete(path)
 
 
 def settle(df: DataFrame, path: str) -> DataFrame:
