@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -27,9 +28,13 @@ class Store:
 
     def names(self, path: str) -> list[str]:
         """Names of what is in a folder; none if there is no such folder."""
-        if not self.exists(path):
-            return []
-        return sorted(status.getPath().getName() for status in self._files.listStatus(self._path(path)))
+        try:
+            listed = self._files.listStatus(self._path(path))
+        except Py4JJavaError as error:
+            if error.java_exception.getClass().getSimpleName() == "FileNotFoundException":
+                return []
+            raise
+        return sorted(status.getPath().getName() for status in listed)
 
     def read(self, path: str) -> str:
         stream = self._files.open(self._path(path))

@@ -73,6 +73,8 @@ class _Table:
         # A month is current where the rows that the mark was made for are.
         self.base = self.store.read(link) if self.linked else self.root
         self.all = _marks(self.store, f"{self.base}/{MARKS}/{_ALL}")
+        # Tables that were only ever refreshed as a whole have no marks of single months.
+        self.years = set(self.store.names(f"{self.base}/{MARKS}"))
 
     def keys(self) -> list[RunKey]:
         """Months that have a folder."""
@@ -84,10 +86,15 @@ class _Table:
                         found.append(RunKey(int(match[1]), int(inner[1])))
         return found
 
+    def marks(self, key: RunKey) -> list[tuple[str, str]]:
+        if key.partition.partition("/")[0] not in self.years:
+            return []
+        return _marks(self.store, f"{self.base}/{MARKS}/{key.partition}")
+
     def month(self, key: RunKey) -> Month | None:
         """The current version of a month, or its plain folder; None if there is neither."""
         folder = f"{self.root}/{key.partition}"
-        marks = _marks(self.store, f"{self.base}/{MARKS}/{key.partition}") + self.all[-1:]
+        marks = self.marks(key) + self.all[-1:]
         there = self.store.names(f"{self.base}/{key.partition}")
         newest_refresh = self.all[-1][0] if self.all else ""
         for version, mark in sorted(marks, reverse=True):
@@ -143,34 +150,39 @@ def link_marks(spark: SparkSession, root: str, base: str) -> None:
     store.write(link, base)
 
 
-def tidy_month(spark: SparkSession, root: str, key: RunKey) -> None:
-    """Delete what a switch has made obsolete: plain files, and all versions older than the one that
-    was current before. Versions that are newer than the current one may still be in the making."""
-    table = _Table(spark, root)
-    month = table.month(key)
-    folder = f"{root}/{key.partition}"
+def _tidy(table: _Table, key: RunKey, month: Month | None) -> None:
+    version = month.version if month else ""
+    if month is None and table.linked:
+        # A linked month without rows of its own has no folder, but the other table has its version.
+        version = next((v for v, _ in reversed(table.marks(key))), "")
+    folder = f"{table.root}/{key.partition}"
     names = table.store.names(folder)
-    if month is not None and month.version is None:
-        return
-    # A linked month without rows of its own has no folder, but it has a current version.
-    version = month.version if month else _Table(spark, table.base).month(key).version if table.linked else ""
     older = [n for n in names if n.startswith(_PREFIX) and n < f"{_PREFIX}{version}"]
     for name in [*older[:-1], *(n for n in names if not n.startswith(_PREFIX))]:
         table.store.delete(f"{folder}/{name}")
     if not table.linked:
-        marks = _marks(table.store, f"{root}/{MARKS}/{key.partition}")
-        for _, mark in [m for m in marks if m[0] < version][:-1]:
+        for _, mark in [m for m in table.marks(key) if m[0] < version][:-1]:
             table.store.delete(mark)
 
 
+def tidy_month(spark: SparkSession, root: str, key: RunKey) -> None:
+    """Delete what a switch has made obsolete: plain files, and all versions older than the one that
+    was current before. Versions that are newer than the current one may still be in the making."""
+    table = _Table(spark, root)
+    month = table.month(key)
+    if month is None or month.version is not None:
+        _tidy(table, key, month)
+
+
 def tidy_all(spark: SparkSession, root: str) -> None:
     """The same after a refresh of the whole table; months that left it are deleted."""
     table = _Table(spark, root)
     for key in table.keys():
-        if table.month(key) is None:
+        month = table.month(key)
+        if month is None:
             table.store.delete(f"{root}/{key.partition}")
         else:
-            tidy_month(spark, root, key)
+            _tidy(table, key, month)
     for _, mark in table.all[:-1]:
         table.store.delete(mark)
 
