@@ -332,6 +332,8 @@ def _open(percent: int):
                     sets.append(found.copy())
                     homes.append(component)
                     continue
+                if not keys:
+                    continue  # the group's members were all dealt to its other chunks
                 if chunk is None:
                     chunk = Chunk(keys, sets)
                 for i in chunk.linked(found, percent).tolist():
