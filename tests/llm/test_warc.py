@@ -4,6 +4,7 @@ import hashlib
 import pyarrow as pa
 import pytest
 from frames import TEXTS, documents, empty
+from pyspark.sql import functions as F
 
 from tidemark.llm import warc
 from tidemark.llm.queries import op7_warc
@@ -41,6 +42,40 @@ def test_awkward_rows(spark, tmp_path):
     assert warc.read(warc.write(empty(spark).selectExpr("doc_id page_id", "text html"), f"file://{tmp_path}/e")).count() == 0
 
 
+def shuffled(spark, feed):
+    """5,000 pages of 50 payloads, fed in ways that may order them anew at each reading."""
+    pages = spark.range(5000).selectExpr("id page_id", "concat('payload ', id % 50) html")
+    if feed == "repeated ids":
+        pages = pages.withColumn("page_id", F.col("page_id") % 50)
+    if feed == "null ids":
+        pages = pages.withColumn("page_id", F.lit(None).cast("bigint"))
+    if feed == "join":
+        return pages.join(spark.range(0, 5000, 1, 7).withColumnRenamed("id", "page_id"), "page_id")
+    return pages.repartition(6)
+
+
+@pytest.mark.parametrize("feed", ["repartition", "repeated ids", "null ids", "join"])
+def test_every_payload_is_in_one_response(spark, tmp_path, feed):
+    found = warc.read(warc.write(shuffled(spark, feed), f"file://{tmp_path}/w")).collect()
+    assert len(found) == 5000
+    heads = [r for r in found if r.record_type == "response"]
+    assert sorted(bytes(r.payload).decode() for r in heads) == sorted(f"payload {n}" for n in range(50))
+    page = {r.payload_digest: r.page for r in heads}
+    assert all(r.refers_to == page[r.payload_digest] for r in found if r.record_type == "revisit")
+
+
+def test_the_query_refuses_a_payload_without_response(spark, sf_dir, monkeypatch):
+    write = warc.write
+
+    def lossy(pages, folder):
+        return write(pages.withColumn("html", F.concat("html", F.lit("!"))), folder)
+
+    monkeypatch.setattr(warc, "read", lambda *a, read=warc.read, **k: read(*a, **k).replace("response", "revisit", "record_type"))
+    monkeypatch.setattr(warc, "write", lossy)
+    with pytest.raises(ValueError, match="payloads are in 0 response"):
+        op7_warc(spark, sf_dir)
+
+
 def test_small_payloads_are_all_responses(spark, tmp_path):
     pages = spark.createDataFrame([(1, "ab"), (2, "ab"), (3, "abcd"), (4, "abcd")], "page_id bigint, html string")
     found = warc.read(warc.write(pages, f"file://{tmp_path}/w", least=3)).collect()
@@ -49,7 +84,7 @@ def test_small_payloads_are_all_responses(spark, tmp_path):
     ]
 
 
-MEMBERS = [warc.record(i, "http://x/", (f"<p>{i}</p>" * (i * 700 + 1)).encode(), None) for i in range(8)]
+MEMBERS = [warc.response(i, "http://x/", (f"<p>{i}</p>" * (i * 700 + 1)).encode()) for i in range(8)]
 
 
 def salvage(data):

@@ -63,9 +63,16 @@ def op6_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write(read_table(spark, sf_dir, "pages"), scratch_path(spark))
     found = settle(warc.read(manifest, payloads=False), scratch_path(spark)).where("reason IS NULL")
-    written, read = manifest.agg(F.sum("records")).first()[0] or 0, found.count()
+    written = manifest.agg(F.sum("records")).first()[0] or 0
+    read, responses, payloads = found.agg(
+        F.count(F.lit(1)),
+        F.count_if(F.col("record_type") == "response"),
+        F.count_distinct("payload_digest"),
+    ).first()
     if read != written:
         raise ValueError(f"{read} of {written} records could be read")
+    if responses != payloads:
+        raise ValueError(f"{payloads} payloads are in {responses} response records")
     return found.select(
         F.col("page").cast("bigint").alias("page_id"),
         "payload_bytes",

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import open_new, open_old, spread
-from tidemark.sources.scratch import settle
+from tidemark.sources.scratch import scratch_path, settle
 
 VERSION = b"WARC/1.1"
 VERSIONS = (b"WARC/1.0\r\n", b"WARC/1.1\r\n")
@@ -44,26 +44,31 @@ def record_id(number) -> str:
     return "" if number is None else str(number)
 
 
-def record(number, url: str | None, payload: bytes, refers_to: str | None) -> bytes:
-    """One record; with ``refers_to`` a revisit, which carries no payload."""
-    head = HTTP.format(len(payload)).encode()
-    block = head if refers_to is not None else head + payload
-    kind = "response" if refers_to is None else "revisit"
+def _record(number, url: str | None, size: int, digest: str, block: bytes, *more: str) -> bytes:
     lines = [
         VERSION.decode(),
-        f"WARC-Type: {kind}",
+        f"WARC-Type: {'revisit' if more else 'response'}",
         f"WARC-Record-ID: <urn:page:{record_id(number)}>",
         f"WARC-Date: {DATE}",
         # Header values have one line.
         f"WARC-Target-URI: {' '.join((url or '').split())}",
         "Content-Type: application/http; msgtype=response",
-        f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}",
-        f"WARC-Block-Digest: sha1:{base32_sha1(block)}",
+        f"WARC-Payload-Digest: sha1:{digest}",
+        f"WARC-Block-Digest: sha1:{base32_sha1(HTTP.format(size).encode() + block)}",
+        *more,
+        f"Content-Length: {len(HTTP.format(size)) + len(block)}",
     ]
-    if refers_to is not None:
-        lines += [f"WARC-Refers-To: <urn:page:{refers_to}>", f"WARC-Profile: {PROFILE}"]
-    lines.append(f"Content-Length: {len(block)}")
-    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + HTTP.format(size).encode() + block + b"\r\n\r\n"
+
+
+def response(number, url: str | None, payload: bytes) -> bytes:
+    return _record(number, url, len(payload), base32_sha1(payload), payload)
+
+
+def revisit(number, url: str | None, size: int, digest: str, refers_to: str) -> bytes:
+    """A record without its payload, of which ``size`` and ``digest`` are known."""
+    more = (f"WARC-Refers-To: <urn:page:{refers_to}>", f"WARC-Profile: {PROFILE}")
+    return _record(number, url, size, digest, b"", *more)
 
 
 def member(data: bytes) -> bytes:
@@ -338,11 +343,15 @@ def _write(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, file, records = TaskContext.get().partitionId(), None, 0
         for batch in batches:
-            columns = [batch.column("page"), batch.column("url"), batch.column("html").cast(pa.binary())]
-            for number, url, html, refers in zip(*columns, batch.column("refers").to_pylist()):
+            columns = [batch.column(c).to_pylist() for c in ("page", "url", "bytes", "sha1", "refers")]
+            for number, url, size, sha1, refers, html in zip(*columns, batch.column("html").cast(pa.binary())):
                 if file is None:
                     uri, file = open_new(folder, f"part-{part:06d}", ".warc.gz")
-                file.write(member(record(number.as_py(), url.as_py(), html.as_py() or b"", refers)))
+                if refers is None:
+                    data = response(number, url, html.as_py())
+                else:
+                    data = revisit(number, url, size, base64.b32encode(bytes.fromhex(sha1)).decode(), refers)
+                file.write(member(data))
                 records += 1
         if file is not None:
             file.close()
@@ -358,16 +367,25 @@ def write(pages: DataFrame, folder: str, id: str = "page_id", text: str = "html"
     a response and the others revisit it; null identifiers come last, and exactly one row is the
     response also where identifiers repeat. A null payload is an empty one. An empty table gives an
     empty manifest; other columns than ``url`` (which may be missing) are ignored.
+
+    Which rows are responses is settled on narrow rows; payloads are then joined to them by their
+    digest, one copy of each. So only contents, and no numbers of rows, tie the two reads of
+    ``pages`` together: rows that arrive in another order the second time do no harm.
     """
     url = F.col("url") if "url" in pages.columns else F.lit(None).cast("string")
-    rows = pages.select(
-        F.col(f"`{id}`").alias("page"), url.alias("url"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("html")
-    )
-    rows = rows.withColumn("digest", F.sha2("html", 256)).withColumn("place", F.monotonically_increasing_id())
+    html = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    narrow = settle(
+        pages.select(
+            F.col(f"`{id}`").alias("page"), url.alias("url"), F.sha2(html, 256).alias("digest"),
+            F.sha1(html).alias("sha1"), F.octet_length(html).cast("bigint").alias("bytes"),
+            F.monotonically_increasing_id().alias("place"),
+        ),
+        scratch_path(pages.sparkSession),
+    )
     order = F.struct(F.col("page").isNull(), "page", "place")
     # Counted by hash before the shuffle, so a payload that very many pages share shrinks first.
     heads = (
-        rows.where(F.octet_length("html") >= least)
+        narrow.where(F.col("bytes") >= least)
         .groupBy("digest")
         .agg(F.min(order).alias("head"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
@@ -375,8 +393,12 @@ def write(pages: DataFrame, folder: str, id: str = "page_id", text: str = "html"
     )
     revisits = F.col("head_place").isNotNull() & (F.col("head_place") != F.col("place"))
     refers = F.when(revisits, F.coalesce(F.col("head").cast("string"), F.lit("")))
-    marked = rows.join(heads, "digest", "left").select("page", "url", "html", refers.alias("refers"))
-    return settle(marked.mapInArrow(_write(folder), MANIFEST), f"{folder}/manifest")
+    marked = narrow.join(heads, "digest", "left").withColumn("refers", refers)
+    names = ("page", "url", "bytes", "sha1", "refers", "html")
+    payloads = pages.select(F.sha2(html, 256).alias("digest"), html.alias("html")).dropDuplicates(["digest"])
+    responses = marked.where(F.col("refers").isNull()).join(payloads, "digest").select(*names)
+    others = marked.where(F.col("refers").isNotNull()).withColumn("html", F.lit("")).select(*names)
+    return settle(responses.unionByName(others).mapInArrow(_write(folder), MANIFEST), f"{folder}/manifest")
 
 
 def _identifier(value: str | None) -> str | None:
