@@ -37,3 +37,16 @@ def test_awkward_rows_and_a_hot_text(spark):
     assert sum(r.kept for r in found) == len(groups)
     assert dedup.drop_duplicates(docs).columns == docs.columns
     assert dedup.exact_duplicates(empty(spark)).count() == 0
+
+
+def test_a_hot_text_in_shuffled_rows_with_repeated_identifiers(spark):
+    docs = spark.range(6000).selectExpr(
+        "if(id % 3 = 0, id % 40, id) doc_id", "if(id % 3 = 0, 'one  hot text', concat('text ', id % 900)) text"
+    ).repartition(7)
+    found = dedup.exact_duplicates(docs).collect()
+    assert len(found) == 6000
+    for text, size in {r.row.text: r.group_size for r in found}.items():
+        group = [r for r in found if r.row.text == text]
+        least = min(r.row.doc_id for r in group)
+        assert len(group) == size and {r.keep_id for r in group} == {least}
+        assert [r.row.doc_id for r in group if r.kept] == [least]

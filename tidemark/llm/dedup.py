@@ -65,26 +65,33 @@ def exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         F.xxhash64(F.monotonically_increasing_id()).alias("dealt"),
     )
     if hot.limit(1).count() == 0:
-        return _in_runs(keyed.drop("dealt"), id, text).select(
-            "row",
-            F.col("run_keep").alias("keep_id"),
-            F.col("run_size").alias("group_size"),
-            F.col("first").alias("kept"),
-            "text_sha256",
-        )
+        return _found(_in_runs(keyed.drop("dealt"), id, text))
     run = F.coalesce(F.pmod("dealt", "runs"), F.lit(0).cast("bigint"))
     keyed = keyed.join(F.broadcast(hot), "hash", "left").withColumn("run", run).drop("dealt")
+    # Dealt once: both uses below have to see each row in the same run.
+    crowd = settle(keyed.where(F.col("runs").isNotNull()), scratch_path(spark))
     # Two runs per partition at most, so the resolved heads are broadcast, too.
-    heads = _in_runs(keyed.where(F.col("runs").isNotNull()), id, text, "run").where("first")
+    heads = _in_runs(crowd, id, text, "run").where("first")
     resolved = settle(_resolved(heads, text), scratch_path(spark))
-    found = _in_runs(keyed, id, text, "run").join(
-        F.broadcast(resolved), ["hash", "run", "text_sha256"], "left"
+    found = _in_runs(crowd, id, text, "run").join(F.broadcast(resolved), ["hash", "run", "text_sha256"], "left")
+    alone = _in_runs(keyed.where(F.col("runs").isNull()).drop("run"), id, text)
+    return _found(alone).unionByName(
+        found.select(
+            "row",
+            F.when(F.col("winner").isNull(), F.col("run_keep")).otherwise(F.col("all_keep")).alias("keep_id"),
+            F.coalesce("all_size", "run_size").alias("group_size"),
+            (F.col("first") & F.coalesce("winner", F.lit(True))).alias("kept"),
+            "text_sha256",
+        )
     )
-    return found.select(
+
+
+def _found(compared: DataFrame) -> DataFrame:
+    return compared.select(
         "row",
-        F.when(F.col("winner").isNull(), F.col("run_keep")).otherwise(F.col("all_keep")).alias("keep_id"),
-        F.coalesce("all_size", "run_size").alias("group_size"),
-        (F.col("first") & F.coalesce("winner", F.lit(True))).alias("kept"),
+        F.col("run_keep").alias("keep_id"),
+        F.col("run_size").alias("group_size"),
+        F.col("first").alias("kept"),
         "text_sha256",
     )
 
