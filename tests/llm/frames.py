@@ -22,9 +22,14 @@ TEXTS = [
 
 def documents(spark, texts=TEXTS):
     """Columns that clash with those the operators use inside are part of the table."""
-    rows = [(i, t, "en" if n % 2 else None, "src", n, n, "r", 7) for n, (i, t) in enumerate(texts)]
+    rows = [
+        (i, t, "en" if n % 2 else None, "src", n, n, "r", 7, n, "x", None, 1.5, [n])
+        for n, (i, t) in enumerate(texts)
+    ]
     return spark.createDataFrame(
-        rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, id bigint, row string, hash int"
+        rows,
+        "doc_id bigint, text string, lang string, source string, n_chars bigint, id bigint, row string, hash int, "
+        "`a b` bigint, `x-y` string, `d.o.t` string, `tick``s` double, `p: q, <r>` array<bigint>",
     )
 
 

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.sources.scratch import scratch_path, settle
 
@@ -103,7 +104,7 @@ def _measure(text: str):
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """Each row of ``docs`` as the struct ``row``, beside its ``COUNTS``. Null texts have no words."""
     rows = docs.select(F.struct("*").alias("row"))
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, " + ", ".join(f"{c} bigint" for c in COUNTS)
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(c, T.LongType()) for c in COUNTS)])
     return rows.mapInArrow(_measure(text), schema)
 
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.components import components
 from tidemark.sources.scratch import scratch_path, settle
@@ -160,9 +161,9 @@ def near_duplicates(
     among them, have the fingerprint zero. Null identifiers are in a class like all others, but are
     only its identifier where it has no other. An empty table gives no rows; other columns are ignored.
     """
-    kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    rows = rows.mapInArrow(_prints(shingle), f"id {kind}, print bigint")
+    schema = T.StructType([rows.schema["id"], T.StructField("print", T.LongType())])
+    rows = rows.mapInArrow(_prints(shingle), schema)
     rows = settle(rows, scratch_path(docs.sparkSession))
     found = classes(rows, F.col("id"), bits)
     return rows.join(found, "print").select(
@@ -181,8 +182,8 @@ def drop_near_duplicates(
     """
     spark = docs.sparkSession
     rows = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
-    rows = rows.mapInArrow(_prints(shingle), f"row {kind}, print bigint")
+    schema = T.StructType([rows.schema["row"], T.StructField("print", T.LongType())])
+    rows = rows.mapInArrow(_prints(shingle), schema)
     rows = rows.withColumn("place", F.monotonically_increasing_id())
     rows = settle(rows, scratch_path(spark))
     narrow = rows.select("print", "place", F.col("row")[id].alias("id"))
