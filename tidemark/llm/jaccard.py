@@ -45,7 +45,7 @@ from tidemark.sources.scratch import scratch_path, settle
 SHINGLE = 5
 PERCENT = 80
 AT_ONCE = 1 << 21  # tokens
-SHARE = 1 << 17  # tokens of a chunk, or of a block of queries
+SHARE = 1 << 18  # tokens of a chunk, or of a block of queries
 PICKS = 2
 FREQUENT = 16
 MOST_FREQUENT = 1 << 18
@@ -241,31 +241,35 @@ def _bitmap(hashes: DataFrame) -> np.ndarray:
 
 
 def _chosen(bitmap: np.ndarray, shingle: int, seed: int):
-    def batch(reader: _Read) -> pa.RecordBatch:
-        data = pa.array([s.tobytes() for s in reader.sets], pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(_signed(reader.keys)), data], ["key", "tokens"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Read(shingle, seed)
-        for text, raw in _new_texts(batches, reader):
+        out, held = [], 0
+        for text, raw in _new_texts(batches, _Read(shingle, seed)):
             place = raw % BITMAP
-            if bitmap[place >> 3] >> (place & 7) & 1 and reader.add(None, text, raw):
-                yield batch(reader)
-                reader.clear()
-        if reader.sets:
-            yield batch(reader)
+            if bitmap[place >> 3] >> (place & 7) & 1:
+                out.append((raw, text))
+                held += len(text)
+            if held >= AT_ONCE:
+                yield _texts_batch(out)
+                out, held = [], 0
+        if out:
+            yield _texts_batch(out)
 
     return run
 
 
-def token_sets(texts: DataFrame, wanted: DataFrame, shingle: int, seed: int) -> DataFrame:
-    """``key`` and ``tokens`` of some sets, read from the texts once more; others may be among them.
+def _texts_batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    raws, texts = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(_signed(list(raws))), pa.array(texts, pa.binary())], ["raw", "text"])
+
 
-    ``wanted`` has the hash ``raw`` of one text of each set. The bitmap of these is all that is
-    broadcast: texts it does not have are skipped, not cut up again.
+def chosen_texts(texts: DataFrame, wanted: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """``raw`` and ``text`` of the texts whose hash ``wanted`` has; others may be among them.
+
+    The bitmap of the hashes is all that is broadcast. Texts are smaller than their sets, so they are
+    what travels, and sets are made where they are compared.
     """
-    rows = texts.mapInArrow(_chosen(_bitmap(wanted), shingle, seed), "key bigint, tokens binary")
-    return rows.dropDuplicates(["key"])
+    rows = texts.mapInArrow(_chosen(_bitmap(wanted), shingle, seed), "raw bigint, text binary")
+    return rows.dropDuplicates(["raw"])
 
 
 def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -315,7 +319,7 @@ _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _OPENED = ("group", "core", "chunk", "block", "asks", "key", "component")
 
 
-def _open(percent: int):
+def _open(shingle: int, percent: int):
     """Links of the queries that follow each chunk's members."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,13 +327,13 @@ def _open(percent: int):
         for batch in batches:
             out = []
             places = zip(*(batch.column(c).to_pylist() for c in _OPENED))
-            for (*place, asks, key, component), data in zip(places, batch.column("tokens")):
+            for (*place, asks, key, component), text in zip(places, batch.column("text")):
                 if place != current:
                     current, keys, sets, homes, chunk, connected = place, [], [], [], None, Connected()
-                found = np.frombuffer(data.as_buffer(), np.uint64)
+                found = tokens(text.as_py(), shingle)
                 if not asks:
                     keys.append(key)
-                    sets.append(found.copy())
+                    sets.append(found)
                     homes.append(component)
                     continue
                 if not keys:
@@ -344,11 +348,13 @@ def _open(percent: int):
     return run
 
 
-def open_groups(asking: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def open_groups(
+    asking: DataFrame, members: DataFrame, raws: DataFrame, texts: DataFrame, shingle: int, percent: int
+) -> DataFrame:
     """Links ``a``, ``b`` of sets with members of groups, as many as connect their components.
 
     ``asking`` and ``members`` have ``group`` and ``core``, which name the group, ``key``, ``n`` and
-    ``component``. A group with many members or queries is dealt to several tasks: each task reads
+    ``component``; ``raws`` has the hash ``raw`` of a text of each ``key``, ``texts`` the texts. A group with many members or queries is dealt to several tasks: each task reads
     about ``SHARE`` tokens of members, and each query goes to every chunk of its group.
     """
     named = ["group", "core"]
@@ -363,13 +369,14 @@ def open_groups(asking: DataFrame, members: DataFrame, sets: DataFrame, percent:
         return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(name) - 1))
 
     asked = parts(asking, "blocks")
-    plan = settle(parts(members, "chunks").join(asked, named), scratch_path(sets.sparkSession))
+    plan = settle(parts(members, "chunks").join(asked, named), scratch_path(texts.sparkSession))
     held = members.join(plan, named).withColumn("chunk", dealt("chunks")).withColumn("block", each("blocks"))
     queries = asking.join(plan, named).withColumn("block", dealt("blocks")).withColumn("chunk", each("chunks"))
     held = held.withColumn("asks", F.lit(False)).select(*_OPENED)
-    rows = held.unionByName(queries.withColumn("asks", F.lit(True)).select(*_OPENED)).join(sets, "key")
+    rows = held.unionByName(queries.withColumn("asks", F.lit(True)).select(*_OPENED))
+    rows = rows.join(raws, "key").join(texts, "raw").select(*_OPENED, "text")
     rows = rows.repartition(*_OPENED[:4]).sortWithinPartitions(*_OPENED[:5])
-    return rows.select(*_OPENED, "tokens").mapInArrow(_open(percent), "a bigint, b bigint")
+    return rows.mapInArrow(_open(shingle, percent), "a bigint, b bigint")
 
 
 def least_overlap(total: Column, percent: int) -> Column:
@@ -485,8 +492,9 @@ def jaccard_components(
 
     def opened(asking: DataFrame, members: DataFrame) -> DataFrame:
         used = members.join(asking, ["group", "core"], "left_semi").select("key").unionByName(asking.select("key"))
-        sets = token_sets(texts, keys.join(used.distinct(), "key", "left_semi").select("raw"), shingle, seed)
-        return settle(open_groups(asking, members, sets, percent), scratch_path(spark))
+        raws = settle(keys.join(used.distinct(), "key", "left_semi").select("key", "raw"), scratch_path(spark))
+        found = chosen_texts(texts, raws, shingle, seed)
+        return settle(open_groups(asking, members, raws, found, shingle, percent), scratch_path(spark))
 
     shared = shared_prefixes(texts, frequent, shingle, seed, percent)
     sizes = settle(shared.select("key", "n").distinct(), scratch_path(spark))
