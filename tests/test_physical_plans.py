@@ -98,26 +98,43 @@ def test_repeated_rows_do_not_make_unique_ones_shuffle(spark, landing, tmp_path)
 
 
 def test_only_candidates_shuffle_however_many_rows_repeat(spark, landing, tmp_path):
-    """Every row repeats, and the bitmap has a single word: the plan is the same, and the whole rows
+    """Every row repeats, and the filter has a single block: the plan is the same, and the whole rows
     are shuffled once."""
     path = str(tmp_path / "all")
     landing.unionAll(landing).write.parquet(path)
     twice = read_month_file(spark, path, MONTH)
-    split = split_landing(twice, landing_rules(twice, MONTH), str(tmp_path / "s"), words=1)
+    split = split_landing(twice, landing_rules(twice, MONTH), str(tmp_path / "s"), most_blocks=1)
     for side in (split.kept, split.rejects):
         assert "hashpartitioning" not in plan(side)
     columns = twice.columns
-    marks = copies.mark_repeats(copies.repeated_fingerprints(twice, columns))
-    _, candidates = copies.split_marked(twice.withColumn("_f", F.lit(1)), columns, marks)
+    marks = copies.mark_repeats(copies.repeated_fingerprints(twice, columns), 64)
+    _, candidates = copies.split_marked(twice.withColumn("_f", F.lit(1)), columns, marks, 64)
     text = plan(copies.count_copies(candidates, "_f"))
     whole = [e for e in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text) if "VendorID" in e]
     assert len(whole) == 1
 
 
-def test_bitmap_is_bounded(spark):
+def test_filter_is_bounded_and_grows_with_what_repeats(spark):
     prints = spark.range(20_000).select(F.xxhash64("id").alias("_fp"))
     assert copies.mark_repeats(prints, 64).count() == 64
-    assert copies.mark_repeats(prints).count() <= 20_000
+    assert copies.filter_blocks(0) == 1 and copies.filter_blocks(10**12) == copies.BLOCKS
+    for repeats in (1_000, 10_000_000, 40_000_000):
+        bits = copies.filter_blocks(repeats) * 64 * copies.LANES
+        assert copies.BITS_EACH * repeats <= bits <= max(2 * copies.BITS_EACH * repeats, 512)
+
+
+def test_below_one_percent_of_unique_rows_are_candidates(spark):
+    """The filter's load is the same at ten million repeats: blocks grow with them."""
+    repeats, unique = 170_000, 500_000  # just below a power of two of blocks, the fullest it gets
+    data = spark.range(repeats + unique).withColumn("n", F.when(F.col("id") < repeats, 2).otherwise(1))
+    rows = data.select("id", F.explode(F.sequence(F.lit(1), "n")).alias("copy")).select("id")
+    blocks = copies.filter_blocks(repeats)
+    assert repeats * copies.BITS_EACH > 0.9 * blocks * 64 * copies.LANES
+    marks = copies.mark_repeats(copies.repeated_fingerprints(rows, ["id"]), blocks)
+    certain, candidates = copies.split_marked(rows, ["id"], marks, blocks)
+    assert candidates.where(F.col("id") < repeats).count() == 2 * repeats
+    assert candidates.where(F.col("id") >= repeats).count() < 0.01 * unique
+    assert certain.count() + candidates.count() == 2 * repeats + unique
 
 
 def test_file_metadata_is_read_only_for_the_name(landing, tmp_path):

@@ -65,13 +65,13 @@ def test_edge_rows_go_where_they_belong(spark, layout):
     assert report.rejected == {rule: counts[rule] for rule in RULES}
 
 
-def test_full_bitmap_gives_the_same_split(spark, layout, tmp_path):
-    """With one word nearly every row becomes a candidate and is grouped exactly."""
+def test_full_filter_gives_the_same_split(spark, layout, tmp_path):
+    """With one block nearly every row becomes a candidate and is grouped exactly."""
     land(frame(spark, landing_rows()), layout)
     landing = read_month_file(spark, layout.landing_file(KEY), KEY)
     rules = landing_rules(landing, KEY)
     narrow = split_landing(landing, rules, str(tmp_path / "narrow"))
-    wide = split_landing(landing, rules, str(tmp_path / "wide"), words=1)
+    wide = split_landing(landing, rules, str(tmp_path / "wide"), most_blocks=1)
     for a, b in ((narrow.kept, wide.kept), (narrow.rejects, wide.rejects),
                  (narrow.surplus, wide.surplus)):
         a, b = a.select(sorted(a.columns)), b.select(sorted(b.columns))

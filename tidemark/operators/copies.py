@@ -8,6 +8,7 @@ end, in blocks that are spread over the tasks.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,12 +21,14 @@ _SIDE = "_side"
 # BLOCK copies which are shuffled, so no single task has to write a whole hot group.
 SMALL = 64
 BLOCK = 65_536
-# Words of 64 bits that mark repeated fingerprints. As a broadcast table they take about 40 bytes
-# each, 40 MB at most, whatever the size of the data.
-WORDS = 1 << 20
+# A filter marks repeated fingerprints in blocks of eight 64-bit words, one bit in each. It has
+# BITS_EACH bits or more per repeated fingerprint, which leaves below 1 % of unique rows marked, up to
+# BLOCKS blocks: some 100 MB as a broadcast table, whatever the size of the data.
+LANES = 8
+BITS_EACH = 12
+BLOCKS = 1 << 20
 _FP = "_fp"
-_WORD = "_word"
-_BITS = "_bits"
+_BLOCK = "_block"
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
@@ -119,33 +122,46 @@ def repeated_fingerprints(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _word(words: int) -> Column:
-    return F.shiftright(_FP, 6).bitwiseAND(F.lit(words - 1).cast("bigint"))
+def filter_blocks(repeats: int, most: int = BLOCKS) -> int:
+    """Blocks of a filter for so many fingerprints: a power of two, at most ``most``."""
+    wanted = max(1, -(-repeats * BITS_EACH // (64 * LANES)))
+    return min(most, 1 << (wanted - 1).bit_length())
 
 
-def _bit() -> Column:
-    return F.col(_FP).bitwiseAND(F.lit(63).cast("bigint")).cast("int")
+def _lane(number: int) -> str:
+    return f"_lane{number}"
 
 
-def mark_repeats(repeats: DataFrame, words: int = WORDS) -> DataFrame:
-    """Repeated fingerprints as a bitmap of at most ``words`` rows (a power of two).
+def _block(blocks: int) -> Column:
+    return F.col(_FP).bitwiseAND(F.lit(blocks - 1).cast("bigint"))
 
-    Each fingerprint sets the bit that its low bits name. The more of them repeat, the more unique
-    fingerprints share a set bit with one; no repeated fingerprint is ever unmarked.
+
+def _bit(number: int) -> Column:
+    """Six bits of a second hash, so that they are independent of the block."""
+    return F.shiftrightunsigned(F.xxhash64(_FP), 6 * number).bitwiseAND(F.lit(63).cast("bigint")).cast("int")
+
+
+def mark_repeats(repeats: DataFrame, blocks: int) -> DataFrame:
+    """Repeated fingerprints as a blocked Bloom filter: at most ``blocks`` rows (a power of two).
+
+    A fingerprint sets one bit in each lane of the block that its low bits name. No repeated
+    fingerprint is ever unmarked; a unique one is marked if its eight bits happen to be set, too.
     """
-    bit = F.expr(f"shiftleft(1L, cast({_FP} & 63L as int))")
-    return repeats.groupBy(_word(words).alias(_WORD)).agg(F.bit_or(bit).alias(_BITS))
+    bits = repeats.select(
+        _block(blocks).alias(_BLOCK),
+        *[F.call_function("shiftleft", F.lit(1).cast("bigint"), _bit(i)).alias(_lane(i)) for i in range(LANES)],
+    )
+    return bits.groupBy(_BLOCK).agg(*[F.bit_or(_lane(i)).alias(_lane(i)) for i in range(LANES)])
 
 
 def split_marked(
-    df: DataFrame, columns: Sequence[str], marks: DataFrame, words: int = WORDS
+    df: DataFrame, columns: Sequence[str], marks: DataFrame, blocks: int
 ) -> tuple[DataFrame, DataFrame]:
     """``df`` in two: rows that are certainly unique, and candidates, among which is every row that
-    repeats. Both sides are narrow; ``marks`` is a table of ``mark_repeats``."""
-    hashed = df.withColumn(_FP, fingerprint(columns))
-    looked_up = hashed.withColumn("_at", _word(words)).join(
-        F.broadcast(marks), F.col("_at") == F.col(_WORD), "left"
-    )
-    marked = F.coalesce(F.getbit(_BITS, _bit()) == 1, F.lit(False))
+    repeats. Both sides are narrow; ``marks`` is a table of ``mark_repeats`` of as many ``blocks``."""
+    hashed = df.withColumn(_FP, fingerprint(columns)).withColumn("_at", _block(blocks))
+    looked_up = hashed.join(F.broadcast(marks), F.col("_at") == F.col(_BLOCK), "left")
+    every_bit = reduce(Column.__and__, [F.getbit(_lane(i), _bit(i)) == 1 for i in range(LANES)])
+    marked = F.coalesce(every_bit, F.lit(False))
     own = _cols(df.columns)
     return looked_up.where(~marked).select(*own), looked_up.where(marked).select(*own)

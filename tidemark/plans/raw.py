@@ -25,9 +25,10 @@ from tidemark.model import (
 )
 from tidemark.operators.contracts import check_contract, check_types, conform, local_times
 from tidemark.operators.copies import (
+    BLOCKS,
     COPIES,
-    WORDS,
     count_copies,
+    filter_blocks,
     mark_repeats,
     repeated_fingerprints,
     replicate,
@@ -91,19 +92,19 @@ def landing_rules(
 class Copies:
     """Which landed rows may repeat.
 
-    ``marks`` is the bitmap of their fingerprints (None: no row repeats), ``groups`` one row per
-    distinct candidate with its number of copies and file name.
+    ``marks`` is the filter of their fingerprints (None: no row repeats) of so many ``blocks``,
+    ``groups`` one row per distinct candidate with its number of copies and file name.
     """
 
     marks: DataFrame | None = None
     groups: DataFrame | None = None
-    words: int = WORDS
+    blocks: int = 0
 
     def distinct(self, landing: DataFrame) -> DataFrame:
         """One row per distinct row of ``landing``, which may have the file name or not."""
         if self.groups is None:
             return landing
-        unique, _ = split_marked(landing, _data(landing), self.marks, self.words)
+        unique, _ = split_marked(landing, _data(landing), self.marks, self.blocks)
         return unique.unionAll(self.groups.select([f"`{c}`" for c in landing.columns]))
 
     def surplus(self) -> DataFrame | None:
@@ -117,7 +118,7 @@ def _data(landing: DataFrame) -> list[str]:
     return [c for c in landing.columns if c != SOURCE_FILE]
 
 
-def find_copies(landing: DataFrame, stage: str, words: int = WORDS) -> Copies:
+def find_copies(landing: DataFrame, stage: str, most_blocks: int = BLOCKS) -> Copies:
     """Look for whole-row copies by shuffling 8-byte fingerprints.
 
     Rows whose fingerprint is not marked as repeated are certainly unique and never shuffled. The
@@ -126,9 +127,11 @@ def find_copies(landing: DataFrame, stage: str, words: int = WORDS) -> Copies:
     joined back to the groups.
     """
     repeats = settle(repeated_fingerprints(landing, landing.columns), f"{stage}/fingerprints")
-    if repeats.isEmpty():
+    repeated = repeats.count()
+    if not repeated:
         return Copies()
-    marks = settle(mark_repeats(repeats, words), f"{stage}/marks")
+    blocks = filter_blocks(repeated, most_blocks)
+    marks = settle(mark_repeats(repeats, blocks), f"{stage}/marks")
     named = with_source(landing)
     file_id = F.xxhash64(SOURCE_FILE)
     files = settle(
@@ -136,20 +139,20 @@ def find_copies(landing: DataFrame, stage: str, words: int = WORDS) -> Copies:
         .groupBy(_FILE).agg(F.min(SOURCE_FILE).alias(SOURCE_FILE)),
         f"{stage}/files",
     )
-    _, candidates = split_marked(named, landing.columns, marks, words)
+    _, candidates = split_marked(named, landing.columns, marks, blocks)
     counted = count_copies(candidates.withColumn(_FILE, file_id).drop(SOURCE_FILE), _FILE)
     groups = settle(counted.join(files, _FILE).drop(_FILE), f"{stage}/groups")
-    return Copies(marks, groups, words)
+    return Copies(marks, groups, blocks)
 
 
 def split_landing(
-    landing: DataFrame, rules: list[Rule], stage: str, words: int = WORDS
+    landing: DataFrame, rules: list[Rule], stage: str, most_blocks: int = BLOCKS
 ) -> Split:
     """Surplus copies go first; of each distinct row, one copy goes through the other rules.
 
     ``landing`` must come from a file scan, which knows the file names of the kept rows.
     """
-    copies = find_copies(landing, stage, words)
+    copies = find_copies(landing, stage, most_blocks)
     return Split(
         keep_rows(copies.distinct(with_source(landing)), rules),
         rejected(classify(copies.distinct(landing), rules)),
