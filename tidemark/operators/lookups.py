@@ -45,6 +45,12 @@ def _row_bytes(schema: T.StructType) -> Column:
     return reduce(Column.__add__, sizes).cast("bigint")
 
 
+def measure(frame: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a small table, in one job."""
+    rows, size = frame.agg(F.count(F.lit(1)), F.sum(_row_bytes(frame.schema))).first()
+    return rows, size or 0
+
+
 def check_lookup(frame: DataFrame, key: str = "LocationID") -> Lookup:
     """Measure the lookup and make sure its keys are unique, in one small job."""
     per_key = frame.groupBy(key).agg(

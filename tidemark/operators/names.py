@@ -7,6 +7,7 @@ back before anything is written.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
@@ -63,18 +64,21 @@ def step_aside(df: DataFrame, also: Iterable[str] = ()) -> tuple[DataFrame, Asid
 def aside(operation: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """Let an operation on frames of one schema take data columns of any name."""
 
-    def run(first: DataFrame, *others: DataFrame) -> DataFrame:
+    @functools.wraps(operation)
+    def run(first: DataFrame, *others, **named) -> DataFrame:
         moved, names = step_aside(first)
-        return names.back(operation(moved, *(other.toDF(*moved.columns) for other in others)))
+        others = [o.toDF(*moved.columns) if isinstance(o, DataFrame) else o for o in others]
+        return names.back(operation(moved, *others, **named))
 
-    run.__name__, run.__doc__ = operation.__name__, operation.__doc__
     return run
 
 
-def keep_clear_of_directories(df: DataFrame) -> DataFrame:
-    """Columns that a directory name would hide, such as ``year``, under ``landed_year`` instead."""
+def keep_clear_of_directories(df: DataFrame, also: Iterable[str] = ()) -> DataFrame:
+    """Columns that a directory name (or one of ``also``) would hide, such as ``year``, under
+    ``landed_year`` instead."""
     names: dict[str, str] = {}
+    hidden = {*DIRECTORY_NAMES, "_version", *also}
     for column in df.columns:
-        if column.lower() in DIRECTORY_NAMES or column.lower() == "_version":
+        if column.lower() in hidden:
             names[column] = free_name(f"landed_{column.lstrip('_')}", [*df.columns, *names.values()])
     return renamed(df, names)

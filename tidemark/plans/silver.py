@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Iterable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.model import (
@@ -28,6 +31,7 @@ from tidemark.operators.contracts import (
 )
 from tidemark.operators.lookups import Lookup, flag_known
 from tidemark.operators.names import keep_clear_of_directories, step_aside
+from tidemark.operators.reconcile import reconcile
 from tidemark.operators.rules import (
     REASONS,
     Rule,
@@ -43,17 +47,26 @@ from tidemark.plans.report import LoadReport, report_load
 from tidemark.sinks.tables import (
     discard_quarantine,
     link_quarantine,
+    read_month_rejects,
     replace_quarantine,
     tidy_quarantine,
     write_version,
 )
 from tidemark.sources.facts import read_partition
 from tidemark.sources.lookup import read_lookup
-from tidemark.sources.versions import discard_version, new_version, switch_month, tidy_month
+from tidemark.sources.versions import (
+    current_month,
+    discard_version,
+    new_version,
+    switch_month,
+    tidy_month,
+)
 
 LAYER = "silver"
 RULES = (RULE_TIMES, RULE_PASSENGERS, RULE_DISTANCE, RULE_PICKUP, RULE_DROPOFF)
 _FLAGS = ("_pickup_known", "_dropoff_known")
+# Columns of silver rejects: the raw file a row came from, and its position there.
+POSITION = ("raw_file", "raw_row")
 
 
 def business_rules() -> list[Rule]:
@@ -75,16 +88,26 @@ def with_known_flags(facts: DataFrame, lookup: Lookup) -> DataFrame:
     return flag_known(flagged, DROPOFF_LOCATION, lookup, _FLAGS[1])
 
 
+def with_position(raw: DataFrame) -> DataFrame:
+    """A scan with the file and the position in it of each row, which tell rows apart for good."""
+    file, row = POSITION
+    return raw.select(
+        "*", F.col("_metadata.file_name").alias(file), F.col("_metadata.row_index").alias(row)
+    )
+
+
 def split_raw(raw: DataFrame, lookup: Lookup) -> Split:
     """Narrow on the facts: the rules are expressions and the lookup is broadcast.
 
-    Relies on raw rows being distinct, as the raw load leaves them.
+    Relies on raw rows being distinct, as the raw load leaves them. ``raw`` must come from a file scan:
+    rejects also have their position in raw.
     """
-    flagged = with_known_flags(raw, lookup)
     sequential, parallel = business_rules(), location_rules()
+    flagged = with_known_flags(raw, lookup)
+    placed = with_known_flags(with_position(raw), lookup)
     return Split(
         keep_rows(flagged, sequential + parallel).drop(*_FLAGS),
-        rejected(classify(flagged, sequential, parallel)).drop(*_FLAGS),
+        rejected(classify(placed, sequential, parallel)).drop(*_FLAGS),
     )
 
 
@@ -107,21 +130,31 @@ def load_silver(spark: SparkSession, layout: Layout, key: RunKey) -> LoadReport:
     drift = drift_rows(raw.schema, SILVER_CONTRACT)
     raw = local_times(conform(raw, SILVER_CONTRACT), SILVER_CONTRACT)
     check_types(raw, SILVER_CONTRACT, path)
-    raw, names = step_aside(keep_clear_of_directories(raw))
-    version = new_version()
+    raw, names = step_aside(keep_clear_of_directories(raw, POSITION))
     lookup = read_lookup(spark, layout.lookup)
     split = split_raw(raw, lookup)
-    kept = names.back(split.kept)
+    written = Split(names.back(split.kept), names.back(split.rejects))
+    return _write_month(spark, layout, key, written, lambda: _to_place(raw, lookup), drift)
+
+
+def _write_month(
+    spark: SparkSession, layout: Layout, key: RunKey, split: Split,
+    to_place: Callable[[], tuple[int, int]], drift: Iterable[tuple] = (),
+) -> LoadReport:
+    """Write both sides as a new version and switch to it once ``to_place`` agrees with the rows written:
+    it gives the rows to place, and how many of them two rules reject."""
+    version = new_version()
+    path = f"{layout.silver_facts}/{key.partition}"
     try:
-        write_version(kept, layout.silver_facts, key, version)
-        replace_quarantine(names.back(split.rejects), layout.quarantine, LAYER, key, version)
-        landed, twice = _to_place(raw, lookup)
+        write_version(split.kept, layout.silver_facts, key, version)
+        replace_quarantine(split.rejects, layout.quarantine, LAYER, key, version)
+        landed, twice = to_place()
         report = report_load(
             spark, layout.silver_facts, layout.quarantine, LAYER, key, RULES, version, drift, landed
         )
         report.check_conserved(path, twice)
         link_quarantine(spark, layout.quarantine, LAYER, layout.silver_facts)
-        switch_month(spark, layout.silver_facts, key, version, kept.schema)
+        switch_month(spark, layout.silver_facts, key, version, split.kept.schema)
     except Exception:
         discard_version(spark, layout.silver_facts, key, version)
         discard_quarantine(spark, layout.quarantine, LAYER, key, version)
@@ -131,6 +164,65 @@ def load_silver(spark: SparkSession, layout: Layout, key: RunKey) -> LoadReport:
     return report
 
 
+class ReplayError(ValueError):
+    """Rejects alone do not tell the month's state; it has to be loaded from raw."""
+
+
+def replay_rejects(spark: SparkSession, layout: Layout, key: RunKey) -> LoadReport:
+    """Judge the rows of a silver month again that a location rule rejected, after the lookup has grown.
+
+    Rows that are known now move to silver; the others stay in quarantine under the rules they still
+    fail. Nothing of raw is read, and rows that were kept or failed another rule are copied as they
+    are: for a lookup that has lost nothing, the result is that of loading the month again. A row
+    that both rules rejected is found twice and known by its position in raw. Raises ``ReplayError``
+    if a kept row's location is unknown now, or raw is newer than silver.
+    """
+    path = f"{layout.silver_facts}/{key.partition}"
+    silver = read_partition(spark, layout.silver_facts, key)
+    raw, now = (current_month(spark, root, key) for root in (layout.raw_facts, layout.silver_facts))
+    if now is None or now.version is None or (raw is not None and (raw.version or "") > now.version):
+        raise ReplayError(f"{path}: raw has changed since")
+    lookup = read_lookup(spark, layout.lookup)
+    unknown = reduce(Column.__or__, [rule.rejects() for rule in location_rules()])
+    if not with_known_flags(silver, lookup).where(unknown).limit(1).isEmpty():
+        raise ReplayError(f"{path}: the lookup has lost a location")
+    rejects = read_month_rejects(spark, layout.quarantine, LAYER, key)
+    if rejects is None:
+        return report_load(spark, layout.silver_facts, layout.quarantine, LAYER, key, RULES, now.version)
+
+    by_location = F.col("rule").isin(RULE_PICKUP, RULE_DROPOFF)
+    others = rejects.where(~by_location)
+    located, names = step_aside(rejects.where(by_location).drop("rule").dropDuplicates(list(POSITION)))
+    flagged = with_known_flags(located, lookup)
+    judged = classify(flagged, [], location_rules())
+    moved = names.back(keep_rows(flagged, location_rules()).drop(*_FLAGS, *POSITION))
+    again = names.back(rejected(judged).drop(*_FLAGS))
+
+    def to_place() -> tuple[int, int]:
+        rows, twice = judged.agg(F.count(F.lit(1)), F.count_if(F.size(REASONS) > 1)).first()
+        return silver.count() + others.count() + rows, twice
+
+    split = Split(silver.unionByName(moved.select(*_columns(silver))), others.unionByName(again))
+    return _write_month(spark, layout, key, split, to_place)
+
+
+def _columns(df: DataFrame) -> list[Column]:
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def unplaced_rows(spark: SparkSession, layout: Layout, key: RunKey) -> DataFrame:
+    """Rows of a raw month that silver and its quarantine do not hold, and rows that they hold but raw
+    does not: none, after a load. Compared as whole rows by bucket checksums, so a good month is
+    scanned but not shuffled (its rejects are, to count a row with two reasons once)."""
+    raw = read_partition(spark, layout.raw_facts, key)
+    raw = keep_clear_of_directories(local_times(conform(raw, SILVER_CONTRACT), SILVER_CONTRACT), POSITION)
+    placed = read_partition(spark, layout.silver_facts, key).select(*_columns(raw))
+    rejects = read_month_rejects(spark, layout.quarantine, LAYER, key)
+    if rejects is not None:
+        placed = placed.unionByName(rejects.dropDuplicates(list(POSITION)).select(*_columns(raw)))
+    return reconcile(raw, placed)
+
+
 def classify_raw(raw: DataFrame, lookup: Lookup) -> DataFrame:
     """Every row with its destination: ``silver``, or one row per rule it fails."""
     flagged = with_known_flags(raw, lookup)

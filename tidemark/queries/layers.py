@@ -154,6 +154,22 @@ def silver_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return destinations(silver, silver_plan.LAYER, layout)
 
 
+@query("replay_rejects", f"""
+WITH {sql_trips('l_tax')}, {sql_zones()}, {SILVER_SQL}
+SELECT destination, trip_key, line, fare FROM placed""")
+def replay_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month loaded with a lookup that lacks a region, which is added afterwards: the rejects alone
+    are judged again, and each row is where a full load with the whole lookup puts it."""
+    layout = fresh_layout(spark)
+    write_raw(spark, sf_dir, layout)
+    write_zones(spark, sf_dir, layout, partial=True)
+    silver_plan.load_silver(spark, layout, MONTH)
+    zone_frame(spark, sf_dir).write.mode("overwrite").option("header", True).csv(layout.lookup)
+    silver_plan.replay_rejects(spark, layout, MONTH)
+    silver = read_partition(spark, layout.silver_facts, MONTH)
+    return destinations(silver, silver_plan.LAYER, layout)
+
+
 _MART_SQL = """
 named AS (SELECT t.*, borough, zone FROM trips t LEFT JOIN zones ON pu = id),
 hours AS (SELECT zone, CAST(hour(pickup) AS INTEGER) AS h, count(*) AS n FROM named GROUP BY 1, 2),

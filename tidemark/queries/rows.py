@@ -24,7 +24,8 @@ from tidemark.model import (
     RULE_STRAY,
     RULE_TIMES,
 )
-from tidemark.operators import copies, lookups, rules
+from tidemark.operators import copies, dated, lookups, rules
+from tidemark.operators.reconcile import reconcile
 from tidemark.plans.silver import classify_raw
 from tidemark.queries.registry import query
 from tidemark.queries.views import (
@@ -375,3 +376,70 @@ def file_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         last_path_part(F.col("path")).alias("file_name"), year.alias("year"), month.alias("month"),
         "orders",
     )
+
+
+# --- lookup with history, and reconciliation ----------------------------------------------------
+
+DATED_SQL = f"""
+{sql_zones()},
+dated AS (
+  SELECT id, borough, zone, CAST(NULL AS TIMESTAMP) AS since, TIMESTAMP '1995-07-01' AS until
+  FROM zones WHERE id % 3 = 0
+  UNION ALL SELECT id, borough, zone || ' II', TIMESTAMP '1995-07-01', NULL FROM zones WHERE id % 3 = 0
+  UNION ALL SELECT id, borough, zone, NULL, CASE WHEN id % 3 = 1 THEN TIMESTAMP '1997-01-01' END
+  FROM zones WHERE id % 3 <> 0)"""
+
+
+@query("enriched_as_of", f"""
+WITH {sql_trips()}, {DATED_SQL}
+SELECT trip_key, line, p.zone AS pu_zone, d.borough AS do_borough, d.zone AS do_zone
+FROM trips
+LEFT JOIN dated p ON pu = p.id AND (p.since IS NULL OR pickup >= p.since)
+  AND (p.until IS NULL OR pickup < p.until)
+LEFT JOIN dated d ON dof = d.id AND (d.since IS NULL OR pickup >= d.since)
+  AND (d.until IS NULL OR pickup < d.until)""")
+def enriched_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the zones was renamed once, another third was given up: each trip has the names of
+    its time."""
+    entries = zones(spark, sf_dir).frame
+    third = F.col("LocationID") % 3
+
+    def moment(text: str | None) -> Column:
+        return F.lit(text).cast("timestamp_ntz")
+
+    def valid(frame: DataFrame, since: Column, until: Column) -> DataFrame:
+        return frame.withColumns({dated.VALID_FROM: since, dated.VALID_TO: until})
+
+    renamed = entries.where(third == 0)
+    history = (
+        valid(renamed, moment(None), moment("1995-07-01"))
+        .unionByName(valid(renamed.withColumn("Zone", F.concat("Zone", F.lit(" II"))), moment("1995-07-01"), moment(None)))
+        .unionByName(valid(entries.where(third != 0), moment(None), F.when(third == 1, moment("1997-01-01"))))
+    )
+    found = dated.enrich_as_of(trips(spark, sf_dir), dated.check_dated(history), PICKUP_TIME)
+    return found.select(
+        *trip_id(), F.col("PUZone").alias("pu_zone"), F.col("DOBorough").alias("do_borough"),
+        F.col("DOZone").alias("do_zone"),
+    )
+
+
+@query("reconcile", f"""
+WITH {sql_trips()},
+one AS (SELECT trip_key, line, fare FROM trips),
+other AS (
+  SELECT trip_key, line, CASE WHEN trip_key % 777 = 0 THEN fare + 1 ELSE fare END AS fare
+  FROM trips WHERE trip_key % 1000 <> 0
+  UNION ALL SELECT trip_key, line, fare FROM trips WHERE line = 7 AND trip_key % 50 = 1)
+SELECT side, count(*) AS copies, trip_key, line, fare FROM (
+  SELECT 'left' AS side, * FROM (SELECT * FROM one EXCEPT ALL SELECT * FROM other)
+  UNION ALL SELECT 'right', * FROM (SELECT * FROM other EXCEPT ALL SELECT * FROM one))
+GROUP BY side, trip_key, line, fare""")
+def reconcile_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two states of the trips: rows lost, changed and doubled, from both sides."""
+    one = trips(spark, sf_dir).select(*trip_id(), F.col("fare_amount").alias("fare"))
+    key = F.col("trip_key")
+    other = one.where(key % 1000 != 0).withColumn(
+        "fare", F.when(key % 777 == 0, F.col("fare") + 1).otherwise(F.col("fare"))
+    )
+    doubled = one.where((F.col("line") == 7) & (key % 50 == 1))
+    return reconcile(one, other.unionAll(doubled))

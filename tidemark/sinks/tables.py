@@ -149,6 +149,14 @@ def read_quarantine(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def read_month_rejects(spark: SparkSession, root: str, layer: str, key: RunKey) -> DataFrame | None:
+    """The rejects of one layer and month with their ``rule``; None if there are none."""
+    month = current_month(spark, _layer(root, layer), key)
+    if month is None or not count_rules(spark, month.path):
+        return None
+    return spark.read.option("mergeSchema", True).parquet(month.path)
+
+
 def count_rows(spark: SparkSession, path: str) -> int:
     """Rows below a path; no column is read."""
     return spark.read.parquet(path).count()
