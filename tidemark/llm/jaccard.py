@@ -408,36 +408,44 @@ def candidates(shared: DataFrame, percent: int) -> DataFrame:
     """The sets that may be linked with a member of a group that is in another component.
 
     ``shared`` has the group and component of each set, as :func:`grouped` gives them. A set asks for
-    partners that are not larger than itself; a row of the matrix knows the least and largest size of
+    partners that are not larger than itself. A row of the matrix knows the least and largest size of
     the group's members that have the token among their first ones, the earliest place of it, and the
     range of their components.
+
+    The rows a set meets in a group are the tokens of its prefix inside the union of the members'
+    prefixes. Of the tokens that it shares with a member, those in both prefixes are among them, and
+    fewer than ``percent`` of its size are not; a link needs more than that from all but the smallest
+    partners.
     """
     n, place = F.col("n"), F.col("place")
-    indexed = shared.where(place <= n - least_overlap(2 * n, percent))
-    matrix = indexed.groupBy("token", F.col("group").alias("other"), F.col("core").alias("other_core")).agg(
+    matrix = shared.groupBy("token", F.col("group").alias("other"), F.col("core").alias("other_core")).agg(
         F.min("n").alias("low"),
         F.max("n").alias("high"),
-        F.min("place").alias("early"),
+        F.min(F.when(place <= n - least_overlap(2 * n, percent), place)).alias("early"),
         F.min("component").alias("low_component"),
         F.max("component").alias("high_component"),
         F.min("key").alias("low_key"),
         F.max("key").alias("high_key"),
     )
-    smallest = F.greatest(F.col("low"), F.ceil(percent * n / 100))
-    overlap = least_overlap(n + smallest, percent)
     connected = (F.col("low_component") == F.col("component")) & (F.col("high_component") == F.col("component"))
     # A set has been compared with its leader, and a leader with all of its group.
     leader_only = (F.col("low_key") == F.col("group")) & (F.col("high_key") == F.col("group"))
     compared = leader_only | (F.col("other") == F.col("key"))
-    possible = (
-        ~(connected | compared)
-        & (F.col("low") <= n)
-        & (100 * F.col("high") >= percent * n)
-        & (n - place >= overlap)
-        & (F.least(F.col("high"), n) - F.col("early") >= overlap)
+    share = F.ceil(percent * n / 100)
+    near = ~(connected | compared) & (F.col("low") <= n) & (F.col("high") >= share)
+    smallest = F.greatest(F.col("low"), share)
+    overlap = least_overlap(n + smallest, percent)
+    # The first token that both have: the prefixes that are indexed, and what may come after it.
+    first = (n - place >= overlap) & (F.least(F.col("high"), n) - F.col("early") >= overlap)
+    met = shared.join(matrix, "token").where(near).groupBy("other", "other_core", "key", "n", "component").agg(
+        F.count(F.lit(1)).alias("common"),
+        F.min(smallest).alias("smallest"),
+        F.max(F.coalesce(first, F.lit(False))).alias("first"),
+    )
+    enough = F.col("common") > least_overlap(n + F.col("smallest"), percent) - share
+    return met.where(F.col("first") & enough).select(
+        F.col("other").alias("group"), F.col("other_core").alias("core"), "key", "n", "component"
     )
-    found = shared.join(matrix, "token").where(possible)
-    return found.select(F.col("other").alias("group"), F.col("other_core").alias("core"), "key", "n", "component").distinct()
 
 
 def grouped(sizes: DataFrame, pairs: DataFrame, links: DataFrame) -> DataFrame:
