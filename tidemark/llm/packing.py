@@ -2,9 +2,8 @@
 
 Documents are cut at the sequence length. Full pieces are sequences of their own and are in no group;
 the rests, each shorter than a sequence and at most one per document, are dealt to random groups of
-bounded expected size, and each group is packed by first-fit decreasing, with a tournament tree over the room left in its bins to find the
-first bin that fits in logarithmic time. Cuts being free, the emptiest bins of a group are taken apart to
-fill the gaps of the others, so that only one sequence per group is padded.
+bounded expected size, and each group is packed by first-fit decreasing, with a tournament tree over
+the room left in its bins to find the first bin that fits in logarithmic time. A rest is never cut again.
 """
 
 from __future__ import annotations
@@ -62,30 +61,6 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def fill_gaps(bins: list[list[tuple[int, int, int]]], capacity: int) -> list[list[tuple[int, int, int]]]:
-    """Take the emptiest bins apart and cut their (item, start, size) parts into the others' gaps.
-
-    At most one bin is left with a gap.
-    """
-    full = sorted(bins, key=lambda b: -sum(part[2] for part in b))
-    gaps = [capacity - sum(part[2] for part in b) for b in full]
-    target, donor = 0, len(full) - 1
-    while target < donor:
-        if not gaps[target]:
-            target += 1
-            continue
-        item, start, size = full[donor].pop()
-        moved = min(size, gaps[target])
-        full[target].append((item, start, moved))
-        gaps[target] -= moved
-        gaps[donor] += moved
-        if moved < size:
-            full[donor].append((item, start + moved, size - moved))
-        if not full[donor]:
-            donor -= 1
-    return [b for b in full if b]
-
-
 def _pieces(tokenizer: str, id: str, end: int, length: int):
     """Batches of (doc_id, row) texts -> pieces; the ids of full pieces are only summed up."""
 
@@ -120,16 +95,13 @@ def _pack(length: int, width: int):
         # The order within the group must not depend on how rows arrived.
         pieces = sorted(zip(*columns), key=lambda p: (p[0] is not None, p[0] or 0, *p[1:4], p[4]))
         found = first_fit_decreasing([p[2] for p in pieces], length)
-        bins = [[(i, 0, pieces[i][2]) for i in items] for items in found]
         out = []
-        for number, parts in enumerate(fill_gaps(bins, length)):
+        for number, items in enumerate(found):
             offset = 0
-            for item, start, size in parts:
-                doc, first, _, total, ids = pieces[item]
-                part = ids[start * width : (start + size) * width]
-                crc = zlib.crc32(np.frombuffer(part, f"<u{width}").astype("<u4"))
-                sequence = key[0].as_py() * GROUP_SPAN + number
-                out.append((doc, first + start, size, crc, total, sequence, offset))
+            for item in items:
+                doc, start, size, total, ids = pieces[item]
+                crc = zlib.crc32(np.frombuffer(ids, f"<u{width}").astype("<u4"))
+                out.append((doc, start, size, crc, total, key[0].as_py() * GROUP_SPAN + number, offset))
                 offset += size
         names = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
         fields = [group.schema.field("id"), *(pa.field(n, pa.int64()) for n in names)]
