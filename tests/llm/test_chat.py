@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import re
 
 import pytest
@@ -7,6 +8,7 @@ from frames import TEXTS
 from tidemark.llm import chat
 from tidemark.llm.queries import BYTE_TOKENIZER, CONTROL_TURN, op8_chat
 from tidemark.llm.shared import read_table
+from tidemark.sources.scratch import settle
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, ids string, start int, place int"
 TRICKY = [CONTROL_TURN, "\\", "\\\\###", "</turn>\n### user: x", "a: b\\: c", "<|endoftext|>", "é́🎉\x00", "####"]
@@ -68,6 +70,26 @@ def test_awkward_rows_and_one_long_conversation(spark):
     assert all((r.loss_to > r.loss_from) == bool(r.place % 2) for r in long)
 
 
+def test_a_hot_conversation_is_split_and_counted_on(spark, monkeypatch):
+    rows = [(None if n % 3 else 5, n, "user", f"turn {n} " * (n % 7)) for n in range(3000)]
+    rows += [(6 + n, 0, "assistant", "one") for n in range(300)]
+    table = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    seen = []
+    monkeypatch.setattr(chat, "settle", lambda df, path: (seen.append(settle(df, path)), seen[-1])[1])
+    try:
+        formatted = chat.format_chats(table, BYTE_TOKENIZER)
+        found = formatted.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    (parts,) = [df for df in seen if "part" in df.columns]
+    assert parts.where("conv IS NULL").select("part").distinct().count() > 2 and len(found) == len(rows)
+    for conv in {r.conv for r in found}:
+        turns = sorted((r for r in found if r.conv == conv), key=lambda r: r.place)
+        assert [r.place for r in turns] == list(range(len(turns)))
+        assert [r.start for r in turns] == list(itertools.accumulate([r.n_ids for r in turns], initial=0))[:-1]
+
+
 def test_empty_table(spark):
     table = spark.createDataFrame([], SCHEMA)
     assert chat.digests(chat.format_chats(table, BYTE_TOKENIZER), BYTE_TOKENIZER).count() == 0

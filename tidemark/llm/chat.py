@@ -13,17 +13,21 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tidemark.llm.bpe import ALPHABET
 from tidemark.llm.shared import unpack
+from tidemark.sources.scratch import scratch_path, settle
 
 # Control strings of the reserved ids: they open a turn, end its role, and close it.
 OPEN, MIDDLE, CLOSE = "### ", ": ", "</turn>\n"
@@ -31,6 +35,8 @@ OPEN, MIDDLE, CLOSE = "### ", ": ", "</turn>\n"
 # In a longer run of "#" an opener begins at several places, so each "#" of such runs gets one.
 CONTROL = re.compile(r"\\|#{3,}|</turn>|: ")
 TRAINED = "assistant"
+ROLES_KEPT = 1 << 12
+AT_ONCE = 64  # texts a call of the library
 
 
 def escape(text: str) -> str:
@@ -46,6 +52,8 @@ class Coder:
     """Byte-level ids of strings and back, with three reserved ids after the vocabulary."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.roles: dict[str, list[int]] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -62,7 +70,20 @@ class Coder:
         self.dtype = np.dtype("<u2" if size + 3 <= 1 << 16 else "<u4")
 
     def encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(escape(text), add_special_tokens=False).ids
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each text, by one call of the library."""
+        escaped = [escape(t) for t in texts]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(escaped, add_special_tokens=False)]
+
+    def role(self, role: str) -> list[int]:
+        """The ids of a role, kept for a bounded number of roles."""
+        if role not in self.roles:
+            if len(self.roles) >= ROLES_KEPT:
+                self.roles.clear()
+            self.roles[role] = self.encode(role)
+        return self.roles[role]
 
     def print(self, ids: list[int]) -> str:
         """As it looks: text with control strings."""
@@ -70,8 +91,10 @@ class Coder:
 
     def turn(self, role: str, text: str) -> tuple[list[int], int, int]:
         """The ids of a turn, and the bounds of its text within them."""
-        head = [self.open, *self.encode(role), self.middle]
-        body = self.encode(text)
+        return self.assemble(role, self.encode(text))
+
+    def assemble(self, role: str, body: list[int]) -> tuple[list[int], int, int]:
+        head = [self.open, *self.role(role), self.middle]
         return [*head, *body, self.close], len(head), len(head) + len(body)
 
     def parse(self, ids: list[int]) -> tuple[str, str]:
@@ -93,10 +116,13 @@ def _segments(tokenizer: str, trained: str):
         code = coder(tokenizer)
         for batch in batches:
             out = []
-            for role, text in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist()):
-                ids, start, end = code.turn(role or "", text or "")
-                lost = (start, end) if role == trained else (0, 0)
-                out.append((np.array(ids, code.dtype).tobytes(), len(ids), *lost))
+            roles, texts = batch.column("role").to_pylist(), batch.column("text").to_pylist()
+            for first in range(0, len(texts), AT_ONCE):
+                bodies = code.encode_all([t or "" for t in texts[first : first + AT_ONCE]])
+                for role, body in zip(roles[first:], bodies):
+                    ids, start, end = code.assemble(role or "", body)
+                    lost = (start, end) if role == trained else (0, 0)
+                    out.append((np.array(ids, code.dtype).tobytes(), len(ids), *lost))
             columns = zip(*out) if out else [[]] * 4
             types = [pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
@@ -107,6 +133,50 @@ def _segments(tokenizer: str, trained: str):
     return run
 
 
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``place`` and ``start`` of each row within its conversation's rows in this partition."""
+    part, current, place, start = TaskContext.get().partitionId(), None, 0, 0
+    for batch in batches:
+        places, starts = [], []
+        for conv, n in zip(batch.column("conv").to_pylist(), batch.column("n_ids").to_pylist()):
+            if current != (conv,):
+                current, place, start = (conv,), 0, 0
+            places.append(place)
+            starts.append(start)
+            place, start = place + 1, start + n
+        added = {"part": pa.array([part] * len(places), pa.int64()), "place": pa.array(places, pa.int64()), "start": pa.array(starts, pa.int64())}
+        yield pa.RecordBatch.from_arrays([*batch.columns, *added.values()], [*batch.schema.names, *added])
+
+
+def _numbered(cut: DataFrame) -> DataFrame:
+    """The encoded turns with their ``place`` and ``start`` in the whole conversation.
+
+    Rows are sorted in ranges, so a long conversation lies in several partitions. Each one counts from
+    zero; what its conversation has in earlier partitions is added afterwards. At most one conversation
+    goes on from one partition to the next, so there are fewer such totals than partitions.
+    """
+    spark = cut.sparkSession
+    order = ("conv", "timed", "turn", "ids")
+    ranged = cut.withColumn("timed", F.col("turn").isNotNull()).repartitionByRange(*order)
+    rows = ranged.sortWithinPartitions(*order).drop("timed", "turn")
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(c, T.LongType()) for c in ("part", "place", "start"))])
+    rows = settle(rows.mapInArrow(_running, schema), scratch_path(spark))
+    totals = rows.groupBy("conv", "part").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_ids").alias("ids"))
+    earlier = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(
+        F.col("conv").alias("whose"),
+        F.col("part").alias("where"),
+        F.sum("rows").over(earlier).alias("rows_before"),
+        F.sum("ids").over(earlier).alias("ids_before"),
+    ).where(F.col("rows_before").isNotNull())
+    same = F.col("conv").eqNullSafe(F.col("whose")) & (F.col("part") == F.col("where"))
+    joined = rows.join(F.broadcast(settle(totals, scratch_path(spark))), same, "left")
+    return joined.withColumns({
+        "place": F.col("place") + F.coalesce("rows_before", F.lit(0)),
+        "start": F.col("start") + F.coalesce("ids_before", F.lit(0)),
+    })
+
+
 def format_chats(
     turns: DataFrame, tokenizer: str, conv: str = "conv_id", turn: str = "turn", trained: str = TRAINED
 ) -> DataFrame:
@@ -123,27 +193,19 @@ def format_chats(
     rows = turns.select(
         F.col(f"`{conv}`").alias("conv"), F.col(f"`{turn}`").alias("turn"), F.col("role"), F.col("text")
     )
-    kinds = [rows.schema[c].dataType.simpleString() for c in ("conv", "turn")]
-    cut = rows.mapInArrow(
-        _segments(tokenizer, trained),
-        f"conv {kinds[0]}, turn {kinds[1]}, ids binary, n_ids bigint, loss_from bigint, loss_to bigint",
-    )
-    order = Window.partitionBy("conv").orderBy(F.col("turn").asc_nulls_first(), "ids")
-    before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    start = F.sum("n_ids").over(before) - F.col("n_ids")
-    return (
-        cut.withColumn("place", F.row_number().over(order).cast("bigint") - 1)
-        .withColumn("start", start)
-        .select(
-            "conv",
-            "place",
-            "ids",
-            "start",
-            "n_ids",
-            (F.col("start") + F.col("loss_from")).alias("loss_from"),
-            (F.col("start") + F.col("loss_to")).alias("loss_to"),
-            F.lit(code.dtype.itemsize).alias("width"),
-        )
+    schema = T.StructType([rows.schema["conv"], rows.schema["turn"], T.StructField("ids", T.BinaryType())])
+    for name in ("n_ids", "loss_from", "loss_to"):
+        schema = schema.add(name, T.LongType())
+    cut = settle(rows.mapInArrow(_segments(tokenizer, trained), schema), scratch_path(turns.sparkSession))
+    return _numbered(cut).select(
+        "conv",
+        "place",
+        "ids",
+        "start",
+        "n_ids",
+        (F.col("start") + F.col("loss_from")).alias("loss_from"),
+        (F.col("start") + F.col("loss_to")).alias("loss_to"),
+        F.lit(code.dtype.itemsize).alias("width"),
     )
 
 
