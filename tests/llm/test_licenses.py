@@ -55,12 +55,75 @@ def test_overlaps():
     assert licenses.scan("cc by cc by ÀCC by".encode())[1] == 2
 
 
-def test_hundreds_of_rules_in_order():
+def test_hundreds_of_expressions_written_by_hand():
+    names = [n for names in (licenses.NAMES | licenses.MORE_NAMES).values() for n in names]
+    whole = [expression for _, _, _, expression in licenses.signatures()]
+    assert len(set(names)) == len(names) and len(set(whole)) == len(whole)
+    assert len(whole) > 200 and len(names) + len(whole) > 400
+    assert not set(licenses.NAMES) & set(licenses.MORE_NAMES)
     rules = licenses.rules()
-    assert len(rules) > 300 and all(r.keyword for r in rules)
+    assert all(len(r.keyword) > 2 for r in rules)
     assert [r.priority for r in rules] == sorted(r.priority for r in rules)
 
 
+def slow_detections(text):
+    """Every rule tried everywhere, every two detections compared."""
+    joined = b" " + b" ".join(licenses.words_of(text.encode())) + b" "
+    found = [(m.start(), m.end(), r) for r in licenses.rules() for m in r.pattern.finditer(joined)]
+    kept = []
+    for n, (start, end, rule) in enumerate(found):
+        def beats(m):
+            first, last, other = found[m]
+            if m == n or first > start or last < end:
+                return False
+            if other.priority != rule.priority:
+                return other.priority < rule.priority
+            longer = last - first > end - start
+            return longer or (other.label, m) < (rule.label, n)
+
+        if not any(beats(m) for m in range(len(found))):
+            kept.append((start, end, rule))
+    return joined, kept
+
+
+MIXED = [
+    "Licensed under the Apache License, Version 2.0 (the License); you may not use this file",
+    "This program is free software: you can redistribute it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version.",
+    "GNU LGPL version 2.1 or GNU Affero General Public License v3, or BSD 4-Clause, 0BSD, PostgreSQL License",
+    "GNU Lesser General Public License version 2.1 as published by the Free Software Foundation; MIT License MIT license",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software. The Software shall be used for Good, not Evil.",
+    "Redistribution and use in source and binary forms, with or without modification. Neither the name of the Example Group nor the names of its contributors may be used to endorse or promote products. All rights reserved.",
+    "Copyright (c) 2020 Some Company. All rights reserved. Copyright 2021. CC BY-SA 4.0 https://creativecommons.org/licenses/by-sa/4.0/ CC0",
+    "gpl gpl 2 gpl 2 0 license gpl 2 spdx license identifier gpl 2 0 only licensed under the gpl 2",
+    "mit 0 mit license cc by cc by nc cc by nc nd cc by nc sa the unlicense unlicense org",
+]
+
+
+def test_labels_score_and_suppression_equal_brute_force(spark, sf_dir):
+    texts = MIXED + [" ".join(MIXED), ""]
+    texts += [r.text or "" for r in read_table(spark, sf_dir, "documents").select("text").collect()]
+    reported = 0
+    for text in texts:
+        joined, kept = slow_detections(text)
+        scanned = licenses.scan(text.encode())
+        base = {licenses.BASE[p] for p in licenses.BASE if b" " + p.encode() + b" " in joined}
+        assert scanned[5] == ",".join(sorted(base | {r.label for _, _, r in kept}))
+        assert scanned[6] == max([r.confidence for _, _, r in kept] + [0.6] * bool(base), default=0.0)
+        spans = sorted((joined.count(b" ", 0, a) - 1, joined.count(b" ", 0, b), r.label, r.priority) for a, b, r in kept)
+        assert sorted((x["first"], x["end"], x["label"], x["priority"]) for x in scanned[7]) == spans
+        reported += bool(kept)
+    assert reported > len(MIXED)
+
+
+def test_headers_texts_and_versions():
+    labels = lambda t: set(licenses.scan(t.encode())[5].split(","))
+    found = [labels(t) for t in MIXED]
+    assert "apache-2.0" in found[0] and {"gpl", "gpl-2.0-or-later"} <= found[1]
+    assert {"lgpl-2.1", "agpl-3.0", "bsd-4-clause", "0bsd", "postgresql"} <= found[2]
+    assert {"lgpl-2.1-only", "mit"} <= found[3] and {"mit", "json"} <= found[4]
+    assert {"bsd", "bsd-3-clause"} <= found[5] and {"copyright", "cc-by-sa-4.0", "cc0"} <= found[6]
+
+
 def test_awkward_rows(spark):
     found = licenses.license_scan(documents(spark)).collect()
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
