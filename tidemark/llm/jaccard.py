@@ -412,38 +412,43 @@ def candidates(shared: DataFrame, percent: int) -> DataFrame:
     the group's members that have the token among their first ones, the earliest place of it, and the
     range of their components.
 
-    The rows a set meets in a group are the tokens of its prefix inside the union of the members'
-    prefixes. Of the tokens that it shares with a member, those in both prefixes are among them, and
-    fewer than ``percent`` of its size are not; a link needs more than that from all but the smallest
-    partners.
+    A set first meets a group by a token that may be the first one it has in common with a member.
+    Then all tokens of its prefix inside the union of the members' prefixes are counted: of the tokens
+    that it shares with a member, those in both prefixes are among them, and fewer than ``percent`` of
+    its size are not. A link needs more than that from all but the smallest partners.
     """
     n, place = F.col("n"), F.col("place")
+    share = F.ceil(percent * n / 100)
+    indexed = place <= n - least_overlap(2 * n, percent)
     matrix = shared.groupBy("token", F.col("group").alias("other"), F.col("core").alias("other_core")).agg(
         F.min("n").alias("low"),
         F.max("n").alias("high"),
-        F.min(F.when(place <= n - least_overlap(2 * n, percent), place)).alias("early"),
+        F.min(F.when(indexed, place)).alias("early"),
         F.min("component").alias("low_component"),
         F.max("component").alias("high_component"),
         F.min("key").alias("low_key"),
         F.max("key").alias("high_key"),
     )
+    matrix = settle(matrix, scratch_path(shared.sparkSession))
     connected = (F.col("low_component") == F.col("component")) & (F.col("high_component") == F.col("component"))
     # A set has been compared with its leader, and a leader with all of its group.
     leader_only = (F.col("low_key") == F.col("group")) & (F.col("high_key") == F.col("group"))
     compared = leader_only | (F.col("other") == F.col("key"))
-    share = F.ceil(percent * n / 100)
     near = ~(connected | compared) & (F.col("low") <= n) & (F.col("high") >= share)
     smallest = F.greatest(F.col("low"), share)
     overlap = least_overlap(n + smallest, percent)
-    # The first token that both have: the prefixes that are indexed, and what may come after it.
     first = (n - place >= overlap) & (F.least(F.col("high"), n) - F.col("early") >= overlap)
-    met = shared.join(matrix, "token").where(near).groupBy("other", "other_core", "key", "n", "component").agg(
-        F.count(F.lit(1)).alias("common"),
-        F.min(smallest).alias("smallest"),
-        F.max(F.coalesce(first, F.lit(False))).alias("first"),
+    met = shared.join(matrix.where("early IS NOT NULL"), "token").where(near & first)
+    met = settle(met.select("other", "other_core", "key").distinct(), scratch_path(shared.sparkSession))
+    counted = (
+        met.join(shared, "key")
+        .join(matrix, ["token", "other", "other_core"])
+        .where(near)
+        .groupBy("other", "other_core", "key", "n", "component")
+        .agg(F.count(F.lit(1)).alias("common"), F.min(smallest).alias("smallest"))
     )
     enough = F.col("common") > least_overlap(n + F.col("smallest"), percent) - share
-    return met.where(F.col("first") & enough).select(
+    return counted.where(enough).select(
         F.col("other").alias("group"), F.col("other_core").alias("core"), "key", "n", "component"
     )
 
@@ -513,7 +518,8 @@ def jaccard_components(
     leaders = leaders.select(F.col("key").alias("group"), F.lit(True).alias("core"), "key", "n", F.col("key").alias("component"))
     links = opened(asking, leaders)
     members = settle(grouped(sizes, pairs, links), scratch_path(spark))
-    asking = settle(candidates(shared.join(members.drop("n"), "key"), percent), scratch_path(spark))
+    placed = settle(shared.join(members.drop("n"), "key"), scratch_path(spark))
+    asking = settle(candidates(placed, percent), scratch_path(spark))
     links = links.unionByName(opened(asking, members))
 
     rooted = keys.join(components(links).withColumnRenamed("node", "key"), "key", "left")
