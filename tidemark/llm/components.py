@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.sources.scratch import scratch_path, settle
+from tidemark.sources.scratch import remove_scratch, scratch_path, settle
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -40,11 +40,16 @@ def components(links: DataFrame) -> DataFrame:
     """
     spark = links.sparkSession
     links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    links = settle(links.distinct(), scratch_path(spark))
+    path = scratch_path(spark)
+    links = settle(links.distinct(), path)
     before = _state(links)
     while before[0]:
-        links = settle(_large_star(links), scratch_path(spark))
-        links = settle(_small_star(links), scratch_path(spark))
+        middle, last = scratch_path(spark), scratch_path(spark)
+        links = settle(_small_star(settle(_large_star(links), middle)), last)
+        # A round's tables are read by the next one only.
+        remove_scratch(spark, path)
+        remove_scratch(spark, middle)
+        path = last
         after = _state(links)
         if after == before:
             break
