@@ -12,6 +12,7 @@ from tidemark.plans.silver import split_raw
 from tidemark.queries import QUERIES
 from tidemark.queries.views import MONTH, table, trips
 from tidemark.sources.facts import SOURCE_FILE, read_month_file, read_partition, with_source
+from tidemark.sources.lookup import reduce_lookup
 from trips import KEY, ZONES, raw_frame, raw_trip, write_raw
 
 
@@ -202,3 +203,18 @@ def test_large_lookup_is_not_broadcast_by_hint(raw, lookup):
 def test_scans_read_only_what_is_used(spark, sf_dir):
     text = plan(QUERIES["zero_reject"](spark, sf_dir))
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_discount:double,l_tax:double>" in text
+
+
+def test_a_large_lookup_is_reduced_to_the_keys_in_use(raw, lookup, monkeypatch):
+    """Above the limit only distinct keys are shuffled: the facts stay where they are, with the same rows."""
+    expected = lookups.enrich(raw, lookup)
+    assert reduce_lookup(lookup, raw, ["PULocationID"]) is lookup
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 0)
+    assert "SortMergeJoin" in plan(lookups.enrich(raw, lookup))
+    reduced = reduce_lookup(lookup, raw, ["PULocationID", "DOLocationID"])
+    assert reduced.reduced and 0 < reduced.rows <= lookup.rows
+    found = lookups.enrich(raw, reduced)
+    assert "Exchange hashpartitioning" not in plan(found)
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+    flagged = lookups.flag_known(raw, "PULocationID", reduced, "known")
+    assert flagged.where("known").count() == lookups.matched(raw, "PULocationID", lookup).count()

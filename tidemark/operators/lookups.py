@@ -15,6 +15,8 @@ from tidemark.model import ROLES
 # A lookup is broadcast only if its measured size is at most this. Larger ones are joined with a
 # shuffle, where adaptive execution splits the partitions of hot keys.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# The entries of a larger lookup that some facts use are broadcast up to this size.
+REDUCED_BYTES = 64 * 1024 * 1024
 
 
 class DuplicateKeyError(ValueError):
@@ -29,11 +31,12 @@ class Lookup:
     key: str
     rows: int
     bytes: int
+    reduced: bool = False
 
     def side(self, frame: DataFrame, limit: int | None = None) -> DataFrame:
         """``frame`` (derived from the lookup) as the build side of a join."""
-        fits = self.bytes <= (BROADCAST_BYTES if limit is None else limit)
-        return F.broadcast(frame) if fits else frame
+        most = REDUCED_BYTES if self.reduced else BROADCAST_BYTES
+        return F.broadcast(frame) if self.bytes <= (most if limit is None else limit) else frame
 
 
 def _row_bytes(schema: T.StructType) -> Column:

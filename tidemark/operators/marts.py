@@ -62,6 +62,35 @@ def name_cube(cube: DataFrame, lookup: Lookup) -> DataFrame:
     return enrich(cube, lookup, {PICKUP_LOCATION: "PU"})
 
 
+# The groupings of the four sums, and what marks each in ``rollups``: one bit per column left out.
+_KEYS = (OUT_BOROUGH, OUT_ZONE, OUT_HOUR, OUT_MONTH)
+BY_BOROUGH, BY_ZONE, BY_ZONE_HOUR, BY_MONTH = (OUT_BOROUGH,), (OUT_ZONE,), (OUT_ZONE, OUT_HOUR), (OUT_MONTH,)
+
+
+def grouping_number(by: tuple[str, ...]) -> int:
+    return sum(1 << i for i, key in enumerate(reversed(_KEYS)) if key not in by)
+
+
+def rollups(named_cube: DataFrame) -> DataFrame:
+    """The sums of the cube by borough, by zone, by zone and hour, and by month, in one aggregation.
+
+    ``grouping`` tells the groupings apart; a key that is NULL in the data is still a group.
+    """
+    sets = [[F.col(c) for c in by] for by in (BY_BOROUGH, BY_ZONE, BY_ZONE_HOUR, BY_MONTH)]
+    return named_cube.groupingSets(sets, *[F.col(k) for k in _KEYS]).agg(
+        F.grouping_id().alias("grouping"),
+        F.sum("trips").alias("trips"),
+        F.sum("ratio_sum").alias("ratio_sum"),
+        F.sum("ratio_count").alias("ratio_count"),
+    )
+
+
+def rollup(summed: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """One grouping of ``rollups``: its keys and sums."""
+    rows = summed.where(F.col("grouping") == grouping_number(by))
+    return rows.select(*by, "trips", "ratio_sum", "ratio_count")
+
+
 def avg_fare_per_mile(cube: DataFrame) -> DataFrame:
     """Mean of the per-trip ratios (not the ratio of the sums) per pickup borough."""
     return cube.groupBy(OUT_BOROUGH).agg(

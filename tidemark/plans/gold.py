@@ -20,9 +20,16 @@ from tidemark.model import (
     GOLD_ZONE,
     GOLD_ZONE_HOUR,
     MONTH_KEYS,
+    OUT_BOROUGH,
+    OUT_FARE,
     OUT_HOUR,
+    OUT_HOUR_TRIPS,
     OUT_MONTH,
+    OUT_MONTH_TRIPS,
+    OUT_ZONE,
+    OUT_ZONE_TRIPS,
     PICKUP_LOCATION,
+    ROLES,
     Layout,
     RunKey,
 )
@@ -32,7 +39,8 @@ from tidemark.operators.names import step_aside
 from tidemark.sinks.tables import replace_all_months, replace_month, replace_table
 from tidemark.sources.facts import read_partition, read_table
 from tidemark.sources.listing import list_files, list_months
-from tidemark.sources.lookup import read_lookup
+from tidemark.sources.lookup import read_lookup, reduce_lookup
+from tidemark.sources.scratch import remove_scratch, scratch_path, settle
 from tidemark.sources.versions import remove_month
 
 LAYER = "gold"
@@ -50,14 +58,17 @@ _CUBE = T.StructType(
 )
 
 
-def mart_frames(named_cube: DataFrame) -> dict[str, DataFrame]:
-    """The five aggregate tables as roll-ups of the named cube."""
-    zone_hours = marts.trips_per_zone_hour(named_cube)
+def mart_frames(summed: DataFrame) -> dict[str, DataFrame]:
+    """The five aggregate tables, each a part of the settled ``marts.rollups``."""
+    zone_hours = marts.rollup(summed, marts.BY_ZONE_HOUR).select(
+        OUT_ZONE, OUT_HOUR, F.col("trips").alias(OUT_HOUR_TRIPS)
+    )
+    fares = marts.ratio(F.col("ratio_sum"), F.col("ratio_count")).alias(OUT_FARE)
     return {
-        GOLD_FARE: marts.avg_fare_per_mile(named_cube),
-        GOLD_ZONE: marts.trips_per_zone(named_cube),
+        GOLD_FARE: marts.rollup(summed, marts.BY_BOROUGH).select(OUT_BOROUGH, fares),
+        GOLD_ZONE: marts.rollup(summed, marts.BY_ZONE).select(OUT_ZONE, F.col("trips").alias(OUT_ZONE_TRIPS)),
         GOLD_ZONE_HOUR: zone_hours,
-        GOLD_MONTH: marts.trips_per_month(named_cube),
+        GOLD_MONTH: marts.rollup(summed, marts.BY_MONTH).select(OUT_MONTH, F.col("trips").alias(OUT_MONTH_TRIPS)),
         GOLD_PEAK: marts.peak_hours(zone_hours),
     }
 
@@ -68,7 +79,8 @@ def refresh_everything(spark: SparkSession, layout: Layout, lookup: Lookup) -> N
     The cube is written last. A month counts as done once its cube exists.
     """
     facts, names = step_aside(read_table(spark, layout.silver_facts))
-    replace_all_months(names.back(enrich(facts, lookup)), layout.gold_table(GOLD_FULL))
+    used = reduce_lookup(lookup, facts, ROLES)
+    replace_all_months(names.back(enrich(facts, used)), layout.gold_table(GOLD_FULL))
     cube = marts.trip_cube(facts, [*MONTH_KEYS, *marts.cube_keys()])
     by_month = cube.hint("rebalance", *[F.col(k) for k in MONTH_KEYS])
     replace_all_months(by_month, layout.gold_table(GOLD_CUBE))
@@ -76,7 +88,8 @@ def refresh_everything(spark: SparkSession, layout: Layout, lookup: Lookup) -> N
 
 def refresh_month(spark: SparkSession, layout: Layout, key: RunKey, lookup: Lookup) -> None:
     facts, names = step_aside(read_partition(spark, layout.silver_facts, key))
-    replace_month(names.back(enrich(facts, lookup)), layout.gold_table(GOLD_FULL), key)
+    used = reduce_lookup(lookup, facts, ROLES)
+    replace_month(names.back(enrich(facts, used)), layout.gold_table(GOLD_FULL), key)
     cube = marts.trip_cube(facts).hint("rebalance")
     replace_month(cube, layout.gold_table(GOLD_CUBE), key)
 
@@ -123,7 +136,13 @@ def build_gold(spark: SparkSession, layout: Layout, everything: bool = False) ->
         for key in stale:
             refresh_month(spark, layout, key, lookup)
     cube = read_table(spark, layout.gold_table(GOLD_CUBE), _CUBE)
-    frames = mart_frames(marts.name_cube(cube, lookup))
-    for name, frame in frames.items():
-        replace_table(frame.hint("rebalance"), layout.gold_table(name))
+    stage = scratch_path(spark)
+    try:
+        # As many rows as there are zones and hours at most: the cube is read and shuffled once.
+        summed = settle(marts.rollups(marts.name_cube(cube, lookup)), stage)
+        frames = mart_frames(summed)
+        for name, frame in frames.items():
+            replace_table(frame.hint("rebalance"), layout.gold_table(name))
+    finally:
+        remove_scratch(spark, stage)
     return [GOLD_FULL, *frames]

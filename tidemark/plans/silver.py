@@ -13,6 +13,7 @@ from tidemark.model import (
     DROPOFF_TIME,
     PICKUP_LOCATION,
     PICKUP_TIME,
+    ROLES,
     RULE_DISTANCE,
     RULE_DROPOFF,
     RULE_PASSENGERS,
@@ -53,7 +54,7 @@ from tidemark.sinks.tables import (
     write_version,
 )
 from tidemark.sources.facts import read_partition
-from tidemark.sources.lookup import read_lookup
+from tidemark.sources.lookup import read_lookup, reduce_lookup
 from tidemark.sources.versions import (
     current_month,
     discard_version,
@@ -131,7 +132,7 @@ def load_silver(spark: SparkSession, layout: Layout, key: RunKey) -> LoadReport:
     raw = local_times(conform(raw, SILVER_CONTRACT), SILVER_CONTRACT)
     check_types(raw, SILVER_CONTRACT, path)
     raw, names = step_aside(keep_clear_of_directories(raw, POSITION))
-    lookup = read_lookup(spark, layout.lookup)
+    lookup = reduce_lookup(read_lookup(spark, layout.lookup), raw, ROLES)
     split = split_raw(raw, lookup)
     written = Split(names.back(split.kept), names.back(split.rejects))
     return _write_month(spark, layout, key, written, lambda: _to_place(raw, lookup), drift)

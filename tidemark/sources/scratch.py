@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,14 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.sources.files import Store
 
 
+class NoSharedFolderError(RuntimeError):
+    """The session names no folder that driver and executors share."""
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir`` or of ``SparkContext.setCheckpointDir``.
 
-    Where neither is set, as in tests, the session's warehouse folder, which all executors share
-    like the tables in it. A machine-local temporary folder is never used.
+    Where neither is set, the session's warehouse folder: with a local master, as in tests, or if its
+    URI names a store that is not a machine's own disk. Otherwise there is no shared folder, which is
+    an error: a machine-local folder is never used on a cluster.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if not shared:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        local = re.match(r"local(\[|$)", spark.conf.get("spark.master", ""))
+        if not local and re.match(r"file:|(?!\w+:)", warehouse):
+            raise NoSharedFolderError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = f"{warehouse}/_scratch"
     return f"{shared.rstrip('/')}/tidemark"
 
 
