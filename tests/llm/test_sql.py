@@ -1,0 +1,19 @@
+"""Queries of the training-data operators that have SQL equal it on whole tables."""
+
+from collections import Counter
+
+import duckdb
+import pytest
+
+from tidemark.llm.queries import QUERIES, SQL
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, sf_dir, name):
+    connection = duckdb.connect()
+    for table in ("documents", "pages", "conversations"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    found = QUERIES[name](spark, sf_dir)
+    columns = ", ".join(found.columns)
+    expected = connection.execute(f"SELECT {columns} FROM ({SQL[name]})").fetchall()
+    assert Counter(map(tuple, found.collect())) == Counter(expected)

@@ -136,3 +136,40 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content FROM documents)
 WINDOW same AS (PARTITION BY content)
 """
+
+# Five bytes are ten hexadecimal digits and eight letters of base 32.
+SQL["op7_warc"] = r"""
+WITH named AS (
+  SELECT page_id, coalesce(html, '') AS payload FROM pages),
+hashed AS (SELECT *, sha1(payload) AS hex, min(page_id) OVER (PARTITION BY payload) AS first FROM named),
+parts AS (
+  SELECT page_id, payload, first, part, CAST('0x' || substr(hex, 1 + 10 * part, 10) AS BIGINT) AS bits
+  FROM hashed, (SELECT unnest(range(4)) AS part)),
+letters AS (
+  SELECT page_id, payload, first, 8 * part + k AS place,
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((bits >> (35 - 5 * k)) & 31 AS INTEGER) + 1, 1) AS letter
+  FROM parts, (SELECT CAST(unnest(range(8)) AS INTEGER) AS k))
+SELECT page_id, CAST(strlen(any_value(payload)) AS BIGINT) AS payload_bytes,
+       string_agg(letter, '' ORDER BY place) AS payload_digest,
+       CASE WHEN page_id = any_value(first) THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> any_value(first) THEN any_value(first) END AS refers_to
+FROM letters GROUP BY page_id
+"""
+
+SQL["op8_chat"] = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{CONTROL_TURN}' UNION ALL SELECT -7, 1, 'assistant', '{CONTROL_TURN}'),
+escaped AS (
+  SELECT *, role || ': ' || text AS shown,
+         length(role || '~' || text) - length(regexp_replace(role || '~' || text, '[\\]|###+', '', 'g'))
+         + (length(role || '~' || text) - length(replace(role || '~' || text, '</turn>', ''))) // 7
+         + (length(role || '~' || text) - length(replace(role || '~' || text, ': ', ''))) // 2 AS marks
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('### ') + length(shown) + marks + length('</turn>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
