@@ -24,7 +24,7 @@ from tidemark.model import (
     RULE_STRAY,
     RULE_TIMES,
 )
-from tidemark.operators import copies, dated, lookups, rules
+from tidemark.operators import copies, dated, lookups, profile, rules
 from tidemark.operators.reconcile import reconcile
 from tidemark.plans.silver import classify_raw
 from tidemark.queries.registry import query
@@ -38,6 +38,7 @@ from tidemark.queries.views import (
     trips,
     zones,
 )
+from tidemark.sources.scratch import scratch_path, settle
 
 def trip_id() -> tuple[Column, Column]:
     return F.col("trip_key"), F.col("VendorID").alias("line")
@@ -443,3 +444,44 @@ def reconcile_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     doubled = one.where((F.col("line") == 7) & (key % 50 == 1))
     return reconcile(one, other.unionAll(doubled))
+
+
+# --- drift of values ----------------------------------------------------------------------------
+
+_PROFILED = ("quantity", "price", "discount")
+
+
+@query("value_drift", """
+WITH lines AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS year, l_quantity AS quantity,
+         CASE WHEN year(o_orderdate) = 1998 THEN 3 * l_extendedprice ELSE l_extendedprice END AS price,
+         CASE WHEN year(o_orderdate) <> 1997 OR l_linenumber > 1 THEN l_discount END AS discount
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+long AS (
+  SELECT year, 'quantity' AS "column", quantity AS v FROM lines
+  UNION ALL SELECT year, 'price', price FROM lines UNION ALL SELECT year, 'discount', discount FROM lines),
+earlier AS (
+  SELECT "column", quantile_cont(v, 0.25) AS low, quantile_cont(v, 0.5) AS middle, quantile_cont(v, 0.75) AS high
+  FROM long WHERE year < 1997 GROUP BY 1),
+later AS (
+  SELECT year, "column", count(*) - count(v) AS nulls, count(*) AS n, quantile_cont(v, 0.25) AS low,
+         quantile_cont(v, 0.5) AS middle, quantile_cont(v, 0.75) AS high
+  FROM long WHERE year >= 1997 GROUP BY 1, 2)
+SELECT year, l."column", round(nulls / n, 6) AS null_share,
+       greatest(abs(l.low - e.low), abs(l.middle - e.middle), abs(l.high - e.high)) > 0.5 * (e.high - e.low) AS moved
+FROM later l JOIN earlier e ON l."column" = e."column"
+""")
+def value_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines profiled by year in one pass; years from 1997 on are compared with the merged profile of
+    the years before. Prices of 1998 are in another unit, and discounts of 1997 are partly missing."""
+    year = F.year("o_orderdate")
+    lines = order_lines(spark, sf_dir).select(
+        year.alias("year"),
+        F.col("l_quantity").alias("quantity"),
+        F.when(year == 1998, 3 * F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).alias("price"),
+        F.when((year != 1997) | (F.col("l_linenumber") > 1), F.col("l_discount")).alias("discount"),
+    )
+    profiles = settle(profile.profile(lines, ["year"], _PROFILED), scratch_path(spark))
+    earlier = profile.merge(profiles.where("year < 1997"))
+    found = profile.value_drift(earlier, profiles.where("year >= 1997"), ["year"])
+    return found.select("year", "column", F.round("null_share", 6).alias("null_share"), "moved")
