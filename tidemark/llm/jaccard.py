@@ -440,15 +440,31 @@ def candidates(shared: DataFrame, percent: int) -> DataFrame:
     first = (n - place >= overlap) & (F.least(F.col("high"), n) - F.col("early") >= overlap)
     met = shared.join(matrix.where("early IS NOT NULL"), "token").where(near & first)
     met = settle(met.select("other", "other_core", "key").distinct(), scratch_path(shared.sparkSession))
+    alone = shared.groupBy("group", "core").agg(F.min("key").alias("member"), F.max("key").alias("last"))
+    alone = alone.where("member = last").select(
+        F.col("group").alias("other"), F.col("core").alias("other_core"), "member"
+    )
+    alone = settle(alone, scratch_path(shared.sparkSession))
+    named = ["other", "other_core"]
     counted = (
-        met.join(shared, "key")
-        .join(matrix, ["token", "other", "other_core"])
+        met.join(alone, named, "left_anti")
+        .join(shared, "key")
+        .join(matrix, ["token", *named])
         .where(near)
-        .groupBy("other", "other_core", "key", "n", "component")
+        .groupBy(*named, "key", "n", "component")
         .agg(F.count(F.lit(1)).alias("common"), F.min(smallest).alias("smallest"))
     )
+    # A group of one set is known by that set's tokens, so the two sets meet in one row.
+    sets = shared.groupBy("key", "n", "component").agg(F.collect_set("token").alias("tokens"))
+    sets = settle(sets, scratch_path(shared.sparkSession))
+    members = sets.select(F.col("key").alias("member"), F.col("n").alias("low"), F.col("tokens").alias("others"))
+    pairs = met.join(alone, named).join(sets, "key").join(members, "member").select(
+        *named, "key", "n", "component",
+        F.size(F.array_intersect("tokens", "others")).alias("common"),
+        smallest.alias("smallest"),
+    )
     enough = F.col("common") > least_overlap(n + F.col("smallest"), percent) - share
-    return counted.where(enough).select(
+    return counted.unionByName(pairs).where(enough).select(
         F.col("other").alias("group"), F.col("other_core").alias("core"), "key", "n", "component"
     )
 
