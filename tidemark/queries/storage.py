@@ -134,14 +134,12 @@ def input_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders.withColumns({"year": F.year(at), "month": F.month(at)}).hint("rebalance", F.col("year"), F.col("month")),
         root,
     )
-    there = list(current_months(spark, root))
-    require_months(spark, root, there)
-    found = [(key.year, key.month, True) for key in there]
-    absent = RunKey(2002, 1)
+    guarded, named = [*current_months(spark, root), RunKey(2002, 1)], ""
     try:
-        require_months(spark, root, [*there, absent])
+        require_months(spark, root, guarded)
     except FileNotFoundError as error:
-        found.append((absent.year, absent.month, str(absent) not in str(error)))
+        named = str(error)
+    found = [(key.year, key.month, str(key) not in named) for key in guarded]
     counted = read_table(spark, root).groupBy("year", "month").agg(F.count(F.lit(1)).alias("orders"))
     months = spark.createDataFrame(found, "year int, month int, found boolean")
     return months.join(counted, ["year", "month"], "left").select(
