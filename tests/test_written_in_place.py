@@ -1,0 +1,112 @@
+"""What is written by folder is not sorted, and many rejects are not shuffled; the rows are the same."""
+
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
+
+from tidemark.plans import raw as raw_plan
+from tidemark.plans import silver as silver_plan
+from tidemark.queries import layers
+from tidemark.sinks import tables
+from tidemark.sources.facts import read_partition, read_table
+from trips import KEY, frame, raw_frame, raw_trip, trip, write_lookup, write_raw
+
+OPEN = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@pytest.fixture
+def writes(monkeypatch):
+    """How many folders each write by folder may have open, in order."""
+    seen, real = [], DataFrameWriter.parquet
+
+    def spied(self, path, *args, **named):
+        seen.append((Path(path).name, int(self._spark.conf.get(OPEN))))
+        return real(self, path, *args, **named)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spied)
+    return seen
+
+
+def test_months_are_written_without_a_sort(spark, tmp_path, writes):
+    root = str(tmp_path / "table")
+    months = tables.OPEN_FOLDERS + 8
+    df = spark.range(4 * months).select(
+        F.col("id"), (2000 + F.col("id") % months).cast("int").alias("year"), F.lit(1).alias("month")
+    ).coalesce(1)
+    tables.replace_all_months(df, root)
+    assert writes == [("table", tables.OPEN_FOLDERS)]
+    assert spark.conf.get(OPEN) == "0"
+    rows = read_table(spark, root).collect()
+    assert Counter((r["id"], r["year"]) for r in rows) == Counter((i, 2000 + i % months) for i in range(4 * months))
+
+
+def test_a_session_with_a_number_of_its_own_keeps_it(spark, tmp_path, writes):
+    spark.conf.set(OPEN, 3)
+    try:
+        tables.replace_all_months(spark.range(5).selectExpr("id", "2000 + id % 5 AS year", "1 AS month"), str(tmp_path / "t"))
+        assert writes == [("t", 3)] and spark.conf.get(OPEN) == "3"
+    finally:
+        spark.conf.unset(OPEN)
+
+
+def places(spark, layout, name, root):
+    rejects = tables.read_quarantine(spark, layout.quarantine, name).select("total_amount", "rule")
+    kept = read_partition(spark, root, KEY).select("total_amount", F.lit("kept"))
+    return Counter(tuple(r) for r in kept.unionAll(rejects).collect())
+
+
+def rule_files(layout, rule):
+    return list(Path(layout.quarantine).rglob(f"rule={rule}/*.parquet"))
+
+
+@pytest.mark.parametrize("least", [1, 1_000_000])
+def test_many_rejects_of_raw_are_written_where_they_are(spark, layout, monkeypatch, writes, least):
+    monkeypatch.setattr(tables, "MANY_REJECTS", least)
+    rows = [trip(n, PULocationID=0 if n % 4 else 1) for n in range(40)] + [trip(1, PULocationID=0), trip(99, VendorID=None)]
+    frame(spark, rows).repartition(4).write.parquet(layout.landing_file(KEY))
+    report = raw_plan.load_raw(spark, layout, KEY)
+    assert report.kept == 10 and report.rejected[raw_plan.RULE_LOCATIONS] == 30
+    expected = {(float(n), raw_plan.RULE_LOCATIONS if n % 4 else "kept"): 1 for n in range(40)}
+    expected |= {(1.0, raw_plan.RULE_DUPLICATES): 1, (99.0, raw_plan.RULE_NULLS): 1}
+    assert places(spark, layout, "raw", layout.raw_facts) == Counter(expected)
+    assert (len(rule_files(layout, raw_plan.RULE_LOCATIONS)) > 1) == (least == 1)
+
+
+@pytest.mark.parametrize("least", [1, 1_000_000])
+def test_many_rejects_of_silver_are_written_where_they_are(spark, layout, monkeypatch, least):
+    monkeypatch.setattr(tables, "MANY_REJECTS", least)
+    write_lookup(spark, layout)
+    write_raw(raw_frame(spark, [raw_trip(n, trip_distance=0.0 if n % 4 else 1.0) for n in range(40)]).repartition(4), layout)
+    report = silver_plan.load_silver(spark, layout, KEY)
+    assert report.kept == 10 and report.rejected[silver_plan.RULE_DISTANCE] == 30
+    expected = {(float(n), silver_plan.RULE_DISTANCE if n % 4 else "kept"): 1 for n in range(40)}
+    assert places(spark, layout, "silver", layout.silver_facts) == Counter(expected)
+    assert (len(rule_files(layout, silver_plan.RULE_DISTANCE)) > 1) == (least == 1)
+
+
+def test_few_rejects_of_a_large_month_are_gathered():
+    assert tables.many_rejects(2_000_000, 8_000_000)
+    assert not tables.many_rejects(2_000_000, 9_000_000) and not tables.many_rejects(999, 999)
+
+
+def test_a_replay_finds_each_rejected_row_once(spark, layout, monkeypatch):
+    write_lookup(spark, layout, [(1, "B1", "Z1", "s")])
+    write_raw(raw_frame(spark, [raw_trip(1), raw_trip(2, PULocationID=2), raw_trip(3, PULocationID=9)]), layout)
+    silver_plan.load_silver(spark, layout, KEY)
+    settled, real = [], silver_plan.settle
+    monkeypatch.setattr(silver_plan, "settle", lambda df, path: settled.append(path) or real(df, path))
+    write_lookup(spark, layout)
+    report = silver_plan.replay_rejects(spark, layout, KEY)
+    assert report.kept == 2 and report.rejected[silver_plan.RULE_PICKUP] == 1
+    assert len(settled) == 1 and not Path(settled[0]).exists()
+
+
+def test_month_switch_joins_the_tables_once(spark, sf_dir, monkeypatch):
+    joins, real = [], layers.landed_trips
+    monkeypatch.setattr(layers, "landed_trips", lambda *args: joins.append(args) or real(*args))
+    switched = Counter(map(tuple, layers.month_switch(spark, sf_dir).collect()))
+    assert len(joins) == 1
+    assert switched == Counter(map(tuple, layers.raw_month(spark, sf_dir).collect()))
