@@ -4,9 +4,11 @@ import datetime
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from test_physical_plans import plan
 from tidemark.queries import layers, views
+from tidemark.sinks import tables
 from tidemark.sources.facts import read_table
 
 DAY = datetime.datetime(1996, 3, 1)
@@ -63,3 +65,19 @@ def test_lines_are_moved_to_months_before_they_widen(spark, small, layout, monke
     assert silver.columns[-4:] == ["ingestion_timestamp", "source_file_name", "year", "month"]
     assert counted(silver.select(views.trips(spark, small).columns)) == counted(views.trips(spark, small))
     assert silver.where("year = 1996 AND month = 3").count() == silver.count()
+
+
+def test_folder_names_are_those_of_the_format(spark):
+    values = [None, -5, 0, 1, 9, 10, 12, 99, 100, 999, 1000, 1996, 9999, 10000]
+    df = spark.createDataFrame([(v,) for v in values], "n int")
+    for digits in (2, 4):
+        named = df.select(tables.padded("n", digits).alias("quick"), F.format_string(f"%0{digits}d", "n").alias("slow"))
+        assert all(r["quick"] == r["slow"] for r in named.collect())
+
+
+def test_ordinary_months_are_not_formatted(spark, tmp_path, monkeypatch):
+    """A format that fails on every row shows that no row of an ordinary month gets to it."""
+    monkeypatch.setattr(tables.F, "format_string", lambda *_: F.raise_error(F.lit("formatted")).cast("string"))
+    df = spark.range(24).selectExpr("id", "cast(1990 + id AS int) AS year", "cast(1 + id % 12 AS int) AS month")
+    tables.replace_all_months(df, str(tmp_path / "t"))
+    assert read_table(spark, str(tmp_path / "t")).count() == 24
