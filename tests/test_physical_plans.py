@@ -79,6 +79,14 @@ def test_landing_rules_reach_the_scan(landing, tmp_path):
         assert part in text, part
 
 
+def test_kept_rows_are_asked_for_their_month_before_every_column_for_nulls(landing, tmp_path):
+    split = split_landing(landing, landing_rules(landing, MONTH, (1, 24)), str(tmp_path / "s"))
+    asked = re.search(r"Filter (.*)", plan(split.kept)).group(1)
+    places = [re.search(test, asked).start() for test in
+              (r"tpep_pickup_datetime#\d+ >=", r"PULocationID#\d+L? >=", r"isnan\(")]
+    assert places == sorted(places)
+
+
 def test_unique_rows_never_shuffle(landing, tmp_path):
     split = split_landing(landing, landing_rules(landing, MONTH), str(tmp_path / "s"))
     for side in (split.kept, split.rejects):
