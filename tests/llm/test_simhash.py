@@ -85,6 +85,29 @@ def test_components_of_paths_and_stars(spark):
     assert found == expected
 
 
+def test_rounds_of_few_links_write_few_files(spark, monkeypatch):
+    settle, written = components.settle, []
+
+    def settled(df, path):
+        found = settle(df, path)
+        written.append(len(found.inputFiles()))
+        return found
+
+    monkeypatch.setattr(components, "settle", settled)
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(200)], "a bigint, b bigint")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        found = components.components(pairs)
+        assert {tuple(r) for r in found.collect()} == {(i, 0) for i in range(1, 201)}
+        assert len(written) > 5 and max(written[1:]) == 1
+        monkeypatch.setattr(components, "LINKS_A_TASK", 50)
+        del written[:]
+        assert {tuple(r) for r in components.components(pairs).collect()} == {(i, 0) for i in range(1, 201)}
+        assert max(written[1:]) in (2, 3, 4)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_operator_equals_brute_force(spark):
     extra = [(100 + i, f"the quick brown fox number {i % 7} jumps over the lazy dog again and again") for i in range(30)]
     rows = TEXTS + extra

@@ -3,7 +3,8 @@
 Each round points every node at the smallest node it knows, once for the larger and once for the
 smaller neighbours, until the links form stars. All rounds are joins and aggregates; the smallest
 neighbour is found with a map-side aggregate, and a node with very many links is a skewed join key
-that adaptive execution splits.
+that adaptive execution splits. No star has more links than it was made of, so the number of a
+round's links bounds the tasks and files that the next one is worth.
 """
 
 from __future__ import annotations
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.scratch import remove_scratch, scratch_path, settle
 
+# Links that one task of a round writes, if there are that many.
+LINKS_A_TASK = 1 << 18
+
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -45,7 +49,10 @@ def components(links: DataFrame) -> DataFrame:
     before = _state(links)
     while before[0]:
         middle, last = scratch_path(spark), scratch_path(spark)
-        links = settle(_small_star(settle(_large_star(links), middle)), last)
+        # Narrow: more tasks than there are shuffle partitions are never made of it.
+        tasks = -(-before[0] // LINKS_A_TASK)
+        large = settle(_large_star(links).coalesce(tasks), middle)
+        links = settle(_small_star(large).coalesce(tasks), last)
         # A round's tables are read by the next one only.
         remove_scratch(spark, path)
         remove_scratch(spark, middle)
